@@ -51,35 +51,34 @@ NAMED = {
 _HREF = r"""(?is)<a\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 
-def _letter(code: Column) -> Column:
-    """The letter with this code point."""
-    return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+_REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
+
+def _numbered(ref: Column) -> Column:
+    """The letter of a numeric reference; a replacement mark where there is none."""
+    digits = F.regexp_replace(ref, "[&#xX;]", "")
+    hexadecimal = F.lower(F.substring(ref, 3, 1)) == "x"
+    code = F.when(hexadecimal, F.conv(digits, 16, 10)).otherwise(F.conv(digits, 10, 10)).cast("bigint")
+    known = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+    letter = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    return F.when(known, letter).otherwise(F.lit("\ufffd"))
 
 
 def unescape(c: Column) -> Column:
-    """Replace character references: numeric ones, the named ones above, ``&amp;`` last."""
-
-    def numeric(text: Column, pattern: str, base: int) -> Column:
-        found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)))
-        return F.aggregate(
-            found,
-            text,
-            lambda acc, ref: F.replace(acc, ref, _numeric_letter(ref, base)),
-        )
-
-    def _numeric_letter(ref: Column, base: int) -> Column:
-        digits = F.regexp_replace(ref, r"[&#xX;]", "")
-        code = F.conv(digits, base, 10).cast("bigint")
-        known = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        return F.when(known, _letter(code)).otherwise(F.lit("�"))
-
-    text = F.when(
-        F.contains(c, F.lit("&#")),
-        numeric(numeric(c, r"&#[0-9]{1,7};", 10), r"&#[xX][0-9a-fA-F]{1,6};", 16),
-    ).otherwise(c)
-    for name, letter in NAMED.items():
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(letter))
-    return F.replace(text, F.lit("&amp;"), F.lit("&"))
+    """Replace character references: numeric ones and the named ones above, ``&amp;`` last.
+
+    The text is searched once, then rewritten once per distinct reference in it.
+    """
+    names = F.create_map(*[F.lit(x) for name, letter in NAMED.items() for x in (f"&{name};", letter)])
+    found = F.array_distinct(F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(0)))
+    text = F.aggregate(
+        found,
+        c,
+        lambda acc, ref: F.when(
+            F.startswith(ref, F.lit("&#")), F.replace(acc, ref, _numbered(ref))
+        ).otherwise(F.replace(acc, ref, F.coalesce(F.try_element_at(names, ref), ref))),
+    )
+    return F.when(F.contains(c, F.lit("&")), F.replace(text, F.lit("&amp;"), F.lit("&"))).otherwise(c)
 
 
 def visible_text(c: Column) -> Column:

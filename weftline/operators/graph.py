@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.skew import HOT_ROWS, hot_keys, spread_join
+from weftline.operators.skew import HOT_ROWS, hot_keys_of, spread_join
 from weftline.storage import cut
 
 
@@ -68,14 +68,16 @@ def reach(edges: DataFrame, start: DataFrame, max_hops: int | None = None, hot_r
     """All nodes that can be reached from ``start`` (column ``node``) and in how many ``hops``.
 
     Breadth first; every node is expanded once. Without ``max_hops`` it runs
-    until nothing new is found. Edges have the columns ``src`` and ``dst``.
+    until nothing new is found. Edges have the columns ``src`` and ``dst``; they
+    are written once and read every hop.
     """
-    hot = cut(hot_keys(edges.groupBy("src").agg(F.count(F.lit(1)).alias("_n")), "src", "_n", hot_rows))
+    edges = cut(edges.select("src", "dst"))
+    hot = hot_keys_of(edges, "src", hot_rows)
     frontier = cut(start.select("node").distinct().withColumn("hops", F.lit(0)))
     levels = [frontier]
     while max_hops is None or len(levels) <= max_hops:
         ahead = spread_join(
-            edges.select("src", "dst"), frontier.select(F.col("node").alias("src")), "src", "dst", "inner", hot=hot
+            edges, frontier.select(F.col("node").alias("src")), "src", "dst", "inner", hot=hot
         )
         seen = reduce(DataFrame.unionByName, levels).select("node")
         frontier = cut(
@@ -100,7 +102,7 @@ def connected_groups(edges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     both = cut(
         edges.selectExpr("src AS a", "dst AS b").unionByName(edges.selectExpr("dst AS a", "src AS b")).distinct()
     )
-    hot = cut(hot_keys(both.groupBy("b").agg(F.count(F.lit(1)).alias("_n")), "b", "_n", hot_rows))
+    hot = hot_keys_of(both, "b", hot_rows)
     labels = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(
         F.col("a").alias("node"), F.least("a", "m").alias("label")
     ))

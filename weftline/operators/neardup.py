@@ -53,10 +53,8 @@ def near_dups(
         F.col(vec).cast("array<float>").alias("vec"),
     )
     key = F.concat_ws("-", F.hex(F.xxhash64("vec")), F.hex(F.xxhash64(F.lit(seed), "vec")))
-    keyed = rows.withColumn("vec_key", key)
-    firsts = cut(
-        keyed.groupBy("vec_key", "vec").agg(F.min("id").alias("first"))
-    )
+    keyed = cut(rows.withColumn("vec_key", key))
+    firsts = cut(keyed.groupBy("vec_key", "vec").agg(F.min("id").alias("first")))
     stats = firsts.select(
         F.count(F.lit(1)).alias("n"),
         Summarizer.mean(array_to_vector(F.col("vec").cast("array<double>"))).alias("mean"),
@@ -74,17 +72,15 @@ def near_dups(
         side = (np.stack(vectors.to_list()) - mean) @ planes > 0
         return pd.Series(list(side.reshape(-1, bands, bits) @ weights))
 
-    placed = firsts.select("first", F.posexplode(signatures("vec")).alias("band", "signature")).select(
-        "first", F.xxhash64("band", "signature").alias("bucket")
-    )
-    placed = cut(placed)
+    bands_of = firsts.select("first", F.posexplode(signatures("vec")).alias("band", "signature"))
+    placed = cut(bands_of.select("first", F.xxhash64("band", "signature").alias("bucket")))
     heads = (
         placed.groupBy("bucket")
         .agg(F.min("first").alias("head"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1")
         .select("bucket", "head")
     )
-    pairs = (
+    pairs = cut(
         spread_join(placed, heads, "bucket", "first", "inner", hot_rows)
         .filter("first <> head")
         .select("first", "head")

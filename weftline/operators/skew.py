@@ -6,21 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # At most this many keys are treated as hot. Any key beyond them holds less than
-# one row in HOT_KEYS, so it fits one task; the list itself is small by design.
+# one row in HOT_KEYS, so it fits one task; the list has a fixed bound.
 HOT_KEYS = 1000
 # Keys below this many rows are never worth spreading.
 HOT_ROWS = 1_000_000
 SALTS = 64
 
 
-def hot_keys(counts: DataFrame, key: str, n_col: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The (at most HOT_KEYS) largest keys of a per-key count, ties broken by key."""
-    return (
-        counts.filter((F.col(n_col) >= hot_rows) & F.col(key).isNotNull())
-        .orderBy(F.desc(n_col), key)
-        .limit(HOT_KEYS)
-        .select(key)
-    )
+def hot_keys(counts: DataFrame, key: str, n_col: str, hot_rows: int = HOT_ROWS) -> list:
+    """The (at most HOT_KEYS) largest keys of a per-key count that reach ``hot_rows``."""
+    large = counts.filter((F.col(n_col) >= hot_rows) & F.col(key).isNotNull())
+    return [r[0] for r in large.orderBy(F.desc(n_col), key).limit(HOT_KEYS).select(key).collect()]
+
+
+def hot_keys_of(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
+    """The hot keys of a table; rows are counted per key before any shuffle."""
+    return hot_keys(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), key, "_n", hot_rows)
 
 
 def spread_join(
@@ -30,27 +31,23 @@ def spread_join(
     spread_by: str,
     how: str = "left",
     hot_rows: int = HOT_ROWS,
-    hot: DataFrame | None = None,
+    hot: list | None = None,
 ) -> DataFrame:
-    """Join rows to a table with one row per key when both sides are large.
+    """Join rows to a table with one row per key when both sides may be large.
 
-    Rows of a hot key go to SALTS tasks by the hash of ``spread_by``, and only
-    the hot keys' rows on the ``one`` side are repeated. All other keys join as
-    usual. The salt is a function of the row, so a re-run task repeats it.
-    ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
+    Without hot keys this is a plain join. Otherwise the rows of a hot key go to
+    SALTS tasks by the hash of ``spread_by``, and only the hot keys' rows on the
+    ``one`` side are repeated. The salt is a function of the row, so a re-run
+    task repeats it. ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
     """
     if hot is None:
-        hot = hot_keys(many.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), key, "_n", hot_rows)
-    flag = F.broadcast(hot.withColumn("_hot", F.lit(True)))
+        hot = hot_keys_of(many, key, hot_rows)
+    if not hot:
+        return many.join(one, key, how)
+    is_hot = F.col(key).isin(hot)
     salt = F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")
-    # Null keys match nothing, so their salt is free as well.
-    salted = many.join(flag, key, "left").withColumn(
-        "_salt", F.when(F.col("_hot") | F.col(key).isNull(), salt).otherwise(F.lit(0))
-    )
-    repeated = one.join(flag, key, "left").withColumn(
-        "_salt",
-        F.explode(
-            F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-        ),
-    )
-    return salted.drop("_hot").join(repeated.drop("_hot"), [key, "_salt"], how).drop("_salt")
+    # Null keys match nothing, so they may go anywhere.
+    salted = many.withColumn("_salt", F.when(is_hot | F.col(key).isNull(), salt).otherwise(F.lit(0)))
+    places = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    repeated = one.withColumn("_salt", F.explode(places))
+    return salted.join(repeated, [key, "_salt"], how).drop("_salt")

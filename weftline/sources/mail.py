@@ -84,7 +84,7 @@ def _row(message: Message) -> dict:
     leaves = [p for p in message.walk() if not p.is_multipart()]
     whole = message.get_payload()
     return {
-        "headers": list(headers.items()),
+        "headers": headers,
         "multipart": message.is_multipart(),
         "payload": _text(whole) if isinstance(whole, str) else None,
         "parts": [
