@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from weftline.functions.text import BLANKS
+from weftline.functions.text import bound
 
 # Named character references that are common in pages and mail.
 NAMED = {
@@ -70,15 +70,17 @@ def unescape(c: Column) -> Column:
     The text is searched once, then rewritten once per distinct reference in it.
     """
     names = F.create_map(*[F.lit(x) for name, letter in NAMED.items() for x in (f"&{name};", letter)])
-    found = F.array_distinct(F.regexp_extract_all(c, F.lit(_REFERENCE), F.lit(0)))
-    text = F.aggregate(
-        found,
-        c,
-        lambda acc, ref: F.when(
-            F.startswith(ref, F.lit("&#")), F.replace(acc, ref, _numbered(ref))
-        ).otherwise(F.replace(acc, ref, F.coalesce(F.try_element_at(names, ref), ref))),
-    )
-    return F.when(F.contains(c, F.lit("&")), F.replace(text, F.lit("&amp;"), F.lit("&"))).otherwise(c)
+
+    def letter(ref: Column) -> Column:
+        numbered = F.startswith(ref, F.lit("&#"))
+        return F.when(numbered, _numbered(ref)).otherwise(F.coalesce(F.try_element_at(names, ref), ref))
+
+    def rewritten(text: Column) -> Column:
+        found = F.array_distinct(F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0)))
+        done = F.aggregate(found, text, lambda acc, ref: F.replace(acc, ref, letter(ref)))
+        return F.when(F.contains(text, F.lit("&")), F.replace(done, F.lit("&amp;"), F.lit("&"))).otherwise(text)
+
+    return bound(c, rewritten)
 
 
 def visible_text(c: Column) -> Column:
@@ -90,7 +92,7 @@ def visible_text(c: Column) -> Column:
     text = F.regexp_replace(c, r"(?is)<(script|style)\b[^>]*>.*?</(?:script|style)\s*>", " ")
     text = F.regexp_replace(text, r"(?s)<!--.*?-->", " ")
     text = F.regexp_replace(text, r"(?s)</?[A-Za-z!][^>]*>", " ")
-    return F.btrim(F.regexp_replace(unescape(text), rf"[{BLANKS}]+", " "))
+    return F.btrim(F.regexp_replace(unescape(text), r"(?U)\s+", " "))
 
 
 def hrefs(c: Column) -> Column:

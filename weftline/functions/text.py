@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -14,6 +15,11 @@ BLANKS = (
 )
 
 
+def bound(c: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(c)`` with ``c`` computed once per row, however often ``use`` mentions it."""
+    return F.element_at(F.transform(F.array(c), use), 1)
+
+
 def strip(c: Column) -> Column:
     """Drop blanks, tabs and line ends at both ends."""
     return F.btrim(c, F.lit(BLANKS))

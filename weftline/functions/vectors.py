@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from weftline.functions.text import bound
+
 
 def _sum(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x)
@@ -27,8 +29,8 @@ def distance(a: Column, b: Column) -> Column:
 
 def unit(a: Column) -> Column:
     """The vector at unit length; null for a zero vector."""
-    length = F.nullif(norm(a), F.lit(0.0))
-    return F.when(length.isNotNull(), F.transform(a, lambda x: x.cast("double") / length))
+    scaled = bound(norm(a), lambda length: F.transform(a, lambda x: x.cast("double") / length))
+    return F.when(norm(a) > 0, scaled)
 
 
 def truncated(a: Column, dims: int) -> Column:

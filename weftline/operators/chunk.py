@@ -34,7 +34,13 @@ def _pieces(text: Column) -> Column:
             (acc["page_num"] + F.when(F.endswith(p, F.lit("\f")), 1).otherwise(0)).alias("page_num"),
         )
 
-    return F.aggregate(raw, start, add, lambda acc: acc["done"])
+    whole = F.struct(
+        text.alias("text"), F.lit(None).cast("string").alias("heading"), F.lit(1).alias("page_num")
+    )
+    undivided = ~(F.contains(text, F.lit("\f")) | F.contains(text, F.lit("\n#")) | F.startswith(text, F.lit("#")))
+    return F.when(undivided, F.array(whole)).otherwise(
+        F.aggregate(raw, start, add, lambda acc: acc["done"])
+    )
 
 
 def _packed(text: Column, max_chars: int) -> Column:

@@ -160,7 +160,8 @@ def truncate(df: DataFrame, dims: int, vec: str = "embedding") -> DataFrame:
 
     The input keeps its own vectors: nothing is changed in place.
     """
-    return df.withColumn(vec, truncated(F.col(vec), dims)).filter(F.col(vec).isNotNull())
+    nonzero = F.exists(F.slice(vec, 1, dims), lambda x: x != 0)
+    return df.filter(nonzero).withColumn(vec, truncated(F.col(vec), dims))
 
 
 def knn_rerank(

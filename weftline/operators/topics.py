@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.operators.embed import Embedder, embed, words
+from weftline.storage import cut
 
 
 def assign_topics(df: DataFrame, vec: str = "embedding", n_topics: int = 8, seed: int = 7) -> DataFrame:
@@ -46,9 +47,14 @@ def topic_labels(df: DataFrame, text_col: str, n_terms: int = 3) -> DataFrame:
 
 
 def topics(df: DataFrame, text_col: str, vec: str = "embedding", n_topics: int = 8, seed: int = 7) -> DataFrame:
-    """Rows with their ``topic`` and its ``label``; the label table has one row per topic."""
-    assigned = assign_topics(df, vec, n_topics, seed)
-    return assigned.join(F.broadcast(topic_labels(assigned, text_col)), "topic", "left")
+    """Rows with their ``topic`` and its ``label``; the label table has one row per topic.
+
+    The table is passed over many times, so it is written once first: vectors
+    that a model made are not made again.
+    """
+    assigned = assign_topics(cut(df), vec, n_topics, seed)
+    labels = cut(topic_labels(assigned, text_col))
+    return assigned.join(F.broadcast(labels), "topic", "left")
 
 
 def plane(df: DataFrame, vec: str = "embedding") -> DataFrame:
@@ -76,7 +82,7 @@ def build_index(
 
     Vectors are made from ``text_col`` unless ``vec`` names them.
     """
-    vectors = df if vec else embed(df, text_col, fn)
     name = vec or "embedding"
+    vectors = (df if vec else embed(df, text_col, fn)).select(id_col, text_col, name)
     mapped = plane(topics(vectors, text_col, name, n_topics, seed), name)
     return mapped.select(F.col(id_col).alias("id"), "x", "y", "topic", "label")

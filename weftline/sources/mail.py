@@ -126,10 +126,7 @@ def header(name: str, headers: str = "headers") -> Column:
     return F.try_element_at(found, F.lit(1))["value"]
 
 
-@F.pandas_udf("string")
-def decoded_header(values: pd.Series) -> pd.Series:
-    """Encoded words of a header as plain text, pieces joined by a space; null gives ''."""
-
+def _plain_header(value: str | None) -> str:
     def piece(text: str | bytes, charset: str | None) -> str:
         if isinstance(text, str):
             return text
@@ -138,9 +135,21 @@ def decoded_header(values: pd.Series) -> pd.Series:
         except (LookupError, UnicodeDecodeError):
             return text.decode("utf-8", errors="replace")
 
-    return values.map(
-        lambda v: "" if v is None else _text(" ".join(piece(t, c) for t, c in decode_header(v)))
-    )
+    return "" if value is None else _text(" ".join(piece(t, c) for t, c in decode_header(value)))
+
+
+def decoded_header(c: Column) -> Column:
+    """Encoded words of a header as plain text, pieces joined by a space; null gives ''.
+
+    Only headers that hold an encoded word go to Python.
+    """
+
+    @F.pandas_udf("string")
+    def decode(values: pd.Series) -> pd.Series:
+        return values.map(_plain_header)
+
+    encoded = F.when(F.contains(c, F.lit("=?")), c)
+    return F.when(F.contains(c, F.lit("=?")), decode(encoded)).otherwise(F.coalesce(c, F.lit("")))
 
 
 def body(parts: str = "parts", multipart: str = "multipart") -> Column:
@@ -191,8 +200,8 @@ def read_mail_files(spark: SparkSession, path: str) -> DataFrame:
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     base = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toUri().getPath()
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    below = F.expr(f"substring(parse_url(path, 'PATH'), {len(base.rstrip('/')) + 2})")
-    steps = F.split(F.url_decode(F.replace(below, F.lit("+"), F.lit("%2B"))), "/")
+    local = F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.\-]*:(?://[^/]*)?", "")
+    steps = F.split(F.substring(local, len(base.rstrip("/")) + 2, 2**31 - 1), "/")
     named = files.select(
         F.try_element_at(steps, F.lit(2)).alias("_user"),
         F.array_join(F.slice(steps, F.lit(3), F.greatest(F.size(steps) - 3, F.lit(0))), "/").alias("_folder"),
