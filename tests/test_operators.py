@@ -35,17 +35,22 @@ def test_spread_join_equals_plain_join(spark, rows):
     )
     one = spark.createDataFrame([("hot", 1), ("k1", 2), ("k2", 3), ("absent", 4)], "k string, v int")
     for how in ("left", "inner", "left_semi", "left_anti"):
+        by_row = skew.spread_join(many, one, "k", None, how, hot_rows=5)
+        assert rows(by_row, *sorted(by_row.columns)) == rows(many.join(one, "k", how), *sorted(by_row.columns))
         salted = skew.spread_join(many, one, "k", "id", how, hot_rows=100)
         assert "_salt" in salted._jdf.queryExecution().toString() and "_salt" not in salted.columns
         assert rows(salted, *sorted(salted.columns)) == rows(many.join(one, "k", how), *sorted(salted.columns))
     assert skew.hot_keys_of(many, "k", 100) == ["hot"]
+    assert skew.is_small(one, 4) and not skew.is_small(one, 3)
 
 
 def test_lookup_keeps_rows_and_orphans_are_listed(spark, rows):
     tickets = spark.createDataFrame([(1, 10, 10, None), (2, 11, 99, 10)], "id int, requester int, submitter int, assignee int")
     users = spark.createDataFrame([(10, "a@x"), (11, "b@x")], "id int, email string")
     roles = {r: {"email": f"{r}_mail"} for r in ("requester", "submitter", "assignee")}
-    out = enrich.lookup(tickets, users, "id", roles)
+    for small_rows in (10, 0):
+        out = enrich.lookup(tickets, users, "id", roles, small_rows)
+        assert ("BroadcastHint" in str(out._jdf.queryExecution().logical()) or "hint" in str(out._jdf.queryExecution().logical()).lower()) == bool(small_rows)
     assert rows(out, "id", "requester_mail", "submitter_mail", "assignee_mail") == [
         (1, "a@x", "a@x", None),
         (2, "b@x", None, "a@x"),

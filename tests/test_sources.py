@@ -100,6 +100,15 @@ def test_page_envelopes(spark, rows, tmp_path):
     assert rows(got, "id", "text", "agency_names", "topics") == [("1", "T", "A, ", "x, y"), ("7", "abs", "", "")]
 
 
+def test_last_user_wins(spark, rows, tmp_path):
+    for name, mail_ in (("1", "old@x"), ("2", "new@x")):
+        (tmp_path / f"{name}.json").write_text(json.dumps({"content": {"users": [{"id": 5, "email": mail_}]}}))
+    users = pages.read_pages(spark, str(tmp_path), pages.USER_PAGE, "content.users", load_order="seq")
+    tickets = spark.createDataFrame([(5, 5, None, None)], "requester_id bigint, submitter_id bigint, assignee_id bigint, organization_id bigint")
+    out = recipes.ticket_table(tickets, users, spark.createDataFrame([], "id bigint, name string"))
+    assert rows(out, "requester_email", "assignee_email") == [("new@x", None)]
+
+
 def test_page_chain(spark, rows):
     df = spark.createDataFrame([(None, ("b",)), ("b", ("c",)), ("d", (None,))], "asked string, records struct<cursor:string>")
     assert rows(pages.missing_pages(df, "asked", "records.cursor")) == [("c",)]

@@ -7,28 +7,35 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.skew import HOT_ROWS, hot_keys, spread_join
+from weftline.operators.skew import HOT_ROWS, SMALL_ROWS, hot_keys, is_small, spread_join
 
 
 def lookup(
-    df: DataFrame, dim: DataFrame, dim_key: str, roles: Mapping[str, Mapping[str, str]]
+    df: DataFrame,
+    dim: DataFrame,
+    dim_key: str,
+    roles: Mapping[str, Mapping[str, str]],
+    small_rows: int = SMALL_ROWS,
 ) -> DataFrame:
     """Join one dimension once per role: ``{"requester_id": {"email": "requester_email"}}``.
 
     A key without a match keeps its row and gives nulls; ``orphans`` lists them.
-    Spark broadcasts the dimension by its measured size, and splits hot keys
-    when it must shuffle.
+    The dimension has one row per key. Up to ``small_rows`` rows it is sent to
+    the tasks, so the rows are not shuffled at all; beyond, hot keys (and null
+    keys) are spread over tasks.
     """
-    for key, fields in roles.items():
+    fields = {src for out in roles.values() for src in out}
+    small = is_small(dim.select(dim_key, *fields), small_rows)
+    for key, names in roles.items():
         side = dim.select(
-            F.col(dim_key).alias("_key"), *[F.col(src).alias(out) for src, out in fields.items()]
+            F.col(dim_key).alias(key), *[F.col(src).alias(out) for src, out in names.items()]
         )
-        df = df.join(side, F.col(key) == F.col("_key"), "left").drop("_key")
+        df = df.join(F.broadcast(side), key, "left") if small else spread_join(df, side, key)
     return df
 
 
 def lookup_large(df: DataFrame, dim: DataFrame, key: str, spread_by: str, how: str = "left") -> DataFrame:
-    """As ``lookup`` on one shared key, for a dimension too large to broadcast: hot keys are salted."""
+    """A lookup on one shared key in a table known to be large: hot keys are salted."""
     return spread_join(df, dim, key, spread_by, how)
 
 

@@ -74,8 +74,8 @@ def reach(edges: DataFrame, start: DataFrame, max_hops: int | None = None, hot_r
     edges = cut(edges.select("src", "dst"))
     hot = hot_keys_of(edges, "src", hot_rows)
     frontier = cut(start.select("node").distinct().withColumn("hops", F.lit(0)))
-    levels = [frontier]
-    while max_hops is None or len(levels) <= max_hops:
+    levels, hops = [frontier], 0
+    while max_hops is None or hops < max_hops:
         ahead = spread_join(
             edges, frontier.select(F.col("node").alias("src")), "src", "dst", "inner", hot=hot
         )
@@ -84,11 +84,14 @@ def reach(edges: DataFrame, start: DataFrame, max_hops: int | None = None, hot_r
             ahead.select(F.col("dst").alias("node"))
             .distinct()
             .join(seen, "node", "left_anti")
-            .withColumn("hops", F.lit(len(levels)))
+            .withColumn("hops", F.lit(hops + 1))
         )
         if frontier.isEmpty():
             break
+        hops += 1
         levels.append(frontier)
+        if len(levels) > 16:
+            levels = [cut(reduce(DataFrame.unionByName, levels))]
     return reduce(DataFrame.unionByName, levels)
 
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.vectors import dot, truncated
+from weftline.storage import cut
 
 BLOCK_QUERIES = 2048
 # Result lists up to this many rows are sent to the tasks that hold the corpus.
@@ -30,20 +31,15 @@ SCORE_DIGITS = 12
 def _query_blocks(queries: DataFrame, qid: str, vec: str) -> tuple[list[pd.DataFrame], int]:
     """The queries in blocks of bounded size, and their number."""
     usable = queries.select(qid, vec).filter(F.col(vec).isNotNull())
-    head = usable.limit(BLOCK_QUERIES + 1).toPandas()
-    if len(head) <= BLOCK_QUERIES:
-        return ([head] if len(head) else []), len(head)
     n = usable.count()
+    if n <= BLOCK_QUERIES:
+        return ([usable.toPandas()] if n else []), n
     n_blocks = -(-2 * n // BLOCK_QUERIES)
-    blocks = []
-    for b in range(n_blocks):
-        part = usable.filter(F.pmod(F.xxhash64(qid), F.lit(n_blocks)) == b)
-        block = part.limit(BLOCK_QUERIES + 1).toPandas()
-        if len(block) > BLOCK_QUERIES:
-            raise ValueError("query ids must be unique")
-        if len(block):
-            blocks.append(block)
-    return blocks, n
+    block = F.pmod(F.xxhash64(qid), F.lit(n_blocks))
+    largest = usable.groupBy(block.alias("b")).count().agg(F.max("count")).first()[0]
+    if largest > BLOCK_QUERIES:
+        raise ValueError("query ids must be unique")
+    return [b for i in range(n_blocks) if len(b := usable.filter(block == i).toPandas())], n
 
 
 def _scores(vectors: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarray:
@@ -155,6 +151,17 @@ def knn(
     return side.join(_near(hits, n * k), "id").select("qid", "id", "score", "rank", *fields)
 
 
+def with_fields(hits: DataFrame, df: DataFrame, fields: Sequence[str], id_col: str = "id") -> DataFrame:
+    """Hits with columns of another table, matched by id.
+
+    The hits are computed once and counted: a short list goes to the tasks that
+    hold the table, a long one is joined by shuffle.
+    """
+    once = cut(hits)
+    side = df.select(F.col(id_col).alias("id"), *fields)
+    return side.join(_near(once, once.count()), "id").select(*hits.columns, *fields)
+
+
 def truncate(df: DataFrame, dims: int, vec: str = "embedding") -> DataFrame:
     """Vectors cut to their first ``dims`` numbers at unit length; zero vectors are left out.
 
@@ -183,7 +190,7 @@ def knn_rerank(
     short = truncate(corpus, dims, vec) if short is None else short
     wide = k * expand
     few = knn(truncate(queries, dims, vec), short, wide, qid=qid, id_col=id_col, vec=vec)
-    n_queries = queries.limit(BROADCAST_ROWS // wide + 1).count()
+    n_queries = queries.count()
     full = corpus.select(F.col(id_col).alias("id"), F.col(vec).alias("_full"))
     asked = queries.select(F.col(qid).alias("qid"), F.col(vec).alias("_asked"))
     pairs = full.join(_near(few.select("qid", "id"), n_queries * wide), "id").join(asked, "qid")

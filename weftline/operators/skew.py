@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # At most this many keys are treated as hot. Any key beyond them holds less than
@@ -11,11 +11,24 @@ HOT_KEYS = 1000
 # Keys below this many rows are never worth spreading.
 HOT_ROWS = 1_000_000
 SALTS = 64
+# A table of at most this many narrow rows may be sent to every task.
+SMALL_ROWS = 500_000
+
+
+def is_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> bool:
+    """Whether a table has at most ``max_rows`` rows. The count needs no columns of it."""
+    return df.count() <= max_rows
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash over the plain columns of a row."""
+    plain = [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "array", "struct", "variant")]
+    return F.xxhash64(*[F.col(f"`{c}`") for c in plain])
 
 
 def hot_keys(counts: DataFrame, key: str, n_col: str, hot_rows: int = HOT_ROWS) -> list:
     """The (at most HOT_KEYS) largest keys of a per-key count that reach ``hot_rows``."""
-    large = counts.filter((F.col(n_col) >= hot_rows) & F.col(key).isNotNull())
+    large = counts.filter(F.col(n_col) >= hot_rows)
     return [r[0] for r in large.orderBy(F.desc(n_col), key).limit(HOT_KEYS).select(key).collect()]
 
 
@@ -28,26 +41,28 @@ def spread_join(
     many: DataFrame,
     one: DataFrame,
     key: str,
-    spread_by: str,
+    spread_by: str | None = None,
     how: str = "left",
     hot_rows: int = HOT_ROWS,
     hot: list | None = None,
 ) -> DataFrame:
     """Join rows to a table with one row per key when both sides may be large.
 
-    Without hot keys this is a plain join. Otherwise the rows of a hot key go to
-    SALTS tasks by the hash of ``spread_by``, and only the hot keys' rows on the
-    ``one`` side are repeated. The salt is a function of the row, so a re-run
-    task repeats it. ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
+    Without hot keys (null counts as a key) this is a plain join. Otherwise the
+    rows of a hot key go to SALTS tasks by the hash of ``spread_by`` (of the row if not given), and only
+    the hot keys' rows on the ``one`` side are repeated. The salt is a function
+    of the row, so a re-run task repeats it. ``how`` is ``inner``, ``left``,
+    ``left_semi`` or ``left_anti``.
     """
     if hot is None:
         hot = hot_keys_of(many, key, hot_rows)
     if not hot:
         return many.join(one, key, how)
-    is_hot = F.col(key).isin(hot)
-    salt = F.pmod(F.xxhash64(spread_by), F.lit(SALTS)).cast("int")
+    is_hot = F.col(key).isin([k for k in hot if k is not None])
+    mark = F.xxhash64(spread_by) if spread_by else row_hash(many)
+    salt = F.pmod(mark, F.lit(SALTS)).cast("int")
     # Null keys match nothing, so they may go anywhere.
-    salted = many.withColumn("_salt", F.when(is_hot | F.col(key).isNull(), salt).otherwise(F.lit(0)))
+    salted = many.withColumn("_salt", F.when(F.col(key).isNull() | is_hot, salt).otherwise(F.lit(0)))
     places = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     repeated = one.withColumn("_salt", F.explode(places))
     return salted.join(repeated, [key, "_salt"], how).drop("_salt")

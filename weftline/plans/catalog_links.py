@@ -75,18 +75,19 @@ def block_links(spark: SparkSession, d: str) -> DataFrame:
 
 @query(
     r"""
-    WITH RECURSIVE l AS (
+    WITH RECURSIVE l AS MATERIALIZED (
       SELECT DISTINCT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS link FROM pages),
-    r(page_id, hops) AS (
+    r(page_id, hops) USING KEY (page_id) AS (
       SELECT 0::BIGINT, 0
       UNION
-      SELECT b.page_id, hops + 2 FROM r JOIN l a ON a.page_id = r.page_id JOIN l b ON a.link = b.link
-      WHERE hops < 6)
-    SELECT page_id, min(hops)::INTEGER AS hops FROM r GROUP BY page_id
+      SELECT b.page_id, min(r.hops) + 2 FROM r JOIN l a ON a.page_id = r.page_id JOIN l b ON a.link = b.link
+      WHERE b.page_id NOT IN (SELECT page_id FROM recurring.r)
+      GROUP BY b.page_id)
+    SELECT page_id, hops FROM r
     """
 )
 def link_reach(spark: SparkSession, d: str) -> DataFrame:
-    """Pages that can be reached from page 0 over shared links, three links far.
+    """All pages that can be reached from page 0 over shared links, and how far off they are.
 
     Pages and links are the two kinds of nodes, so pages that share a link meet
     at the link and are never paired with each other.
@@ -102,7 +103,7 @@ def link_reach(spark: SparkSession, d: str) -> DataFrame:
     )
     edges = links.selectExpr("p AS src", "l AS dst").unionByName(links.selectExpr("l AS src", "p AS dst"))
     start = spark.range(1).select(F.lit("page:0").alias("node"))
-    found = graph.reach(edges, start, max_hops=6)
+    found = graph.reach(edges, start)
     return found.filter(F.startswith("node", F.lit("page:"))).select(
         F.substring_index("node", ":", -1).cast("bigint").alias("page_id"), "hops"
     )

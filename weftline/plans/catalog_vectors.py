@@ -202,7 +202,7 @@ def rag_context(spark: SparkSession, d: str) -> DataFrame:
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), "lang", "text")
     hits = search.knn(_label_queries(corpus), corpus, 3)
     asked = F.concat(F.lit("what is label "), F.col("qid").cast("string"), F.lit("?"))
-    found = docs.join(F.broadcast(hits), "id").withColumn("question", asked)
+    found = search.with_fields(hits, docs, ["lang", "text"]).withColumn("question", asked)
     return chunk.rag_context(found, ["id", "lang", "text"], "question")
 
 

@@ -145,7 +145,14 @@ def enriched_calls(transcripts: DataFrame, calls: DataFrame) -> DataFrame:
 
 
 def ticket_table(tickets: DataFrame, users: DataFrame, organizations: DataFrame) -> DataFrame:
-    """Tickets with the mail addresses of their three people, in the export's columns."""
+    """Tickets with the mail addresses of their three people, in the export's columns.
+
+    Users and organizations that carry a ``seq`` load order may repeat an id; the last wins.
+    """
+    if "seq" in users.columns:
+        users = latest_by_key(users, "id", ["seq"])
+    if "seq" in organizations.columns:
+        organizations = latest_by_key(organizations, "id", ["seq"])
     people = {
         f"{role}_id": {"email": f"{role}_email"} for role in ("requester", "submitter", "assignee")
     }

@@ -32,19 +32,32 @@ USER_PAGE = "content STRUCT<users ARRAY<STRUCT<id BIGINT, email STRING>>>"
 ORGANIZATION_PAGE = "content STRUCT<organizations ARRAY<STRUCT<id BIGINT, name STRING>>>"
 
 
-def records(pages: DataFrame, array_col: str) -> DataFrame:
-    """The records of all envelopes as flat columns; empty pages give no rows."""
-    return pages.select(F.explode(array_col).alias("r")).select("r.*")
+def records(pages: DataFrame, array_col: str, load_order: str | None = None) -> DataFrame:
+    """The records of all envelopes as flat columns; empty pages give no rows.
+
+    ``load_order`` names a column to add that sorts records as they were landed:
+    by page file, then by place on the page.
+    """
+    if load_order is None:
+        return pages.select(F.explode(array_col).alias("r")).select("r.*")
+    placed = pages.select(F.col("_metadata.file_path").alias("file"), F.posexplode(array_col).alias("pos", "r"))
+    return placed.select("r.*", F.struct("file", "pos").alias(load_order))
 
 
 def read_pages(
-    spark: SparkSession, path: str, schema: str | T.StructType, array_col: str, multi_line: bool = True
+    spark: SparkSession,
+    path: str,
+    schema: str | T.StructType,
+    array_col: str,
+    multi_line: bool = True,
+    load_order: str | None = None,
 ) -> DataFrame:
     """All records of the pages landed at ``path``: a page per file, or per line without ``multi_line``.
 
     Files replace the paging loop, so every page is read, however many there are.
     """
-    return records(spark.read.schema(schema).option("multiLine", multi_line).json(path), array_col)
+    pages = spark.read.schema(schema).option("multiLine", multi_line).json(path)
+    return records(pages, array_col, load_order)
 
 
 def missing_pages(pages: DataFrame, asked: str, cursor: str) -> DataFrame:
