@@ -92,6 +92,17 @@ def test_truncate_is_pure_and_drops_zero(spark):
     assert df.filter("id = 1").first()["embedding"] == [3.0, 4.0, 1.0]
 
 
+def test_search_on_the_first_numbers(spark, data):
+    queries, corpus = data
+    corpus = corpus.copy()
+    corpus[5, :4] = 0
+    q, c = frame(spark, queries, "qid"), frame(spark, corpus)
+    stored = listed(search.knn(search.truncate(q, 4), search.truncate(c, 4), 290))
+    assert listed(search.knn(q, c, 290, dims=4)) == stored and all(5 not in ids for ids in stored.values())
+    whole = search.knn_rerank(q, c, 4, k=10, expand=3, short=search.truncate(c, 4))
+    assert listed(whole) == listed(search.knn_rerank(q, c, 4, k=10, expand=3))
+
+
 def test_random_vectors_repeat(spark):
     one = random_vectors(spark, 20, 8, seed=1)
     assert one.collect() == random_vectors(spark, 20, 8, seed=1).repartition(3).orderBy(F.col("id").cast("int")).collect()

@@ -55,14 +55,33 @@ def _k_best(found: pd.DataFrame, k: int) -> pd.DataFrame:
     return ordered.groupby("q", sort=False).head(k)
 
 
+def _at_unit_length(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows at unit length, and which rows have a direction at all."""
+    lengths = np.sqrt((vectors**2).sum(axis=1))
+    usable = lengths > 0
+    return vectors[usable] / lengths[usable, None], usable
+
+
 def _block_search(
-    corpus: DataFrame, block: pd.DataFrame, k: int, metric: str, qid: str, id_col: str, vec: str
+    corpus: DataFrame,
+    block: pd.DataFrame,
+    k: int,
+    metric: str,
+    qid: str,
+    id_col: str,
+    vec: str,
+    dims: int | None,
 ) -> DataFrame:
     """The ``k`` best rows of each corpus partition for every query of one block."""
     context = corpus.sparkSession.sparkContext
     names = block[qid].to_numpy()
-    matrix = context.broadcast(np.stack([np.asarray(v, dtype=np.float64) for v in block[vec]]))
-    dims = len(block[vec].iloc[0])
+    asked = np.stack([np.asarray(v, dtype=np.float64) for v in block[vec]])
+    full = asked.shape[1]
+    width = min(dims or full, full)
+    if dims is not None:
+        asked, usable = _at_unit_length(asked[:, :width])
+        names = names[usable]
+    matrix = context.broadcast(asked)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries = matrix.value
@@ -73,7 +92,11 @@ def _block_search(
                 continue
             ids = batch.column(0).to_pandas().to_numpy()
             flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
-            scores = _scores(flat.astype(np.float64).reshape(-1, dims), queries, metric)
+            vectors = flat.astype(np.float64).reshape(-1, width)
+            if dims is not None:
+                vectors, usable = _at_unit_length(vectors)
+                ids = ids[usable]
+            scores = _scores(vectors, queries, metric)
             if len(ids) > k:
                 kth = np.partition(scores, len(ids) - k, axis=0)[len(ids) - k]
                 rows, cols = np.nonzero(scores >= np.maximum(kth, floor))
@@ -101,7 +124,8 @@ def _block_search(
 
     q_type = corpus.sparkSession.createDataFrame(block[[qid]].head(1)).schema[0].dataType.simpleString()
     id_type = corpus.schema[id_col].dataType.simpleString()
-    rows = corpus.select(id_col, vec).filter(F.size(vec) == dims)
+    rows = corpus.filter(F.size(vec) == full)
+    rows = rows.select(id_col, vec if width == full else F.slice(vec, 1, width))
     return rows.mapInArrow(scan, f"qid {q_type}, id {id_type}, score double")
 
 
@@ -124,12 +148,15 @@ def knn(
     id_col: str = "id",
     vec: str = "embedding",
     fields: Sequence[str] = (),
+    dims: int | None = None,
 ) -> DataFrame:
     """The ``k`` best corpus rows of every query: ``qid, id, score, rank`` and ``fields``.
 
     Best first, ties by id. ``metric`` is ``dot`` (largest first) or
     ``euclidean`` (smallest first). Vectors that are null or of another length
-    than the queries are left out.
+    than the queries are left out. ``dims`` searches on the first ``dims``
+    numbers at unit length, without the vectors that are zero there; the rest of
+    a vector then never leaves the scan.
     """
     blocks, n = _query_blocks(queries, qid, vec)
     if not blocks:
@@ -140,7 +167,7 @@ def knn(
     q_type = queries.schema[qid].dataType
     found = reduce(
         DataFrame.unionByName,
-        [_block_search(corpus, b, k, metric, qid, id_col, vec) for b in blocks],
+        [_block_search(corpus, b, k, metric, qid, id_col, vec, dims) for b in blocks],
     )
     hits = _ranked(found, k, ascending=metric != "dot").select(
         F.col("qid").cast(q_type).alias("qid"), "id", "score", "rank"
@@ -187,9 +214,11 @@ def knn_rerank(
     ``short`` is the truncated corpus when it is already at hand (truncate once,
     write it, search it often).
     """
-    short = truncate(corpus, dims, vec) if short is None else short
     wide = k * expand
-    few = knn(truncate(queries, dims, vec), short, wide, qid=qid, id_col=id_col, vec=vec)
+    if short is None:
+        few = knn(queries, corpus, wide, qid=qid, id_col=id_col, vec=vec, dims=dims)
+    else:
+        few = knn(truncate(queries, dims, vec), short, wide, qid=qid, id_col=id_col, vec=vec)
     n_queries = queries.count()
     full = corpus.select(F.col(id_col).alias("id"), F.col(vec).alias("_full"))
     asked = queries.select(F.col(qid).alias("qid"), F.col(vec).alias("_asked"))

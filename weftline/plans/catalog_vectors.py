@@ -105,7 +105,7 @@ def knn_euclid(spark: SparkSession, d: str) -> DataFrame:
 )
 def knn_truncated(spark: SparkSession, d: str) -> DataFrame:
     corpus = _corpus(spark, d)
-    return _rounded(search.knn(search.truncate(_label_queries(corpus), 32), search.truncate(corpus, 32), 10))
+    return _rounded(search.knn(_label_queries(corpus), corpus, 10, dims=32))
 
 
 _RERANK_SQL = f"""{_short_sql("qs", "q", "qid", 16)}, {_short_sql("cs", "c", "id", 16)},
