@@ -36,7 +36,8 @@ def flatten_tree(df: DataFrame, id_col: str, parent_col: str, hot_rows: int = HO
             (~child).alias("top"),
         )
     )
-    rounds_left = max(1, state.count()).bit_length() + 1
+    n = state.count()
+    rounds_left = max(1, n).bit_length() + 1
     closed, climbing = [state.filter("top")], state.filter("NOT top")
     while rounds_left and not climbing.isEmpty():
         ahead = reduce(DataFrame.unionByName, [*closed, climbing]).select(
@@ -45,8 +46,9 @@ def flatten_tree(df: DataFrame, id_col: str, parent_col: str, hot_rows: int = HO
             F.col("steps").alias("more"),
             F.col("top").alias("next_top"),
         )
+        hot = hot_keys_of(climbing, "up", hot_rows, n)
         moved = cut(
-            spread_join(climbing, ahead, "up", "node", "inner", hot_rows).select(
+            spread_join(climbing, ahead, "up", "node", "inner", hot=hot).select(
                 "node",
                 F.col("next").alias("up"),
                 (F.col("steps") + F.col("more")).alias("steps"),
@@ -72,7 +74,7 @@ def reach(edges: DataFrame, start: DataFrame, max_hops: int | None = None, hot_r
     are written once and read every hop.
     """
     edges = cut(edges.select("src", "dst"))
-    hot = hot_keys_of(edges, "src", hot_rows)
+    hot = hot_keys_of(edges, "src", hot_rows, edges.count())
     frontier = cut(start.select("node").distinct().withColumn("hops", F.lit(0)))
     levels, hops = [frontier], 0
     while max_hops is None or hops < max_hops:
@@ -105,7 +107,8 @@ def connected_groups(edges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     both = cut(
         edges.selectExpr("src AS a", "dst AS b").unionByName(edges.selectExpr("dst AS a", "src AS b")).distinct()
     )
-    hot = hot_keys_of(both, "b", hot_rows)
+    n = both.count()
+    hot = hot_keys_of(both, "b", hot_rows, n)
     labels = cut(both.groupBy("a").agg(F.min("b").alias("m")).select(
         F.col("a").alias("node"), F.least("a", "m").alias("label")
     ))
@@ -116,9 +119,12 @@ def connected_groups(edges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         lower = labels.join(around, labels["node"] == around["a"]).select(
             "node", "label", F.least("label", "m").alias("near")
         )
+        if n >= hot_rows:
+            lower = cut(lower)  # read for the count of hot labels and for the join
         far = labels.select(F.col("node").alias("near"), F.col("label").alias("far"))
+        hot_labels = hot_keys_of(lower, "near", hot_rows, n)
         jumped = cut(
-            spread_join(lower, far, "near", "node", "inner", hot_rows).select(
+            spread_join(lower, far, "near", "node", "inner", hot=hot_labels).select(
                 "node", F.least("near", "far").alias("label"), (F.least("near", "far") < F.col("label")).alias("moved")
             )
         )

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from weftline.functions.vectors import dot
 from weftline.operators.graph import connected_groups
-from weftline.operators.skew import HOT_ROWS, spread_join
+from weftline.operators.skew import HOT_ROWS, hot_keys_of, spread_join
 from weftline.storage import cut
 
 
@@ -48,12 +48,12 @@ def near_dups(
     brings together, directly or through others, is missed; ``recall`` sets how
     many buckets guard against that.
     """
-    rows = df.filter(F.col(vec).isNotNull()).select(
-        F.col(id_col).alias("id"),
-        F.col(vec).cast("array<float>").alias("vec"),
-    )
+    # Written before anything is asked of it: the vectors may come from a model.
+    rows = cut(
+        df.select(F.col(id_col).alias("id"), F.col(vec).cast("array<float>").alias("vec"))
+    ).filter("vec IS NOT NULL")
     key = F.concat_ws("-", F.hex(F.xxhash64("vec")), F.hex(F.xxhash64(F.lit(seed), "vec")))
-    keyed = cut(rows.withColumn("vec_key", key))
+    keyed = rows.withColumn("vec_key", key)
     firsts = cut(keyed.groupBy("vec_key", "vec").agg(F.min("id").alias("first")))
     stats = firsts.select(
         F.count(F.lit(1)).alias("n"),
@@ -80,15 +80,18 @@ def near_dups(
         .filter("n > 1")
         .select("bucket", "head")
     )
+    n_placed = stats["n"] * bands
+    hot = hot_keys_of(placed, "bucket", hot_rows, n_placed)
     pairs = cut(
-        spread_join(placed, heads, "bucket", "first", "inner", hot_rows)
+        spread_join(placed, heads, "bucket", "first", "inner", hot=hot)
         .filter("first <> head")
         .select("first", "head")
         .distinct()
     )
     vectors = firsts.select("first", "vec")
     heads_vec = vectors.select(F.col("first").alias("head"), F.col("vec").alias("head_vec"))
-    links = spread_join(pairs.join(vectors, "first"), heads_vec, "head", "first", "inner", hot_rows).filter(
+    hot = hot_keys_of(pairs, "head", hot_rows, n_placed)
+    links = spread_join(pairs.join(vectors, "first"), heads_vec, "head", "first", "inner", hot=hot).filter(
         dot(F.col("vec"), F.col("head_vec")) >= threshold
     )
     groups = connected_groups(links.select(F.col("first").alias("src"), F.col("head").alias("dst")), hot_rows)

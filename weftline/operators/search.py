@@ -15,6 +15,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -30,7 +31,8 @@ SCORE_DIGITS = 12
 
 def _query_blocks(queries: DataFrame, qid: str, vec: str) -> tuple[list[pd.DataFrame], int]:
     """The queries in blocks of bounded size, and their number."""
-    usable = queries.select(qid, vec).filter(F.col(vec).isNotNull())
+    # Written once: the queries may come from a model, and are counted and read.
+    usable = cut(queries.select(qid, vec)).filter(F.col(vec).isNotNull())
     n = usable.count()
     if n <= BLOCK_QUERIES:
         return ([usable.toPandas()] if n else []), n
@@ -88,6 +90,9 @@ def _block_search(
         floor = np.full(len(queries), -np.inf)
         best = pd.DataFrame({"q": [], "score": [], "id": []})
         for batch in batches:
+            # Not a filter before the scan: that would make a computed vector twice.
+            length = pc.list_value_length(batch.column(1))
+            batch = batch.filter(pc.equal(length, width))
             if batch.num_rows == 0:
                 continue
             ids = batch.column(0).to_pandas().to_numpy()
@@ -124,8 +129,8 @@ def _block_search(
 
     q_type = corpus.sparkSession.createDataFrame(block[[qid]].head(1)).schema[0].dataType.simpleString()
     id_type = corpus.schema[id_col].dataType.simpleString()
-    rows = corpus.filter(F.size(vec) == full)
-    rows = rows.select(id_col, vec if width == full else F.slice(vec, 1, width))
+    head = F.when(F.size(vec) == full, F.slice(vec, 1, width)) if width < full else F.col(vec)
+    rows = corpus.select(id_col, head.alias("v"))
     return rows.mapInArrow(scan, f"qid {q_type}, id {id_type}, score double")
 
 

@@ -32,8 +32,13 @@ def hot_keys(counts: DataFrame, key: str, n_col: str, hot_rows: int = HOT_ROWS)
     return [r[0] for r in large.orderBy(F.desc(n_col), key).limit(HOT_KEYS).select(key).collect()]
 
 
-def hot_keys_of(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> list:
-    """The hot keys of a table; rows are counted per key before any shuffle."""
+def hot_keys_of(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, n_rows: int | None = None) -> list:
+    """The hot keys of a table; rows are counted per key before any shuffle.
+
+    ``n_rows``, the size of the table where it is known, saves the count for small tables.
+    """
+    if n_rows is not None and n_rows < hot_rows:
+        return []
     return hot_keys(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), key, "_n", hot_rows)
 
 

@@ -31,7 +31,7 @@ def topic_labels(df: DataFrame, text_col: str, n_terms: int = 3) -> DataFrame:
     rows per topic are put together.
     """
     terms = df.select("topic", F.explode(F.array_distinct(words(F.col(text_col)))).alias("term"))
-    per_topic = terms.groupBy("topic", "term").agg(F.count(F.lit(1)).alias("n"))
+    per_topic = cut(terms.groupBy("topic", "term").agg(F.count(F.lit(1)).alias("n")))
     overall = per_topic.groupBy("term").agg(F.sum("n").alias("docs"))
     n_docs = df.count()
     scored = per_topic.join(overall, "term").withColumn(

@@ -110,7 +110,7 @@ def _archive_mail(spark: SparkSession, d: str) -> DataFrame:
 )
 def mail_archive(spark: SparkSession, d: str) -> DataFrame:
     """Parse an archive, keep the earliest copy of every text."""
-    rows = mail.archive_rows(mail.parse_messages(_archive_mail(spark, d), "content", latin1=True))
+    rows = mail.archive_rows(mail.parse_archived(_archive_mail(spark, d), "content"))
     return recipes.mail_collection(rows).select(
         "text",
         F.col("From").alias("sender"),
@@ -129,7 +129,7 @@ def mail_archive(spark: SparkSession, d: str) -> DataFrame:
     """
 )
 def header_census(spark: SparkSession, d: str) -> DataFrame:
-    return census.common_keys(mail.parse_messages(_archive_mail(spark, d), "content", latin1=True), "headers", 21)
+    return census.common_keys(mail.parse_archived(_archive_mail(spark, d), "content"), "headers", 21)
 
 
 def _mailbox_mail(spark: SparkSession, d: str) -> DataFrame:

@@ -7,12 +7,13 @@ Spark columns.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from email import message_from_bytes, message_from_string
 from email.header import decode_header
 from email.message import Message
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,8 +22,21 @@ from weftline.functions.html import visible_text
 from weftline.functions.text import thread_id
 from weftline.operators.reshape import label_flags
 
-PART = "STRUCT<type: STRING, attachment: BOOLEAN, decoded: STRING, raw: STRING>"
-PARSED = f"headers MAP<STRING, STRING>, multipart BOOLEAN, payload STRING, parts ARRAY<{PART}>"
+# The parser's output, as Arrow types and as DDL. A mailbox needs the body parts
+# of a message, an archive its payload as it stands; the other stays unread.
+_STRING = pa.string()
+_HEADERS = pa.map_(_STRING, _STRING)
+_PART = pa.struct(
+    [("type", _STRING), ("attachment", pa.bool_()), ("decoded", _STRING), ("raw", _STRING)]
+)
+_AS_PARTS = {"headers": _HEADERS, "multipart": pa.bool_(), "parts": pa.list_(_PART)}
+_AS_PAYLOAD = {"headers": _HEADERS, "payload": _STRING}
+_DDL = {
+    "headers": "MAP<STRING, STRING>",
+    "multipart": "BOOLEAN",
+    "parts": "ARRAY<STRUCT<type: STRING, attachment: BOOLEAN, decoded: STRING, raw: STRING>>",
+    "payload": "STRING",
+}
 
 # The labels that become columns, the headers the archive keeps.
 MAILBOX_LABELS = (
@@ -77,47 +91,62 @@ def _text(value: object) -> str:
     return str(value).encode("utf-8", errors="replace").decode("utf-8")
 
 
-def _row(message: Message) -> dict:
-    headers: dict[str, str] = {}
+def _headers(message: Message) -> list[tuple[str, str]]:
+    """Headers by name; a repeated one keeps its first value."""
+    first: dict[str, str] = {}
     for name, value in message.items():
-        headers.setdefault(_text(name), _text(value))
-    leaves = [p for p in message.walk() if not p.is_multipart()]
-    whole = message.get_payload()
+        first.setdefault(_text(name), _text(value))
+    return list(first.items())
+
+
+def _leaf(part: Message) -> dict:
+    decoded = _decoded(part)
+    return {
+        "type": part.get_content_type(),
+        "attachment": "attachment" in str(part.get("Content-Disposition")),
+        "decoded": decoded,
+        "raw": _text(part.get_payload()) if decoded is None else None,
+    }
+
+
+def _as_parts(raw: bytes) -> dict:
+    message = message_from_bytes(raw)
     return {
-        "headers": headers,
+        "headers": _headers(message),
         "multipart": message.is_multipart(),
-        "payload": _text(whole) if isinstance(whole, str) else None,
-        "parts": [
-            {
-                "type": leaf.get_content_type(),
-                "attachment": "attachment" in str(leaf.get("Content-Disposition")),
-                "decoded": _decoded(leaf),
-                "raw": _text(leaf.get_payload()),
-            }
-            for leaf in leaves
-        ],
+        "parts": [_leaf(p) for p in message.walk() if not p.is_multipart()],
     }
 
 
-def parse_messages(df: DataFrame, content: str, latin1: bool = False) -> DataFrame:
-    """Add the parsed headers and body parts of the raw message in ``content`` (binary).
+def _as_payload(raw: bytes) -> dict:
+    message = message_from_string(raw.decode("latin-1"))
+    whole = message.get_payload()
+    return {"headers": _headers(message), "payload": _text(whole) if isinstance(whole, str) else None}
 
-    A header that is repeated keeps its first value. ``latin1`` reads all bytes
-    as Latin-1 before parsing, as old archives need.
-    """
+
+def _parsed(df: DataFrame, content: str, types: dict, parse: Callable[[bytes], dict]) -> DataFrame:
+    """The other columns of ``df`` and the parsed message of each row, by Arrow batches."""
     keep = [c for c in df.columns if c != content]
-    schema = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep)
 
-    def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = [
-                _row(message_from_string(raw.decode("latin-1")) if latin1 else message_from_bytes(raw))
-                for raw in batch[content]
-            ]
-            parsed = pd.DataFrame(rows, columns=["headers", "multipart", "payload", "parts"])
-            yield pd.concat([batch[keep].reset_index(drop=True), parsed], axis=1)
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in source:
+            messages = [parse(raw.as_py()) for raw in batch.column(content)]
+            made = [pa.array([m[name] for m in messages], kind) for name, kind in types.items()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *made], names=[*keep, *types])
+
+    ddl = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep]
+    rows = df.filter(F.col(content).isNotNull()).select(*keep, content)
+    return rows.mapInArrow(batches, ", ".join([*ddl, *(f"{n} {_DDL[n]}" for n in types)]))
+
+
+def parse_messages(df: DataFrame, content: str) -> DataFrame:
+    """Headers and body parts of the raw messages in ``content`` (binary)."""
+    return _parsed(df, content, _AS_PARTS, _as_parts)
+
 
-    return df.filter(F.col(content).isNotNull()).mapInPandas(parse, f"{schema}, {PARSED}" if keep else PARSED)
+def parse_archived(df: DataFrame, content: str) -> DataFrame:
+    """Headers and undivided payload of archived messages, all bytes read as Latin-1."""
+    return _parsed(df, content, _AS_PAYLOAD, _as_payload)
 
 
 def header(name: str, headers: str = "headers") -> Column:
@@ -208,7 +237,7 @@ def read_mail_files(spark: SparkSession, path: str) -> DataFrame:
         F.array_join(steps, "/").alias("_filename"),
         "content",
     )
-    return archive_rows(parse_messages(named, "content", latin1=True))
+    return archive_rows(parse_archived(named, "content"))
 
 
 def split_mailbox(spark: SparkSession, path: str) -> DataFrame:
