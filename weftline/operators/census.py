@@ -25,7 +25,7 @@ def promote_keys(df: DataFrame, map_col: str, names: list[str]) -> DataFrame:
 
 def fixed_sample(df: DataFrame, id_col: str, n: int, seed: int = 0) -> DataFrame:
     """A uniform sample of exactly ``n`` rows, the same on every run with this seed."""
-    mark = F.xxhash64(F.lit(seed), F.col(id_col))
+    mark = F.md5(F.concat(F.lit(f"{seed}-"), F.col(id_col).cast("string")).cast("binary"))
     return df.withColumn("_mark", mark).orderBy("_mark", id_col).limit(n).drop("_mark")
 
 

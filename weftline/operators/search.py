@@ -165,10 +165,14 @@ def knn(
     """
     blocks, n = _query_blocks(queries, qid, vec)
     if not blocks:
-        empty = queries.select(F.col(qid).alias("qid")).limit(0).crossJoin(corpus.select(id_col, *fields).limit(0))
-        return empty.selectExpr(
-            "qid", f"{id_col} AS id", "0.0D AS score", "1 AS rank", *[f"`{f}`" for f in fields]
-        )
+        kinds = [
+            f"qid {queries.schema[qid].dataType.simpleString()}",
+            f"id {corpus.schema[id_col].dataType.simpleString()}",
+            "score double",
+            "rank int",
+            *(f"`{f}` {corpus.schema[f].dataType.simpleString()}" for f in fields),
+        ]
+        return corpus.sparkSession.createDataFrame([], ", ".join(kinds))
     q_type = queries.schema[qid].dataType
     found = reduce(
         DataFrame.unionByName,

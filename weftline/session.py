@@ -15,9 +15,10 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join side even where that costs one more exchange.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Lineage cuts that no frame refers to any more are removed.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
-    # Streams and joins on hashed ids profit from many small map outputs.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
 }
 

@@ -59,7 +59,8 @@ def publish(
         staged = fresh
     for old in known if mode == "replace" else [number]:
         fs.delete(_folder(spark, f"{path}/batch={old}")[0], True)
-    fs.rename(staged, _folder(spark, f"{path}/batch={number}")[0])
+    if not fs.rename(staged, _folder(spark, f"{path}/batch={number}")[0]):
+        raise OSError(f"could not put batch {number} of {path} in place")
 
 
 def read_published(spark: SparkSession, path: str, id_col: str) -> DataFrame:

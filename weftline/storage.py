@@ -14,13 +14,14 @@ def shared_dir(spark: SparkSession) -> str:
 
     Only a local session may go without the setting; it gets a temporary folder.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="weftline-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+        folder = tempfile.mkdtemp(prefix="weftline-")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
 
 
@@ -35,9 +36,7 @@ def cut(df: DataFrame) -> DataFrame:
     Iterations use this each round: the plan stays short, and a lost executor
     costs a re-read instead of a re-run of all rounds before.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
