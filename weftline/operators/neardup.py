@@ -42,8 +42,8 @@ def near_dups(
     """``id, keep_id`` for every row with a unit vector: rows to drop keep another id than their own.
 
     Equal vectors are merged first. The others meet in hashed buckets, where each
-    row is compared with the bucket's smallest id only, so a bucket of any size
-    gives one pair per row. Pairs of cosine ``threshold`` or more are links, and
+    row is compared with the bucket's smallest and largest id only, so a bucket
+    of any size gives at most two pairs per row. Pairs of cosine ``threshold`` or more are links, and
     linked rows form a group that keeps its smallest id. A pair that no bucket
     brings together, directly or through others, is missed; ``recall`` sets how
     many buckets guard against that.
@@ -74,18 +74,18 @@ def near_dups(
 
     bands_of = firsts.select("first", F.posexplode(signatures("vec")).alias("band", "signature"))
     placed = cut(bands_of.select("first", F.xxhash64("band", "signature").alias("bucket")))
-    heads = (
+    ends = (
         placed.groupBy("bucket")
-        .agg(F.min("first").alias("head"), F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
-        .select("bucket", "head")
+        .agg(F.min("first").alias("low"), F.max("first").alias("high"))
+        .filter("low < high")
+        .select("bucket", F.array("low", "high").alias("heads"))
     )
     n_placed = stats["n"] * bands
     hot = hot_keys_of(placed, "bucket", hot_rows, n_placed)
     pairs = cut(
-        spread_join(placed, heads, "bucket", "first", "inner", hot=hot)
+        spread_join(placed, ends, "bucket", "first", "inner", hot=hot)
+        .select("first", F.explode("heads").alias("head"))
         .filter("first <> head")
-        .select("first", "head")
         .distinct()
     )
     vectors = firsts.select("first", "vec")
