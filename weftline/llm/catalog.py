@@ -26,6 +26,13 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def piece_model() -> str:
+    """The public BPE model file; another model is another path for the operator."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def held_out():
     return F.crc32(F.col("doc_id").cast("string")) % 3 == 1
 
@@ -41,6 +48,13 @@ def op1_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query()
+def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    from weftline.llm.secrets import secret_scan
+
+    return secret_scan(table(spark, folder, "documents"))
+
+
 @query()
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     from weftline.llm.quality_rules import quality_rules
@@ -48,6 +62,13 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(table(spark, folder, "documents"))
 
 
+@query()
+def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    from weftline.llm.pieces import round_trip
+
+    return round_trip(table(spark, folder, "documents"), piece_model())
+
+
 @query(
     """
     WITH v AS (
