@@ -69,6 +69,14 @@ class PieceTable:
         self.matches = automaton.iter
         self.alone = {p for p in self.id_of if len(p) == 1}
         self.size = [len(p) for p in self.text]
+        # what an id shows by itself; bytes above 127 show nothing without their neighbours
+        self.split = {k for k, b in self.byte_of.items() if b > 127}
+        self.shown = [p.replace(MARK, " ") for p in self.text]
+        for k in self.silent:
+            self.shown[k] = ""
+        for k, b in self.byte_of.items():
+            self.shown[k] = chr(b)
+        self.shown[self.unknown] = " \u2047 "
         self.past: dict[int, tuple[bool, list[tuple[float, str, str]]]] = {}
         self.fits: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
@@ -141,14 +149,13 @@ class PieceTable:
 
     def part(self, text: str) -> bytes:
         """Ids of one part as little-endian 32-bit numbers."""
-        known = self.known.get(text)
-        if known is not None:
-            return known
         ids, at = [], 0
-        for k, char in enumerate(text):
-            if char not in self.alone:
-                ids += self.run(text[at:k]) + [self.byte_id[b] for b in char.encode()]
-                at = k + 1
+        if not self.alone.issuperset(text):
+            for k, char in enumerate(text):
+                if char not in self.alone:
+                    ids += self.run(text[at:k]) if at < k else []
+                    ids += [self.byte_id[b] for b in char.encode()]
+                    at = k + 1
         ids += self.run(text[at:])
         packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(text) <= PART_CHARS:
@@ -159,13 +166,15 @@ class PieceTable:
 
     def encode(self, text: str) -> bytes:
         """All ids of a text, begin and end included, as little-endian 32-bit numbers."""
-        body = ""
-        if text:
-            body = MARK + text.replace(" ", MARK)
-        return struct.pack("<I", self.begin) + b"".join(map(self.part, _PART.findall(body))) + struct.pack("<I", self.end)
+        body, known = MARK + text.replace(" ", MARK) if text else "", self.known
+        return struct.pack("<I", self.begin) + b"".join([known.get(p) or self.part(p) for p in _PART.findall(body)]) + struct.pack("<I", self.end)
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: marks become blanks, the one in front goes, byte ids are joined as UTF-8."""
+        if self.split.isdisjoint(ids):
+            text = "".join(map(self.shown.__getitem__, ids))
+            head = next((k for k in ids if k not in self.silent), None)
+            return text[1:] if head is not None and self.text[head].startswith(MARK) else text
         out: list[str] = []
         pending = bytearray()
         first = True
