@@ -55,6 +55,13 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan(table(spark, folder, "documents"))
 
 
+@query()
+def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    from weftline.llm.ngram_join import near_duplicate_groups
+
+    return near_duplicate_groups(table(spark, folder, "documents"))
+
+
 @query()
 def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     from weftline.llm.quality_rules import quality_rules
