@@ -55,6 +55,13 @@ def op2_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     return secret_scan(table(spark, folder, "documents"))
 
 
+@query()
+def op3_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    from weftline.llm.sharding import deal
+
+    return deal(table(spark, folder, "documents"))
+
+
 @query()
 def op4_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     from weftline.llm.ngram_join import near_duplicate_groups
@@ -69,6 +76,13 @@ def op5_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules(table(spark, folder, "documents"))
 
 
+@query()
+def op6_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    from weftline.llm.mixing import mix
+
+    return mix(table(spark, folder, "documents"))
+
+
 @query()
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     from weftline.llm.pieces import round_trip
@@ -98,3 +112,10 @@ def op8_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
     from weftline.llm.topk import top_k
 
     return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query()
+def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    from weftline.llm.substring_dedup import substring_dedup
+
+    return substring_dedup(table(spark, folder, "documents"))
