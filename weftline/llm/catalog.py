@@ -114,6 +114,13 @@ def op8_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
     return top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+@query()
+def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    from weftline.llm.pii import personal_data
+
+    return personal_data(table(spark, folder, "documents"))
+
+
 @query()
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from weftline.llm.substring_dedup import substring_dedup

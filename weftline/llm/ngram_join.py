@@ -308,3 +308,18 @@ def near_duplicate_groups(
     return rows.join(by_name, "name", "left").select(
         F.col("id").alias(id_col), F.col("size").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")
     )
+
+
+def representatives(docs: DataFrame, text: str = "text", id_col: str = "doc_id", n: int = 5, percent: int = 80) -> DataFrame:
+    """The row with the smallest id of every group, all columns kept.
+
+    Rows that repeat id and text are one; rows without an id can't be named as a
+    copy and stay.
+    """
+    groups = kept(near_duplicate_groups(docs, text, id_col, n, percent), "classes")
+    copies = groups.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
+    left = docs.join(sized(copies, 24), id_col, "left_anti").select(*docs.columns)
+    if groups.groupBy(id_col).count().filter("count > 1").isEmpty():
+        return left
+    marked = left.withColumn("__key", F.xxhash64(text))
+    return marked.dropDuplicates([id_col, "__key"]).select(*docs.columns)
