@@ -3,17 +3,54 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from weftline.storage import scratch_path
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that no rule rejects."""
     from weftline.llm.quality_rules import kept_documents
 
     return kept_documents(docs)
 
 
-STAGES = [("quality_rules", quality_rules)]
+def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group."""
+    from weftline.llm.ngram_join import representatives
+
+    return representatives(docs)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are replaced by the name of their kind."""
+    from weftline.llm.secrets import redact
+
+    return redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The words that the mix takes of each document."""
+    from weftline.llm.mixing import mixed_documents
+
+    return mixed_documents(docs)
+
+
+def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token counts and digests of ids and decoded texts."""
+    from weftline.llm.catalog import piece_model
+    from weftline.llm.pieces import round_trip
+
+    return round_trip(docs, piece_model())
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("ngram_join", ngram_join),
+    ("secret_scan", secret_scan),
+    ("mixing", mixing),
+    ("sentencepiece", sentencepiece),
+]
 
 #: The verdicts of the rules, the shard draws and the tokenizer have no SQL form.
 ORACLE_SQL = None
