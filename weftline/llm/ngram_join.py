@@ -10,10 +10,10 @@ sets are one member of the join, whatever the number of their documents.
 * **Where members meet.** Two sets as similar as asked share a shingle among the
   first ``|set| - least overlap + 1`` of each. Members are dealt out by these.
   A shingle of one set only ends there. In each remaining group every member is
-  first joined with the group's smallest and largest member, then groups that
-  still hold several components give the pairs between them: no pair that could
-  link two components is left out, and a large group of copies gives two pairs
-  per member.
+  first joined with the group's ends in two orders, then groups that still hold
+  several components give the pairs between them: no pair that could link two
+  components is left out, and a large group of copies gives four pairs per
+  member. Pairs whose sizes, places or parity bits rule a link out are not asked.
 * **Prefix tree.** The partners of a probe are stored as a prefix tree over the
   global order: sorted sets with the length each shares with the one before.
   One walk over the tree keeps the overlap along the current path, so shared
@@ -35,7 +35,7 @@ from functools import cache, partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weftline.llm.tables import components, kept, sized
@@ -44,6 +44,8 @@ from weftline.llm.words import Texts, chunks, combined, mixed
 #: Most frequent shingles that are put last; bounds what travels with the tasks (16 bytes each).
 LAST_SHINGLES = 1 << 17
 
+BITS = [f"b{k}" for k in range(8)]
+
 #: Partners of one probe in one prefix tree.
 TREE_SETS = 256
 
@@ -72,6 +74,15 @@ def _name(tokens: np.ndarray) -> int:
     return int(mixed(np.array([mixed(tokens).sum() + np.uint64(len(tokens))], np.uint64)).view(np.int64)[0])
 
 
+def _parity(sets: list[np.ndarray]) -> list[pa.Array]:
+    """512 parity bits of each set in 8 numbers: every member turns one bit over."""
+    out = np.zeros((len(sets), 512), np.uint8)
+    for k, found in enumerate(sets):
+        out[k] = np.bincount((found >> np.uint64(55)).astype(np.int64), minlength=512) & 1
+    numbers = np.packbits(out, axis=1, bitorder="little").view(np.int64).reshape(len(sets), 8)
+    return [pa.array(np.ascontiguousarray(numbers[:, k])) for k in range(8)]
+
+
 def _described(n: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per text (kind 0), and a row per shingle that a chunk holds twice or more (kind 1)."""
     several: list[np.ndarray] = []
@@ -80,7 +91,7 @@ def _described(n: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         for part in chunks(batch, "text"):
             sets = list(_sets(part.column(1), n))
             names = pa.array([_name(s) if len(s) else None for s in sets], pa.int64())
-            yield _rows(0, part.column(0), names, [len(s) for s in sets], part.column(2))
+            yield _rows(0, part.column(0), names, [len(s) for s in sets], part.column(2), _parity(sets))
             several += sets
             if sum(map(len, several)) >= _COUNTED_AT_ONCE:
                 yield _counted(several, kind)
@@ -92,13 +103,13 @@ def _described(n: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 def _counted(sets: list[np.ndarray], kind: pa.DataType) -> pa.RecordBatch:
     token, count = np.unique(np.concatenate(sets), return_counts=True)
     token, count = token[count > 1], count[count > 1]
-    return _rows(1, pa.nulls(len(token), kind), pa.array(token.view(np.int64)), count, pa.nulls(len(token), pa.int64()))
+    return _rows(1, pa.nulls(len(token), kind), pa.array(token.view(np.int64)), count, pa.nulls(len(token), pa.int64()), [pa.nulls(len(token), pa.int64())] * 8)
 
 
-def _rows(kind: int, ids: pa.Array, names: pa.Array, size, key: pa.Array) -> pa.RecordBatch:
+def _rows(kind: int, ids: pa.Array, names: pa.Array, size, key: pa.Array, bits: list[pa.Array]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(ids), kind, np.int32)), ids, names, pa.array(np.asarray(size, np.int64)), key],
-        ["kind", "id", "name", "size", "key"],
+        [pa.array(np.full(len(ids), kind, np.int32)), ids, names, pa.array(np.asarray(size, np.int64)), key, *bits],
+        ["kind", "id", "name", "size", "key", *BITS],
     )
 
 
@@ -138,7 +149,7 @@ def _prefixes(n: int, percent: int, last, batches: Iterator[pa.RecordBatch]) ->
     order = _order(last.value)
     for batch in batches:
         for part in chunks(batch, "text"):
-            tokens, names, sizes = [], [], []
+            tokens, names, sizes, places = [], [], [], []
             for found in _sets(part.column(0), n):
                 size = len(found)
                 if size and -(-percent * (size + 1) // 100) <= size:  # else only equal sets can link
@@ -146,10 +157,11 @@ def _prefixes(n: int, percent: int, last, batches: Iterator[pa.RecordBatch]) ->
                     tokens.append(head)
                     names.append(np.full(len(head), _name(found), np.int64))
                     sizes.append(np.full(len(head), size, np.int32))
+                    places.append(np.arange(len(head), dtype=np.int32))
             if tokens:
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(tokens).view(np.int64)), pa.array(np.concatenate(names)), pa.array(np.concatenate(sizes))],
-                    ["token", "name", "size"],
+                    [pa.array(np.concatenate(tokens).view(np.int64)), *(pa.array(np.concatenate(c)) for c in (names, sizes, places))],
+                    ["token", "name", "size", "place"],
                 )
 
 
@@ -241,6 +253,29 @@ def _verified(pairs: DataFrame, docs: DataFrame, described: DataFrame, contents,
     )
 
 
+def _differences(percent: int, a: Column, b: Column) -> Column:
+    """The largest symmetric difference with which sets of these sizes link."""
+    return a + b - 2 * F.ceil((a + b) * percent / (100 + percent))
+
+
+def _may_link(percent: int, a: str, b: str) -> Column:
+    """Sizes and parity bits allow it: no two sets differ in fewer members than in bits."""
+    x, y = F.col(f"{a}size"), F.col(f"{b}size")
+    bits = sum((F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in BITS), F.lit(0))
+    return (F.greatest(x, y) * percent <= F.least(x, y) * 100) & (bits <= _differences(percent, x, y))
+
+
+def _stars(live: DataFrame) -> DataFrame:
+    """``a, b``: every member of a group with the group's ends in two orders."""
+    other = F.struct(F.xxhash64("name").alias("h"), "name")
+    ends = live.groupBy("token").agg(
+        F.min("name").alias("p0"), F.max("name").alias("p1"), F.min(other).alias("p2"), F.max(other).alias("p3")
+    )
+    ends = ends.select("token", F.array("p0", "p1", "p2.name", "p3.name").alias("ends"))
+    pairs = live.join(ends, "token").select(F.col("name").alias("b"), F.explode(F.array_distinct("ends")).alias("a"))
+    return pairs.filter("a <> b").distinct()
+
+
 def _most_frequent(counted: DataFrame, most: int) -> bytes:
     """At most ``most`` shingles by count, rarest first; a count is taken with all its shingles or not at all."""
     step = F.floor(8 * F.log2("n"))
@@ -265,36 +300,34 @@ def near_duplicate_groups(
     kind = docs.schema[id_col].dataType.simpleString()
     docs = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("key"))
     described = kept(
-        docs.mapInArrow(partial(_described, n), f"kind int, id {kind}, name long, size long, key long"), "described"
+        docs.mapInArrow(partial(_described, n), f"kind int, id {kind}, name long, size long, key long, " + ", ".join(f"{b} long" for b in BITS)), "described"
     )
-    rows = described.filter("kind = 0").select("id", "name", "size", "key")
+    rows = described.filter("kind = 0").drop("kind")
     counted = described.filter("kind = 1").groupBy(F.col("name").alias("token")).agg(F.sum("size").alias("n"))
     last = spark.sparkContext.broadcast(_most_frequent(kept(counted, "counted"), last_shingles))
 
-    heads = docs.select("text").mapInArrow(partial(_prefixes, n, percent, last), "token long, name long, size int")
-    ends = heads.groupBy("token").agg(F.min(F.struct("name", "size")).alias("lo"), F.max(F.struct("name", "size")).alias("hi"))
-    live = kept(heads.join(ends.filter("lo.name < hi.name"), "token").dropDuplicates(), "live")
-    near = lambda a, b: (F.greatest(a, b) * percent <= F.least(a, b) * 100)
-    stars = (
-        live.select("name", "size", F.explode(F.array("lo", "hi")).alias("p"))
-        .filter((F.col("p.name") != F.col("name")) & near(F.col("p.size"), F.col("size")))
-        .select(F.col("p.name").alias("a"), F.col("name").alias("b"))
-        .distinct()
-    )
+    heads = docs.select("text").mapInArrow(partial(_prefixes, n, percent, last), "token long, name long, size int, place int")
+    ends = heads.groupBy("token").agg(F.min("name").alias("lo"), F.max("name").alias("hi"))
+    live = kept(heads.join(ends.filter("lo < hi").select("token"), "token").dropDuplicates(), "live")
+    looks = kept(rows.filter("size > 0").select("name", "size", *BITS).dropDuplicates(["name"]), "looks")
+    stars = kept(_stars(live).join(looks.select(*[F.col(c).alias(f"a_{c}") for c in looks.columns]), F.col("a") == F.col("a_name")), "stars")
+    stars = stars.join(looks.withColumnRenamed("name", "b"), "b").filter(_may_link(percent, "a_", "")).select("a", "b")
     contents = partial(_contents, n, last)
     tried = _verified(stars, docs, rows, contents, percent)
     comps = components(tried.filter("links"))
 
-    members = live.select("token", "name", "size").join(comps.withColumnRenamed("node", "name"), "name", "left")
-    members = kept(members.select("token", "name", "size", F.coalesce("comp", "name").alias("comp")), "members")
+    members = live.join(comps.withColumnRenamed("node", "name"), "name", "left")
+    members = kept(members.select("token", "name", "place", F.coalesce("comp", "name").alias("comp")), "members")
     mixed_groups = members.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("token")
-    open_ = kept(members.join(mixed_groups, "token", "left_semi"), "open")
-    x, y = open_.alias("x"), open_.alias("y")
+    open_ = kept(members.join(mixed_groups, "token", "left_semi").join(looks, "name"), "open")
+    x = open_.select("token", *[F.col(c).alias(f"x_{c}") for c in open_.columns if c != "token"])
+    y = open_.select("token", *[F.col(c).alias(f"y_{c}") for c in open_.columns if c != "token"])
+    # at their first shared shingle all that stand before it differ
+    first = F.col("x_place") + F.col("y_place") <= _differences(percent, F.col("x_size"), F.col("y_size"))
     rest = (
-        x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.comp") < F.col("y.comp")) & near(F.col("x.size"), F.col("y.size")))
-        .select(F.col("x.name").alias("a"), F.col("y.name").alias("b"))
-        .distinct()
-    )
+        x.join(y, "token").filter((F.col("x_comp") < F.col("y_comp")) & first & _may_link(percent, "x_", "y_"))
+        .select(F.col("x_name").alias("a"), F.col("y_name").alias("b")).distinct()
+    )
     done = tried.select("a", "b").union(tried.select("b", "a"))
     rest = kept(rest.join(done, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.tables import BROADCAST_BYTES, kept
+from weftline.llm.tables import kept
 from weftline.llm.words import Texts, chunks, combined, mixed
 
 KEY_WORDS = 8
@@ -264,9 +264,8 @@ def removable_spans(docs: DataFrame, window: int) -> DataFrame:
     segments = kept(docs.filter("id IS NOT NULL").select("id", "text", "key").mapInArrow(partial(_segments, window), _SEGMENTS), "segments")
     shared = segments.groupBy("dealt").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("dealt")
     live = kept(segments.join(shared, "dealt"), "live")
-    one_each = kept(
-        live.groupBy("dealt", "print").agg(F.min(F.struct("id", "key", "start", "words")).alias("h"), F.max("id").alias("most")),
-        "one_each",
+    one_each = (
+        live.groupBy("dealt", "print").agg(F.min(F.struct("id", "key", "start", "words")).alias("h"), F.max("id").alias("most"))
     )
     wide = one_each.groupBy("dealt").count().select("dealt", (F.col("count") > WIDE_KEY).alias("wide"))
     held = (
@@ -277,17 +276,18 @@ def removable_spans(docs: DataFrame, window: int) -> DataFrame:
         )
         .groupBy("id", "key").agg(F.collect_list("s").alias("segments"))
     )
-    held = kept(held, "held")
     pieces = kept(
-        _checked(docs, held, "segments", 64)
-        .select("text", "segments").mapInArrow(partial(_pieces, window), _PIECES),
-        "pieces",
+        docs.join(held, ["id", "key"]).select("text", "segments").mapInArrow(partial(_pieces, window), _PIECES), "pieces"
     )
-    unique = pieces.groupBy("spot", "piece").agg(F.min("least").alias("least"), F.max("most").alias("most"), F.min("words").alias("words"))
+    # only the windows of wide keys can come more than once
+    whole = pieces.filter("spot = dealt AND piece = print").select("spot", "piece", "least", "most", "words")
+    single = pieces.filter("NOT (spot = dealt AND piece = print)").groupBy("spot", "piece").agg(
+        F.min("least").alias("least"), F.max("most").alias("most"), F.min("words").alias("words")
+    )
     total = pieces.agg(F.sum(F.length("words") / 8)).first()[0] or 0
     shards = max(8, int(total) // SHARD_WORDS + 1)
     found = kept(
-        unique.groupBy(F.pmod(F.xxhash64("spot"), F.lit(shards))).applyInPandas(
+        whole.union(single).groupBy(F.pmod(F.xxhash64("spot"), F.lit(shards))).applyInPandas(
             partial(_shard, window), "spot long, piece long, runs array<struct<o:int,n:int,m:long>>"
         ),
         "found",
@@ -304,12 +304,6 @@ def removable_spans(docs: DataFrame, window: int) -> DataFrame:
     )
 
 
-def _checked(docs: DataFrame, side: DataFrame, column: str, item_bytes: int, how: str = "inner") -> DataFrame:
-    """Join by id and text fingerprint; ``side`` is broadcast only if its counted bytes are few."""
-    size = side.agg(F.count(F.lit(1)) * 24 + F.coalesce(F.sum(F.size(column)), F.lit(0)) * item_bytes).first()[0]
-    return docs.join(F.broadcast(side) if size <= BROADCAST_BYTES else side, ["id", "key"], how)
-
-
 def substring_dedup(
     docs: DataFrame, text: str = "text", id_col: str = "doc_id", window: int = 50, with_text: bool = False
 ) -> DataFrame:
@@ -318,6 +312,6 @@ def substring_dedup(
         raise ValueError("a window has 16 to 64 words")
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("key"))
     spans = kept(removable_spans(docs, window), "spans")
-    work = _checked(docs, spans, "spans", 8, "left").select("id", "text", "spans", *([F.lit(True).alias("t")] if with_text else []))
+    work = docs.join(spans, ["id", "key"], "left").select("id", "text", "spans", *([F.lit(True).alias("t")] if with_text else []))
     out = _OUT_WITH_TEXT.format("long")
     return work.mapInArrow(partial(_cut_out, window), out if with_text else out.rpartition(",")[0]).withColumnRenamed("id", id_col)
