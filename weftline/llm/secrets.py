@@ -134,6 +134,8 @@ def guess_cost(value: str) -> float:
     walks = _runs(low, lambda a, b: (a, b) in _NEXT)
     steps = {d: _runs(value, lambda a, b, d=d: ord(b) - ord(a) == d) for d in (-1, 1)}
     same = _runs(value, lambda a, b: a == b)
+    blocks = range(2, min(12, n // 2) + 1)
+    equal = dict.fromkeys(blocks, 0)  # how many places in a row equal the one a block earlier
     best = [0.0] * (n + 1)
     for end in range(1, n + 1):
         k = end - 1
@@ -153,14 +155,12 @@ def guess_cost(value: str) -> float:
                 (low[i + 1] > low[i]) != (low[i] > low[i - 1]) for i in range(max(walks[k] + 1, end - 24), k)
             )
             cost = min(cost, best[walks[k]] + math.log10(47) + math.log10(end - walks[k]) + turns * 0.2)
-        for size in range(2, min(12, end // 2) + 1):  # a block that stands twice or more
-            block, begin = value[end - size : end], end - 2 * size
-            while begin >= 0 and value.startswith(block, begin):
-                times = (end - begin) // size
-                cost = min(cost, best[begin] + sum(map(_bruteforce, block)) + math.log10(times))
-                begin -= size
-                if times > 64:
-                    break
+        for size in blocks:  # a block that stands twice or more
+            equal[size] = equal[size] + 1 if k >= size and value[k] == value[k - size] else 0
+            times = equal[size] // size + 1
+            if times > 1:
+                begin = end - times * size
+                cost = min(cost, best[begin] + sum(map(_bruteforce, value[begin : begin + size])) + math.log10(times))
         best[end] = cost
     return best[n]
 
