@@ -226,19 +226,22 @@ def _trees(percent: int, group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": others["a"], "b": others["b"], "links": good})
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, described: DataFrame, contents, percent: int) -> DataFrame:
-    """``a, b, links`` for every pair of set names; contents are taken again from one text of each set."""
-    pairs = kept(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("name")).union(pairs.select("b")).distinct()
+def _contents_of(names: DataFrame, docs: DataFrame, described: DataFrame, contents) -> DataFrame:
+    """``name, tokens`` of the named sets, taken again from one text of each."""
     one_each = kept(
-        described.join(wanted, "name", "left_semi").groupBy("name").agg(F.min(F.struct("key", "id")).alias("t")).select("t.key", "t.id").distinct(),
+        described.join(names, "name", "left_semi").groupBy("name").agg(F.min(F.struct("key", "id")).alias("t")).select("t.key", "t.id").distinct(),
         "wanted",
     )
     one = sized(one_each, 32).alias("w")
     texts = docs.alias("d").join(
         one, (F.col("d.key") == F.col("w.key")) & F.col("d.id").eqNullSafe(F.col("w.id")), "left_semi"
     )
-    sets = kept(texts.select("text").mapInArrow(contents, "name long, tokens binary").dropDuplicates(["name"]), "sets")
+    return kept(texts.select("text").mapInArrow(contents, "name long, tokens binary"), "sets")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``a, b, links`` for every pair of set names."""
+    pairs = kept(pairs, "pairs")
     degree = pairs.groupBy("a").count().select("a", F.ceil(F.col("count") / TREE_SETS).alias("blocks"))
     dealt = pairs.join(degree, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block"), "blocks")
     partners = dealt.join(sets.withColumnRenamed("name", "b"), "b").select("a", "block", "b", F.lit(1).alias("role"), "tokens")
@@ -253,6 +256,17 @@ def _verified(pairs: DataFrame, docs: DataFrame, described: DataFrame, contents,
     )
 
 
+def _names(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("name")).union(pairs.select("b")).distinct()
+
+
+def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
+    """The pairs whose sides are not yet in one component."""
+    ca, cb = (comps.select(F.col("node").alias(c), F.col("comp").alias(f"c{c}")) for c in "ab")
+    both = pairs.join(ca, "a", "left").join(cb, "b", "left")
+    return both.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+
+
 def _differences(percent: int, a: Column, b: Column) -> Column:
     """The largest symmetric difference with which sets of these sizes link."""
     return a + b - 2 * F.ceil((a + b) * percent / (100 + percent))
@@ -311,9 +325,15 @@ def near_duplicate_groups(
     live = kept(heads.join(ends.filter("lo < hi").select("token"), "token").dropDuplicates(), "live")
     looks = kept(rows.filter("size > 0").select("name", "size", *BITS).dropDuplicates(["name"]), "looks")
     stars = kept(_stars(live).join(looks.select(*[F.col(c).alias(f"a_{c}") for c in looks.columns]), F.col("a") == F.col("a_name")), "stars")
-    stars = stars.join(looks.withColumnRenamed("name", "b"), "b").filter(_may_link(percent, "a_", "")).select("a", "b")
+    stars = kept(
+        stars.join(looks.withColumnRenamed("name", "b"), "b").filter(_may_link(percent, "a_", "")).select("a", "b"), "stars"
+    )
     contents = partial(_contents, n, last)
-    tried = _verified(stars, docs, rows, contents, percent)
+    sets = _contents_of(_names(stars), docs, rows, contents)
+    # one end for each member first, the others only where that left two components
+    tried = _verified(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets, percent)
+    comps = components(tried.filter("links"))
+    tried = tried.union(_verified(_apart(stars, comps).join(tried, ["a", "b"], "left_anti"), sets, percent))
     comps = components(tried.filter("links"))
 
     members = live.join(comps.withColumnRenamed("node", "name"), "name", "left")
@@ -331,7 +351,7 @@ def near_duplicate_groups(
     done = tried.select("a", "b").union(tried.select("b", "a"))
     rest = kept(rest.join(done, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
-        more = _verified(rest, docs, rows, contents, percent)
+        more = _verified(rest, _contents_of(_names(rest), docs, rows, contents), percent)
         comps = components(tried.filter("links").union(more.filter("links")))
 
     groups = rows.groupBy("name").agg(F.min("id").alias("least")).join(comps.withColumnRenamed("node", "name"), "name", "left")
