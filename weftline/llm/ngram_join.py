@@ -166,13 +166,18 @@ def _prefixes(n: int, percent: int, last, batches: Iterator[pa.RecordBatch]) ->
 
 
 def _contents(n: int, last, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A text's set in the global order, once for every tree that asks for it."""
     order = _order(last.value)
     for batch in batches:
         for part in chunks(batch, "text"):
-            sets = list(_sets(part.column(0), n))
+            rows = []
+            for found, asks in zip(_sets(part.column(0), n), part.column(1).to_pylist(), strict=True):
+                tokens = order.arrange(found).tobytes()
+                rows += [(ask["a"], ask["block"], ask["b"], ask["role"], tokens) for ask in asks]
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+            columns = list(zip(*rows, strict=True)) or [()] * 5
             yield pa.RecordBatch.from_arrays(
-                [pa.array([_name(s) for s in sets], pa.int64()), pa.array([order.arrange(s).tobytes() for s in sets], pa.binary())],
-                ["name", "tokens"],
+                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["a", "block", "b", "role", "tokens"]
             )
 
 
@@ -226,40 +231,34 @@ def _trees(percent: int, group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": others["a"], "b": others["b"], "links": good})
 
 
-def _contents_of(names: DataFrame, docs: DataFrame, described: DataFrame, contents) -> DataFrame:
-    """``name, tokens`` of the named sets, taken again from one text of each."""
-    one_each = kept(
-        described.join(names, "name", "left_semi").groupBy("name").agg(F.min(F.struct("key", "id")).alias("t")).select("t.key", "t.id").distinct(),
-        "wanted",
-    )
-    one = sized(one_each, 32).alias("w")
-    texts = docs.alias("d").join(
-        one, (F.col("d.key") == F.col("w.key")) & F.col("d.id").eqNullSafe(F.col("w.id")), "left_semi"
-    )
-    return kept(texts.select("text").mapInArrow(contents, "name long, tokens binary"), "sets")
+def _verified(pairs: DataFrame, docs: DataFrame, described: DataFrame, contents, percent: int) -> DataFrame:
+    """``a, b, links`` for every pair of set names.
 
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``a, b, links`` for every pair of set names."""
+    Contents are taken again from one text of each set and travel once, from
+    there to the trees.
+    """
     pairs = kept(pairs, "pairs")
     degree = pairs.groupBy("a").count().select("a", F.ceil(F.col("count") / TREE_SETS).alias("blocks"))
-    dealt = pairs.join(degree, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block"), "blocks")
-    partners = dealt.join(sets.withColumnRenamed("name", "b"), "b").select("a", "block", "b", F.lit(1).alias("role"), "tokens")
-    probes = (
-        degree.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
-        .join(sets.withColumnRenamed("name", "a"), "a")
-        .select("a", "block", F.lit(0).cast("long").alias("b"), F.lit(0).alias("role"), "tokens")
+    block = F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block")
+    partners = pairs.join(degree, "a").select(F.col("b").alias("name"), F.struct("a", block, "b", F.lit(1).alias("role")).alias("ask"))
+    probes = degree.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")).select(
+        F.col("a").alias("name"), F.struct("a", "block", F.lit(0).cast("long").alias("b"), F.lit(0).alias("role")).alias("ask")
     )
+    asks = partners.union(probes)
+    one_each = (
+        described.join(asks.select("name").distinct(), "name", "left_semi").groupBy("name").agg(F.min(F.struct("key", "id")).alias("t"))
+    )
+    held = asks.join(one_each, "name").groupBy("t.key", "t.id").agg(F.collect_list("ask").alias("asks"))
+    held = kept(held, "asks")
+    bulk = held.agg(F.count(F.lit(1)) + F.coalesce(F.sum(F.size("asks")), F.lit(0))).first()[0]
+    w = sized(held, 40, bulk).alias("w")
+    texts = docs.alias("d").join(w, (F.col("d.key") == F.col("w.key")) & F.col("d.id").eqNullSafe(F.col("w.id")))
+    shipped = texts.select("d.text", "w.asks").mapInArrow(contents, "a long, block long, b long, role int, tokens binary")
     return kept(
-        partners.union(probes).groupBy("a", "block").applyInPandas(partial(_trees, percent), "a long, b long, links boolean"),
-        "verified",
+        shipped.groupBy("a", "block").applyInPandas(partial(_trees, percent), "a long, b long, links boolean").distinct(), "verified"
     )
 
 
-def _names(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("name")).union(pairs.select("b")).distinct()
-
-
 def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     """The pairs whose sides are not yet in one component."""
     ca, cb = (comps.select(F.col("node").alias(c), F.col("comp").alias(f"c{c}")) for c in "ab")
@@ -329,11 +328,10 @@ def near_duplicate_groups(
         stars.join(looks.withColumnRenamed("name", "b"), "b").filter(_may_link(percent, "a_", "")).select("a", "b"), "stars"
     )
     contents = partial(_contents, n, last)
-    sets = _contents_of(_names(stars), docs, rows, contents)
     # one end for each member first, the others only where that left two components
-    tried = _verified(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), sets, percent)
+    tried = _verified(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), docs, rows, contents, percent)
     comps = components(tried.filter("links"))
-    tried = tried.union(_verified(_apart(stars, comps).join(tried, ["a", "b"], "left_anti"), sets, percent))
+    tried = tried.union(_verified(_apart(stars, comps).join(tried, ["a", "b"], "left_anti"), docs, rows, contents, percent))
     comps = components(tried.filter("links"))
 
     members = live.join(comps.withColumnRenamed("node", "name"), "name", "left")
@@ -351,7 +349,7 @@ def near_duplicate_groups(
     done = tried.select("a", "b").union(tried.select("b", "a"))
     rest = kept(rest.join(done, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
-        more = _verified(rest, _contents_of(_names(rest), docs, rows, contents), percent)
+        more = _verified(rest, docs, rows, contents, percent)
         comps = components(tried.filter("links").union(more.filter("links")))
 
     groups = rows.groupBy("name").agg(F.min("id").alias("least")).join(comps.withColumnRenamed("node", "name"), "name", "left")
