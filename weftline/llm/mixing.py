@@ -77,7 +77,7 @@ def packed(docs: DataFrame, text: str, id_col: str, source: str) -> DataFrame:
     upto = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1))
     placed = rows.withColumn("nth", F.row_number().over(inside)).withColumn("within", F.coalesce(upto, F.lit(0)))
     return kept(
-        placed.join(offsets, ["src", "bucket"]).select(
+        placed.join(offsets.hint("merge"), ["src", "bucket"]).select(
             "src", "bucket", "nth", "id", "key", "source", "size", (F.col("offset") + F.col("within")).alias("start")
         ),
         "packed",
@@ -149,7 +149,7 @@ def mix(
 ) -> DataFrame:
     """One row per row of ``docs``: ``size, source_size, target, taken``, in words."""
     rows, goals, lots = drawn(docs, text, id_col, source, block_words, shards, seed, weights, budget, most)
-    met = parts(rows, block_words).join(lots.select("src", "block", "words"), ["src", "block"], "left")
+    met = parts(rows, block_words).join(lots.select("src", "block", "words").hint("merge"), ["src", "block"], "left")
     taken = met.groupBy("src", "bucket", "nth", "id", "size").agg(F.coalesce(F.sum(_taken()), F.lit(0)).alias("taken"))
     return taken.join(goals.select("src", "source_size", "target"), "src").select(
         F.col("id").alias(id_col), "size", "source_size", F.col("target").cast("double").alias("target"), "taken"
@@ -174,7 +174,7 @@ def mixed_documents(
     Rows that repeat id and text come out once, with the words of all of them.
     """
     rows, _, lots = drawn(docs, text, id_col, source, block_words, shards, seed, weights, budget, most)
-    met = parts(rows.filter("size > 0"), block_words).join(lots.select("src", "block", "epoch", "words"), ["src", "block"])
+    met = parts(rows.filter("size > 0"), block_words).join(lots.select("src", "block", "epoch", "words").hint("merge"), ["src", "block"])
     spans = (
         met.select("id", "key", F.struct("epoch", "nth", "at", _taken().alias("n")).alias("s"))
         .filter("s.n > 0")
@@ -183,7 +183,7 @@ def mixed_documents(
     )
     own = docs.withColumn("__id", F.col(id_col)).withColumn("__key", F.xxhash64(F.col(text))).dropDuplicates(["__id", "__key"])
     spans = spans.withColumnsRenamed({"id": "__span_id", "key": "__span_key", "spans": "__spans"})
-    joined = own.join(spans, F.col("__id").eqNullSafe(F.col("__span_id")) & (F.col("__key") == F.col("__span_key")))
+    joined = own.join(spans.hint("merge"), F.col("__id").eqNullSafe(F.col("__span_id")) & (F.col("__key") == F.col("__span_key")))
     words = joined.withColumn("__words", F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)))
     pieces = F.transform("__spans", lambda s: F.array_join(F.slice("__words", (s["at"] + 1).cast("int"), s["n"].cast("int")), " "))
     out = words.withColumn(text, F.array_join(pieces, " "))

@@ -77,7 +77,7 @@ def propagated(linked: DataFrame, shards: int, capacity: int, rounds: int) -> Da
         share = admitted(asked, [capacity - n for n in used])
         wide = F.col("n") * 8 > F.lit(capacity)
         wide = F.coalesce(wide, F.lit(False))
-        moved = linked.join(wish, ["link", "shard"], "left")
+        moved = linked.join(wish.hint("merge"), ["link", "shard"], "left")
         chance = F.when(wide, _chance("id", F.lit(turn))).otherwise(_chance("link", F.lit(turn)))
         goes = F.col("goal").isNotNull() & (chance < _pick(share, F.col("goal")))
         linked = kept(
@@ -132,10 +132,10 @@ def deal(docs: DataFrame, text: str = "text", id_col: str = "doc_id", shards: in
     )
     rows = rows.withColumn("shard", F.pmod(F.xxhash64("id", "link", F.lit("start")), F.lit(shards)).cast("int"))
     several = rows.groupBy("link").agg(F.count(F.lit(1)).alias("of")).filter("of > 1").select("link")
-    several = kept(several, "several")
+    several = kept(several, "several").hint("merge")
     linked = propagated(kept(rows.join(several, "link", "left_semi"), "linked"), shards, rows.count() // shards, rounds)
     groups = linked.groupBy("link", "shard").agg(F.count(F.lit(1)).alias("group_rows"))
-    linked = linked.join(groups, ["link", "shard"])
+    linked = linked.join(groups.hint("merge"), ["link", "shard"])
     alone = rows.join(several, "link", "left_anti").withColumn("group_rows", F.lit(1).cast("long"))
     return balanced(alone.unionByName(linked), shards).select(
         F.col("id").alias(id_col), "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
