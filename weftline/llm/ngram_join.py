@@ -35,7 +35,7 @@ from functools import cache, partial
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.llm.tables import components, kept, sized
@@ -122,6 +122,12 @@ class Order:
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(last & np.uint64((1 << 20) - 1)).astype(np.int64)] = True
 
+    def is_last(self, tokens: np.ndarray) -> np.ndarray:
+        """Which shingles are among those at the end."""
+        if not len(self.known):
+            return np.zeros(len(tokens), bool)
+        return self.known[np.minimum(np.searchsorted(self.known, tokens), len(self.known) - 1)] == tokens
+
     def arrange(self, tokens: np.ndarray) -> np.ndarray:
         """Ascending distinct shingles in the global order."""
         spots = np.flatnonzero(self.maybe[(tokens & np.uint64((1 << 20) - 1)).astype(np.int64)])
@@ -145,7 +151,8 @@ def least_overlap(a: int, b: np.ndarray | int, percent: int) -> np.ndarray | int
     return -(-percent * (a + b) // (100 + percent))
 
 
-def _prefixes(n: int, percent: int, last, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _prefixes(n: int, percent: int, last, often: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The frequent (``often``) or the other shingles of each set's prefix, with their place in the set."""
     order = _order(last.value)
     for batch in batches:
         for part in chunks(batch, "text"):
@@ -154,10 +161,11 @@ def _prefixes(n: int, percent: int, last, batches: Iterator[pa.RecordBatch]) ->
                 size = len(found)
                 if size and -(-percent * (size + 1) // 100) <= size:  # else only equal sets can link
                     head = order.arrange(found)[: size - -(-percent * size // 100) + 1]
-                    tokens.append(head)
-                    names.append(np.full(len(head), _name(found), np.int64))
-                    sizes.append(np.full(len(head), size, np.int32))
-                    places.append(np.arange(len(head), dtype=np.int32))
+                    place = np.flatnonzero(order.is_last(head) == often)
+                    tokens.append(head[place])
+                    names.append(np.full(len(place), _name(found), np.int64))
+                    sizes.append(np.full(len(place), size, np.int32))
+                    places.append(place.astype(np.int32))
             if tokens:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate(tokens).view(np.int64)), *(pa.array(np.concatenate(c)) for c in (names, sizes, places))],
@@ -278,15 +286,41 @@ def _may_link(percent: int, a: str, b: str) -> Column:
     return (F.greatest(x, y) * percent <= F.least(x, y) * 100) & (bits <= _differences(percent, x, y))
 
 
-def _stars(live: DataFrame) -> DataFrame:
-    """``a, b``: every member of a group with the group's ends in two orders."""
-    other = F.struct(F.xxhash64("name").alias("h"), "name")
+def _stars(live: DataFrame, percent: int) -> DataFrame:
+    """``a, b``: every member of a group with the group's ends in two orders, if sizes and places allow a link.
+
+    At a shared shingle, two sets differ at least by how much more one holds
+    before it and by how much more one holds behind it.
+    """
+    seen = [F.col(c) for c in ("name", "size", "place")]
+    plain, other = F.struct(*seen), F.struct(F.xxhash64("name").alias("h"), *seen)
     ends = live.groupBy("token").agg(
-        F.min("name").alias("p0"), F.max("name").alias("p1"), F.min(other).alias("p2"), F.max(other).alias("p3")
+        F.min(plain).alias("p0"), F.max(plain).alias("p1"), F.min(other).alias("p2"), F.max(other).alias("p3")
+    )
+    two = [F.struct(*[F.col(f"{p}.{c}") for c in ("name", "size", "place")]) for p in ("p2", "p3")]
+    ends = ends.select("token", F.array("p0", "p1", *two).alias("ends"))
+    pairs = live.join(ends, "token").select("name", "size", "place", F.explode(F.array_distinct("ends")).alias("e"))
+    behind = (F.col("size") - F.col("place")) - (F.col("e.size") - F.col("e.place"))
+    apart = F.abs(F.col("place") - F.col("e.place")) + F.abs(behind)
+    near = (F.col("e.name") != F.col("name")) & (apart <= _differences(percent, F.col("size"), F.col("e.size")))
+    return pairs.filter(near).select(F.col("e.name").alias("a"), F.col("name").alias("b")).distinct()
+
+
+def _shared(docs: DataFrame, prefixes) -> DataFrame:
+    """``token, name, size, place`` of the prefix shingles that two sets or more have.
+
+    Shingles outside the frequent ones have bounded groups: one exchange by
+    shingle and a window. Groups of frequent ones may hold any share of all rows:
+    their ends are merged before the shuffle and joined back, where Spark splits
+    hot keys.
+    """
+    rare, frequent = (
+        docs.select("text").mapInArrow(partial(prefixes, often), "token long, name long, size int, place int") for often in (False, True)
     )
-    ends = ends.select("token", F.array("p0", "p1", "p2.name", "p3.name").alias("ends"))
-    pairs = live.join(ends, "token").select(F.col("name").alias("b"), F.explode(F.array_distinct("ends")).alias("a"))
-    return pairs.filter("a <> b").distinct()
+    group = Window.partitionBy("token")
+    rare = rare.withColumns({"lo": F.min("name").over(group), "hi": F.max("name").over(group)}).filter("lo < hi").drop("lo", "hi")
+    ends = frequent.groupBy("token").agg(F.min("name").alias("lo"), F.max("name").alias("hi")).filter("lo < hi").select("token")
+    return rare.dropDuplicates().union(frequent.join(ends, "token").dropDuplicates())
 
 
 def _most_frequent(counted: DataFrame, most: int) -> bytes:
@@ -319,11 +353,9 @@ def near_duplicate_groups(
     counted = described.filter("kind = 1").groupBy(F.col("name").alias("token")).agg(F.sum("size").alias("n"))
     last = spark.sparkContext.broadcast(_most_frequent(kept(counted, "counted"), last_shingles))
 
-    heads = docs.select("text").mapInArrow(partial(_prefixes, n, percent, last), "token long, name long, size int, place int")
-    ends = heads.groupBy("token").agg(F.min("name").alias("lo"), F.max("name").alias("hi"))
-    live = kept(heads.join(ends.filter("lo < hi").select("token"), "token").dropDuplicates(), "live")
+    live = kept(_shared(docs, partial(_prefixes, n, percent, last)), "live")
     looks = kept(rows.filter("size > 0").select("name", "size", *BITS).dropDuplicates(["name"]), "looks")
-    stars = kept(_stars(live).join(looks.select(*[F.col(c).alias(f"a_{c}") for c in looks.columns]), F.col("a") == F.col("a_name")), "stars")
+    stars = kept(_stars(live, percent).join(looks.select(*[F.col(c).alias(f"a_{c}") for c in looks.columns]), F.col("a") == F.col("a_name")), "stars")
     stars = kept(
         stars.join(looks.withColumnRenamed("name", "b"), "b").filter(_may_link(percent, "a_", "")).select("a", "b"), "stars"
     )
