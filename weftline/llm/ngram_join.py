@@ -33,7 +33,6 @@ from collections.abc import Iterator
 from functools import cache, partial
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -173,22 +172,6 @@ def _prefixes(n: int, percent: int, last, often: bool, batches: Iterator[pa.Reco
                 )
 
 
-def _contents(n: int, last, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A text's set in the global order, once for every tree that asks for it."""
-    order = _order(last.value)
-    for batch in batches:
-        for part in chunks(batch, "text"):
-            rows = []
-            for found, asks in zip(_sets(part.column(0), n), part.column(1).to_pylist(), strict=True):
-                tokens = order.arrange(found).tobytes()
-                rows += [(ask["a"], ask["block"], ask["b"], ask["role"], tokens) for ask in asks]
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
-            columns = list(zip(*rows, strict=True)) or [()] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["a", "block", "b", "role", "tokens"]
-            )
-
-
 def tree_join(probe: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
     """Which of ``sets`` link with ``probe``; all hold fingerprints in one global order.
 
@@ -230,20 +213,29 @@ def tree_join(probe: np.ndarray, sets: list[np.ndarray], percent: int) -> np.nda
     return out
 
 
-def _trees(percent: int, group: pd.DataFrame) -> pd.DataFrame:
+def _trees(n: int, percent: int, last, group: pa.Table) -> pa.Table:
     """One probe and a block of its partners; the probe's row has no partner."""
-    partner = group["role"] == 1
-    probe = np.frombuffer(group.loc[~partner, "tokens"].iloc[0], np.uint64)
-    others = group[partner]
-    good = tree_join(probe, [np.frombuffer(t, np.uint64) for t in others["tokens"]], percent)
-    return pd.DataFrame({"a": others["a"], "b": others["b"], "links": good})
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, described: DataFrame, contents, percent: int) -> DataFrame:
+    order = _order(last.value)
+    probe, partners, names = None, [], []
+    for batch in group.to_batches():
+        for part in chunks(batch, "text"):
+            rows = zip(part.column("role").to_pylist(), part.column("b").to_pylist(), _sets(part.column("text"), n), strict=True)
+            for role, name, found in rows:
+                if role == 0:
+                    probe = order.arrange(found)
+                else:
+                    partners.append(order.arrange(found))
+                    names.append(name)
+    a = group.column("a")[0].as_py()
+    good = tree_join(probe, partners, percent)
+    return pa.table({"a": pa.array([a] * len(names), pa.int64()), "b": pa.array(names, pa.int64()), "links": pa.array(good)})
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, described: DataFrame, trees) -> DataFrame:
     """``a, b, links`` for every pair of set names.
 
-    Contents are taken again from one text of each set and travel once, from
-    there to the trees.
+    One text of each set travels to the trees that ask for it; compressed, it is
+    less than half as long as its fingerprints, which are taken again there.
     """
     pairs = kept(pairs, "pairs")
     degree = pairs.groupBy("a").count().select("a", F.ceil(F.col("count") / TREE_SETS).alias("blocks"))
@@ -261,10 +253,8 @@ def _verified(pairs: DataFrame, docs: DataFrame, described: DataFrame, contents,
     bulk = held.agg(F.count(F.lit(1)) + F.coalesce(F.sum(F.size("asks")), F.lit(0))).first()[0]
     w = sized(held, 40, bulk).alias("w")
     texts = docs.alias("d").join(w, (F.col("d.key") == F.col("w.key")) & F.col("d.id").eqNullSafe(F.col("w.id")))
-    shipped = texts.select("d.text", "w.asks").mapInArrow(contents, "a long, block long, b long, role int, tokens binary")
-    return kept(
-        shipped.groupBy("a", "block").applyInPandas(partial(_trees, percent), "a long, b long, links boolean").distinct(), "verified"
-    )
+    shipped = texts.select("d.text", F.explode("w.asks").alias("ask")).select("ask.a", "ask.block", "ask.b", "ask.role", "text")
+    return kept(shipped.groupBy("a", "block").applyInArrow(trees, "a long, b long, links boolean").distinct(), "verified")
 
 
 def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
@@ -359,11 +349,14 @@ def near_duplicate_groups(
     stars = kept(
         stars.join(looks.withColumnRenamed("name", "b"), "b").filter(_may_link(percent, "a_", "")).select("a", "b"), "stars"
     )
-    contents = partial(_contents, n, last)
+
+    def trees(group: pa.Table) -> pa.Table:
+        return _trees(n, percent, last, group)
+
     # one end for each member first, the others only where that left two components
-    tried = _verified(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), docs, rows, contents, percent)
+    tried = _verified(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), docs, rows, trees)
     comps = components(tried.filter("links"))
-    tried = tried.union(_verified(_apart(stars, comps).join(tried, ["a", "b"], "left_anti"), docs, rows, contents, percent))
+    tried = tried.union(_verified(_apart(stars, comps).join(tried, ["a", "b"], "left_anti"), docs, rows, trees))
     comps = components(tried.filter("links"))
 
     members = live.join(comps.withColumnRenamed("node", "name"), "name", "left")
@@ -381,7 +374,7 @@ def near_duplicate_groups(
     done = tried.select("a", "b").union(tried.select("b", "a"))
     rest = kept(rest.join(done, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
-        more = _verified(rest, docs, rows, contents, percent)
+        more = _verified(rest, docs, rows, trees)
         comps = components(tried.filter("links").union(more.filter("links")))
 
     groups = rows.groupBy("name").agg(F.min("id").alias("least")).join(comps.withColumnRenamed("node", "name"), "name", "left")
