@@ -150,3 +150,21 @@ def test_vectors(spark):
     assert row["dot"] == 3.0 and row["norm"] == 5.0
     assert row["far"] == pytest.approx(24**0.5)
     assert row["short"] == pytest.approx([0.6, 0.8]) and row["zero"] is None
+
+
+def test_mail_dates_without_seconds_or_century(spark):
+    from weftline.functions.dates import mail_instant
+
+    data = [("Tue, 1 Jan 2002 10:20 +0000",), ("1 Jan 02 10:20:30 +0000",), ("1 Jan 99 10:20:30 +0000",)]
+    got = spark.createDataFrame(data, "d string").select(mail_instant(F.col("d")).cast("long").alias("t")).collect()
+    assert [r["t"] for r in got] == [1009880400, 1009880430, 915186030]
+
+
+def test_links_and_text_step_over_scripts_comments_and_quotes(spark):
+    from weftline.functions.html import hrefs, visible_text
+
+    page = """<!-- <a href="/hidden">h</a> --><script>'<a href="/js">'</script><p title='a > b'>x</p><a href="/y">y</a>"""
+    row = spark.createDataFrame([(page,)], "h string").select(hrefs(F.col("h")), visible_text(F.col("h"))).first()
+    assert list(row) == [["/y"], "x y"]
+    long = "<b " + "k=v " * 20_000
+    assert spark.createDataFrame([(long,)], "h string").select(visible_text(F.col("h"))).first()[0] == long.strip()

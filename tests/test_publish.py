@@ -62,9 +62,28 @@ def test_daily_ingest(spark, rows, tmp_path):
     assert rows(read_published(spark, target, "id")) == [(1, "a"), (2, "c"), (3, "d")]
 
 
-def test_repeats_within_the_watermark(spark, tmp_path):
+def test_repeats_in_a_stream(spark, tmp_path):
     landing, target, check = (str(tmp_path / n) for n in ("landing", "table", "check"))
     df = spark.sql("SELECT id % 5 AS id, timestamp'2024-01-01' + make_interval(0, 0, 0, 0, id) AS at FROM range(20)")
     df.write.parquet(landing)
-    ingest(spark, landing, df.schema, target, "id", check, event_time="at", max_files=1).awaitTermination()
+    ingest(spark, landing, df.schema, target, "id", check, max_files=1).awaitTermination()
     assert read_published(spark, target, "id").count() == 5
+
+
+def test_late_rows_with_new_ids_are_taken(spark, tmp_path):
+    landing, target, check = (str(tmp_path / n) for n in ("landing", "table", "check"))
+    for day, ids in (("2024-01-20", "1, 2"), ("2024-01-10", "3, 4")):
+        df = spark.sql(f"SELECT explode(array({ids})) AS id, timestamp'{day}' AS at")
+        df.write.mode("append").parquet(landing)
+        ingest(spark, landing, df.schema, target, "id", check, max_files=1).awaitTermination()
+    assert read_published(spark, target, "id").count() == 4
+
+
+def test_a_later_batch_adds_a_column(spark, tmp_path):
+    path = str(tmp_path / "t")
+    publish(spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string"), path, "id")
+    publish(spark.createDataFrame([(2, "c", 7)], "id int, v string, w int"), path, "id", "upsert")
+    found = {r["id"]: (r["v"], r["w"]) for r in read_published(spark, path, "id").collect()}
+    assert found == {1: ("a", None), 2: ("c", 7)}
+    with pytest.raises(ValueError, match="batch"):
+        publish(spark.createDataFrame([(1, 2)], "id int, batch int"), path, "id")

@@ -20,6 +20,12 @@ def test_csv_keeps_quotes_and_line_ends(spark, rows, tmp_path):
     assert rows(back, "id", "text", "label") == sorted(data, key=repr)
 
 
+def test_csv_columns_go_by_name(spark, rows, tmp_path):
+    (tmp_path / "a.csv").write_text("label,extra,text\nx,1,first\ny,2,second\n")
+    back = files.read_csv(spark, str(tmp_path / "a.csv"), "text string, label string, missing int")
+    assert rows(back) == [("first", "x", None), ("second", "y", None)]
+
+
 def test_json_sources(spark, rows, tmp_path):
     (tmp_path / "a.json").write_text(json.dumps([{"instruction": "i", "output": ""}, {"instruction": "j"}], indent=1))
     df = files.read_json_array(spark, str(tmp_path / "a.json"), "instruction string, output string")

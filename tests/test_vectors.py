@@ -154,3 +154,13 @@ def test_topics_and_map(spark):
     assert len({r["topic"] for r in got if r["id"] % 2}) == 1 and len({r["topic"] for r in got}) == 2
     assert {r["label"] for r in got} == {"cat, milk, purr", "moon, orbit, rocket"}
     assert all(r["x"] is not None and r["y"] is not None for r in got)
+
+
+def test_vectors_that_are_not_finite_take_no_part(spark):
+    bad = [(100 + k, [float("nan"), 1.0]) for k in range(4)] + [(200, [None, 1.0])]
+    corpus = spark.createDataFrame([(k, [float(k), 1.0]) for k in range(30)] + bad, "id int, embedding array<double>")
+    queries = spark.createDataFrame([("q", [1.0, 0.0])], "qid string, embedding array<double>")
+    found = search.knn(queries, corpus.coalesce(1), 3).orderBy("rank").collect()
+    assert [r["id"] for r in found] == [29, 28, 27]
+    with pytest.raises(ValueError, match="unique"):
+        search.knn(queries.union(queries), corpus, 3)

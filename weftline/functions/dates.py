@@ -23,7 +23,7 @@ ZONE_OFFSETS = {
     "PDT": "-0700",
 }
 
-_CLOCK = r"(\d{1,2})\s+([A-Za-z]{3})[a-z]*\s+(\d{4})\s+(\d{2}:\d{2}:\d{2})"
+_CLOCK = r"(\d{1,2})\s+([A-Za-z]{3})[a-z]*\s+(\d{4}|\d{2})\s+(\d{2}:\d{2}(?::\d{2})?)"
 _MAIL = _CLOCK + r"(?:\s+([+-]\d{4}|[A-Z]{1,3}))?"
 _COMMIT = r"^[A-Z][a-z]{2} ([A-Z][a-z]{2}) +(\d{1,2}) (\d{2}:\d{2}:\d{2}) (\d{4}) ([+-]\d{4})$"
 
@@ -32,7 +32,10 @@ def _clock_instant(c: Column, pattern: str, zone: Column) -> Column:
     def part(i: int) -> Column:
         return F.regexp_extract(c, pattern, i)
 
-    text = F.concat_ws(" ", part(1), F.initcap(part(2)), part(3), part(4), zone)
+    # A year of two digits is 1950 to 2049; a clock may leave out the seconds.
+    century = F.when(F.length(part(3)) > 2, "").when(part(3) < "50", "20").otherwise("19")
+    seconds = F.when(F.length(part(4)) > 5, "").otherwise(":00")
+    text = F.concat_ws(" ", part(1), F.initcap(part(2)), F.concat(century, part(3)), F.concat(part(4), seconds), zone)
     return F.try_to_timestamp(text, F.lit("d MMM yyyy HH:mm:ss Z"))
 
 

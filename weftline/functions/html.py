@@ -83,21 +83,25 @@ def unescape(c: Column) -> Column:
     return bound(c, rewritten)
 
 
-def visible_text(c: Column) -> Column:
-    """The text a reader sees, pieces joined by one space.
+# The repeats are bounded, as each takes stack; what is left of a longer tag ends at its first ``>``.
+_TAG = r"""(?s)</?[A-Za-z!](?:[^>=]++|=++\s*+(?:"[^"]*+"|'[^']*+')|=++){0,200}+[^>]*>"""
 
-    Scripts and styles go before the tags, because they may hold text that
-    looks like tags.
-    """
+
+def _live(c: Column) -> Column:
+    """The page without scripts, styles and comments, which may hold text that looks like tags."""
     text = F.regexp_replace(c, r"(?is)<(script|style)\b[^>]*>.*?</(?:script|style)\s*>", " ")
-    text = F.regexp_replace(text, r"(?s)<!--.*?-->", " ")
-    text = F.regexp_replace(text, r"(?s)</?[A-Za-z!][^>]*>", " ")
+    return F.regexp_replace(text, r"(?s)<!--.*?-->", " ")
+
+
+def visible_text(c: Column) -> Column:
+    """The text a reader sees, pieces joined by one space. Quoted attribute values may hold ``>``."""
+    text = F.regexp_replace(_live(c), _TAG, " ")
     return F.btrim(F.regexp_replace(unescape(text), r"(?U)\s+", " "))
 
 
 def hrefs(c: Column) -> Column:
     """All ``href`` values of ``a`` tags, in page order; anchors without one are skipped."""
-    tags = F.regexp_extract_all(c, F.lit(_HREF), F.lit(0))
+    tags = F.regexp_extract_all(_live(c), F.lit(_HREF), F.lit(0))
     return F.transform(
         tags,
         lambda tag: unescape(
@@ -108,7 +112,7 @@ def hrefs(c: Column) -> Column:
 
 def blocks(c: Column, tag: str) -> Column:
     """The inner HTML of every ``tag`` element (not nested in itself), in page order."""
-    return F.regexp_extract_all(c, F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"), F.lit(1))
+    return F.regexp_extract_all(_live(c), F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"), F.lit(1))
 
 
 def blocks_with_class(c: Column, tag: str, name: str) -> Column:

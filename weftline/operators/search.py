@@ -33,14 +33,13 @@ def _query_blocks(queries: DataFrame, qid: str, vec: str) -> tuple[list[pd.DataF
     """The queries in blocks of bounded size, and their number."""
     # Written once: the queries may come from a model, and are counted and read.
     usable = cut(queries.select(qid, vec)).filter(F.col(vec).isNotNull())
-    n = usable.count()
+    n, n_ids = usable.agg(F.count(F.lit(1)), F.count_distinct(F.struct(qid))).first()
+    if n_ids < n:
+        raise ValueError("query ids must be unique")
     if n <= BLOCK_QUERIES:
         return ([usable.toPandas()] if n else []), n
     n_blocks = -(-2 * n // BLOCK_QUERIES)
     block = F.pmod(F.xxhash64(qid), F.lit(n_blocks))
-    largest = usable.groupBy(block.alias("b")).count().agg(F.max("count")).first()[0]
-    if largest > BLOCK_QUERIES:
-        raise ValueError("query ids must be unique")
     return [b for i in range(n_blocks) if len(b := usable.filter(block == i).toPandas())], n
 
 
@@ -98,6 +97,9 @@ def _block_search(
             ids = batch.column(0).to_pandas().to_numpy()
             flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
             vectors = flat.astype(np.float64).reshape(-1, width)
+            finite = np.isfinite(vectors).all(axis=1)  # a null number is not finite either
+            if not finite.all():
+                ids, vectors = ids[finite], vectors[finite]
             if dims is not None:
                 vectors, usable = _at_unit_length(vectors)
                 ids = ids[usable]
@@ -158,8 +160,8 @@ def knn(
     """The ``k`` best corpus rows of every query: ``qid, id, score, rank`` and ``fields``.
 
     Best first, ties by id. ``metric`` is ``dot`` (largest first) or
-    ``euclidean`` (smallest first). Vectors that are null or of another length
-    than the queries are left out. ``dims`` searches on the first ``dims``
+    ``euclidean`` (smallest first). Vectors that are null, of another length
+    than the queries or not finite are left out; query ids must be unique. ``dims`` searches on the first ``dims``
     numbers at unit length, without the vectors that are zero there; the rest of
     a vector then never leaves the scan.
     """

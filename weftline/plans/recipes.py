@@ -23,7 +23,7 @@ from weftline.functions.urls import resolve
 from weftline.operators.chunk import chunk
 from weftline.operators.clean import archive_clamp, fill_na, text_fallback, whitelist
 from weftline.operators.dedupe import exact_dedupe, latest_by_key
-from weftline.operators.enrich import lookup, relative_position
+from weftline.operators.enrich import lookup
 from weftline.operators.graph import flatten_tree
 from weftline.operators.ids import sequential_id
 from weftline.operators.reshape import explode_records, spoken, wide_to_long
@@ -105,8 +105,11 @@ def call_dimensions(calls: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def call_utterances(transcripts: DataFrame) -> DataFrame:
     """One row per utterance: text, times as shares of the call, topic and speaker."""
+    last_end = spoken(F.element_at("transcript", -1)["sentences"])[2].cast("double")
     rows = transcripts.select(
-        F.col("callId").alias("call_id"), F.posexplode("transcript").alias("pos", "u")
+        F.col("callId").alias("call_id"),
+        F.nullif(last_end, F.lit(0.0)).alias("whole"),
+        F.posexplode("transcript").alias("pos", "u"),
     )
     text, start, end = spoken(F.col("u.sentences"))
     flat = rows.select(
@@ -115,10 +118,10 @@ def call_utterances(transcripts: DataFrame) -> DataFrame:
         F.col("u.speakerId").alias("speaker_id"),
         F.col("u.topic").alias("utterance_topic"),
         text.alias("utterance"),
-        start.alias("start"),
-        end.alias("end"),
+        (start.cast("double") / F.col("whole")).alias("relative_start"),
+        (end.cast("double") / F.col("whole")).alias("relative_end"),
     )
-    return relative_position(flat, "call_id", "pos", "start", "end").drop("start", "end")
+    return flat
 
 
 def enriched_calls(transcripts: DataFrame, calls: DataFrame) -> DataFrame:

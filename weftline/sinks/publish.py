@@ -42,6 +42,8 @@ def publish(
     spark = df.sparkSession
     if mode not in ("append", "upsert", "replace"):
         raise ValueError(f"unknown mode {mode!r}")
+    if "batch" in df.columns:
+        raise ValueError("a column cannot be named batch")
     known = _batches(spark, path)
     number = batch if batch is not None else (known[-1] + 1 if known else 0)
     staged, fs = _folder(spark, f"{path}/_staged-{number}")
@@ -64,8 +66,8 @@ def publish(
 
 
 def read_published(spark: SparkSession, path: str, id_col: str) -> DataFrame:
-    """The table with one row per id, the one of the latest batch."""
-    stored = spark.read.parquet(path)
+    """The table with one row per id, the one of the latest batch; a column that a batch lacks is null there."""
+    stored = spark.read.option("mergeSchema", True).parquet(path)
     if len(_batches(spark, path)) > 1:
         stored = latest_by_key(stored, id_col, ["batch"])
     return stored.drop("batch")

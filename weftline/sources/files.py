@@ -10,13 +10,18 @@ from weftline.functions.dates import day_before
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
-    """CSV with a header line; quoted fields may hold commas, quotes and line ends."""
-    return (
-        spark.read.schema(schema)
-        .option("header", True)
-        .option("multiLine", True)
-        .option("escape", '"')
-        .csv(path)
+    """CSV with a header line; quoted fields may hold commas, quotes and line ends.
+
+    Columns are matched by the header's names, which all files share: one that
+    the files lack is null, one that the schema lacks is left out.
+    """
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    kinds = {f.name: f.dataType for f in wanted}
+    header = [T.StructField(name, kinds.get(name, T.StringType())) for name in reader.csv(path).columns]
+    rows = reader.schema(T.StructType(header)).csv(path)
+    return rows.select(
+        *[F.col(f"`{f.name}`") if f.name in rows.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in wanted]
     )
 
 

@@ -23,8 +23,6 @@ def ingest(
     transform: Callable[[DataFrame], DataFrame] | None = None,
     mode: str = "append",
     order_by: list[str] | None = None,
-    event_time: str | None = None,
-    lateness: str = "2 days",
     max_files: int | None = None,
     pattern: str | None = None,
 ) -> StreamingQuery:
@@ -32,9 +30,8 @@ def ingest(
 
     The checkpoint remembers the files taken. A batch that is repeated after a
     failure overwrites itself in the keyed table, and ids published before are
-    not added again, so re-runs change nothing. ``event_time`` also drops repeats
-    of an id within ``lateness`` while they stream. An id that comes twice in one
-    batch is published once, by ``order_by`` (all columns if not given).
+    not added again, so re-runs change nothing and late rows are taken like any
+    others. An id that comes twice in one batch is published once, by ``order_by`` (all columns if not given).
     """
     reader = spark.readStream.format(fmt).schema(schema)
     if max_files is not None:
@@ -44,8 +41,6 @@ def ingest(
     rows = reader.load(landing)
     if transform is not None:
         rows = transform(rows)
-    if event_time is not None:
-        rows = rows.withWatermark(event_time, lateness).dropDuplicatesWithinWatermark([id_col])
 
     def write(batch: DataFrame, number: int) -> None:
         order = order_by or [c for c in batch.columns if c != id_col]
