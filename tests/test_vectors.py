@@ -126,23 +126,58 @@ def test_tfidf_finds_shared_words(spark):
     assert search.knn(fn(asked, "t"), fn(docs, "t"), 1).first()["id"] == 1
 
 
+def _groups(rows, percent=80):
+    """Each id with the smallest id of its group, from all pairs."""
+    sets = {}
+    for i, text in rows:
+        w = (text or "").lower().split()
+        sets[i] = {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set()
+    label = {i: i for i in sets}
+    moved = True
+    while moved:
+        moved = False
+        for a in sets:
+            for b in sets:
+                both = len(sets[a] & sets[b])
+                if both and 100 * both >= percent * len(sets[a] | sets[b]) and label[b] < label[a]:
+                    label[a], moved = label[b], True
+    return label
+
+
+def _texts():
+    rng = np.random.default_rng(3)
+    prose = [" ".join(f"w{x}" for x in rng.integers(0, 5000, 60)) for _ in range(25)]
+    passage = " ".join(f"p{x}" for x in range(70))
+    rows = list(enumerate(prose))
+    rows += [(100 + k, passage + f" tail{k % 7} end{k}") for k in range(60)]  # one family around one passage
+    rows += [(200 + k, " ".join([*passage.split()[k:], *[f"n{j}" for j in range(k)]])) for k in range(0, 20, 2)]  # a chain
+    rows += [(300 + k, prose[k].upper() if k % 2 else prose[k] + " more") for k in range(10)]
+    return rows + [(400, None), (401, ""), (402, " \n"), (403, "two words"), (404, "Two  words"), (405, "two"), (400 + 6, prose[0])]
+
+
 @pytest.mark.parametrize("hot_rows", [20, 10**6])
 def test_near_dups_match_brute_force(spark, hot_rows):
-    rng = np.random.default_rng(3)
-    base = rng.standard_normal((120, 32))
-    near = base[:30] + 0.03 * rng.standard_normal((30, 32))
-    chain = near[:10] + 0.03 * rng.standard_normal((10, 32))
-    matrix = np.concatenate([base, near, chain, np.repeat(base[[40]], 80, axis=0)])
-    matrix = (matrix / np.linalg.norm(matrix, axis=1, keepdims=True)).astype(np.float32)
-    close = matrix.astype(float) @ matrix.T.astype(float) >= 0.95
-    label = np.arange(len(matrix))
-    for _ in range(len(matrix)):
-        lower = np.where(close, label[None, :], len(matrix)).min(axis=1)
-        if (lower == label).all():
-            break
-        label = lower
-    found = neardup.near_dups(frame(spark, matrix), threshold=0.95, hot_rows=hot_rows)
-    assert {r["id"]: r["keep_id"] for r in found.collect()} == dict(enumerate(label.tolist()))
+    rows = _texts()
+    df = spark.createDataFrame(rows, "id long, text string").repartition(3)
+    found = {r["id"]: r["keep_id"] for r in neardup.near_dups(df, hot_rows=hot_rows).collect()}
+    assert found == _groups(rows)
+
+
+def test_near_dups_do_not_depend_on_other_rows(spark):
+    base = " ".join(f"w{k}" for k in range(80))
+    near = [(k, f"{base} x{k}") for k in range(200)]
+    other = [(1000 + k, " ".join(f"u{k}_{j}" for j in range(30))) for k in range(1000)]
+    rows = spark.createDataFrame(near + other, "id long, text string")
+    found = {r["id"]: r["keep_id"] for r in neardup.near_dups(rows).collect()}
+    assert all(found[k] == 0 for k in range(200)) and all(found[i] == i for i, _ in other)
+
+
+def test_near_dups_edges(spark):
+    none = spark.createDataFrame([], "id long, text string, size int")
+    assert neardup.near_dups(none).collect() == []
+    rows = spark.createDataFrame([(None, "a b c d e"), (7, "a b c d e"), (7, "a b c d e"), (None, "x")], none.schema[:2])
+    found = sorted((r["id"] or 0, r["keep_id"] or 0) for r in neardup.near_dups(rows).collect())
+    assert found == [(0, 0), (0, 7), (7, 7), (7, 7)]
 
 
 def test_topics_and_map(spark):
