@@ -161,6 +161,14 @@ def test_guess_costs_rank_values():
     assert guess_cost("ab" * 3000) < 9
 
 
+def test_values_of_one_kind_are_scored():
+    for value in ("zqxjvkwmpfhgbtry", "ZQXJVKWMPFHG", "84930217465038", "zqxj-vkwm-pfhg"):
+        text = f"pwd: {value} and more"
+        assert [(k, text[s:e]) for s, k, e in all_spans(text)[1]] == [(3, value)]
+    for value in ("required", "understanding", "incorrect", "qwertyuiop", "12031985", "aaaaaaaaaa", "case-sensitive"):
+        assert all_spans(f"the login is {value}. And pwd: {value}")[1] == []
+
+
 def test_redaction_leaves_no_secret(spark):
     docs = frame(spark, [(1, 'x token = "f33e61083db5dbdf4bd2369d2f80176e57f7fda2" y', "s"), (2, None, "s"), (3, "plain", "s")])
     out = {r["doc_id"]: r["text"] for r in redact(docs).collect()}

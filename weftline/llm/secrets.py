@@ -4,9 +4,13 @@ Base spans are the leftmost non-overlapping matches of each kind, failing ones
 dropped. Beside them, a value that stands after a credential word is scored by
 the cost of guessing it: a dynamic program cuts it into words, dates, repeats,
 keyboard walks and brute-force characters so that the summed logarithms of the
-guesses are least. A value whose cost reaches ``min_cost`` is a ``guess`` span,
-unless a base span already covers part of it. Spans are in code points, end
-exclusive, and cover the whole match for base kinds and the value for ``guess``.
+guesses are least. A value of ``MIN_CHARS`` or more whose cost reaches
+``min_cost`` is a ``guess`` span, whatever its characters, unless a base span
+already covers part of it. In a value of one kind of characters (letters of one
+case or digits, joined by ``-_./:``), which may be prose, the words of
+``common_words.txt`` can be guessed too; no value is left unscored. Spans are in
+code points, end exclusive, and cover the whole match for base kinds and the
+value for ``guess``.
 
 Null text: an empty one, without spans. Long texts and long values are read
 whole; every segment but a repeat or a walk has a bounded length, and these are
@@ -19,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import pkgutil
 import re
 from collections.abc import Iterator
 from functools import lru_cache, partial
@@ -82,11 +87,19 @@ def _bruteforce(char: str) -> float:
     return math.log10(26) if char.isalpha() and char.isascii() else math.log10(33) if char.isascii() else 2.0
 
 
-def _word_cost(piece: str) -> float | None:
+@lru_cache(1)
+def _prose_ranks() -> tuple[dict[str, int], int]:
+    """Ranks of ``WORDS`` and, behind them, the words of ``common_words.txt``; and the longest one's length."""
+    more = pkgutil.get_data(__package__, "common_words.txt").decode().split()
+    ranks = {w: k + 1 for k, w in enumerate(dict.fromkeys([*WORDS, *more]))}
+    return ranks, max(map(len, ranks))
+
+
+def _word_cost(piece: str, ranks: dict[str, int]) -> float | None:
     low = piece.lower()
-    rank, extra = _RANK.get(low), 0.0
+    rank, extra = ranks.get(low), 0.0
     if rank is None:
-        rank = _RANK.get(low.translate(_LEET))
+        rank = ranks.get(low.translate(_LEET))
         if rank is None:
             return None
         extra = math.log10(4)
@@ -128,9 +141,10 @@ def _runs(value: str, joined) -> list[int]:
 
 
 @lru_cache(1 << 16)
-def guess_cost(value: str) -> float:
-    """Decimal logarithm of the guesses for the cheapest way to cut ``value`` into segments."""
+def guess_cost(value: str, prose: bool = False) -> float:
+    """Decimal logarithm of the guesses for the cheapest way to cut ``value`` into segments; ``prose`` adds words of texts."""
     n, low = len(value), value.lower()
+    ranks, longest = _prose_ranks() if prose else (_RANK, _LONGEST)
     walks = _runs(low, lambda a, b: (a, b) in _NEXT)
     steps = {d: _runs(value, lambda a, b, d=d: ord(b) - ord(a) == d) for d in (-1, 1)}
     same = _runs(value, lambda a, b: a == b)
@@ -140,9 +154,9 @@ def guess_cost(value: str) -> float:
     for end in range(1, n + 1):
         k = end - 1
         cost = best[k] + _bruteforce(value[k])
-        for begin in range(max(0, end - max(_LONGEST, 10)), end - 1):
+        for begin in range(max(0, end - max(longest, 10)), end - 1):
             piece = value[begin:end]
-            for found in (_word_cost(piece), _date_cost(piece)):
+            for found in (_word_cost(piece, ranks), _date_cost(piece)):
                 if found is not None:
                     cost = min(cost, best[begin] + found)
         if end - same[k] >= 3:  # one character, repeated
@@ -188,7 +202,7 @@ def guessed_spans(text: str, base: list[tuple[int, int, int]], min_cost: float)
         end = start + len(value)
         if len(value) < MIN_CHARS or any(s < end and start < e for s, _, e in base):
             continue
-        if _mixed(value) and guess_cost(value) >= min_cost:
+        if guess_cost(value, not _mixed(value)) >= min_cost:
             found.append((start, 3, end))
     return found
 
