@@ -42,17 +42,26 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 LEAST_ASSIGN, LEAST_ACCESS = 8, 16
 
-#: Words that announce a credential, and the value after them.
-CONTEXT = re.compile(
+#: Words that announce a credential, and the value after them. A scheme may stand before the value; ``bearer`` needs no
+#: separator. A value that only announces another one is none.
+_ANNOUNCES = (
     r"""(?:pass(?:word|wd|phrase|code|key)?|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|client[_-]?secret"""
-    r"""|credentials?|auth(?:orization)?|bearer|login)["']?[\x20\t]*(?::=|=>|[:=]|\bis\b)[\x20\t]*"""
-    r"""(?:"([^"\r\n]+)"|'([^'\r\n]+)'|([^\s"'`<>,;]+))""",
+    r"""|credentials?|auth(?:orization)?|bearer|login)["']?"""
+)
+_SCHEME = r"""(?:(?:bearer|basic|token)[\x20\t]+)?"""
+CONTEXT = re.compile(
+    _ANNOUNCES + r"""(?:[\x20\t]*(?::=|=>|[:=]|\bis\b(?:[\x20\t]*(?::=|=>|[:=]))?)[\x20\t]*|(?<=\bbearer)[\x20\t]+)"""
+    rf"""(?:"{_SCHEME}([^"\r\n]+)"|'{_SCHEME}([^'\r\n]+)'"""
+    rf"""|{_SCHEME}(?!{_ANNOUNCES}[:=]+(?!\S))(?:"([^"\r\n]+)"|'([^'\r\n]+)'|([^\s"'`<>,;]+)))""",
     re.ASCII | re.IGNORECASE,
 )
 
 #: Cost in decimal digits from which a value counts as a secret, and its least length.
 MIN_COST, MIN_CHARS = 9.0, 8
 
+#: Characters at the end of a value in which a credential word with its separator is looked for.
+_TAIL = 32
+
 #: Common words of passwords and texts, most common first.
 WORDS = (
     "password", "the", "love", "qwerty", "you", "and", "monkey", "dragon", "letmein", "admin", "welcome", "login",
@@ -195,15 +204,16 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def guessed_spans(text: str, base: list[tuple[int, int, int]], min_cost: float) -> list[tuple[int, int, int]]:
-    found = []
-    for m in CONTEXT.finditer(text):
-        start, end = next(m.span(g) for g in (1, 2, 3) if m.group(g) is not None)
+    found, at, done = [], 0, 0
+    while m := CONTEXT.search(text, at):
+        start, end = m.span(m.lastindex)
         value = text[start:end].rstrip(".")
-        end = start + len(value)
-        if len(value) < MIN_CHARS or any(s < end and start < e for s, _, e in base):
+        at, end = max(start, end - _TAIL), start + len(value)  # the end of a value may announce the next one
+        if end <= done or len(value) < MIN_CHARS or any(s < end and start < e for s, _, e in base):
             continue
         if guess_cost(value, not _mixed(value)) >= min_cost:
             found.append((start, 3, end))
+            done = end
     return found
 
 
