@@ -16,7 +16,7 @@ from weftline.llm import catalog
 from weftline.llm.mixing import mix, mixed_documents, source_counts
 from weftline.llm.ngram_join import near_duplicate_groups, representatives, tree_join
 from weftline.llm.pieces import decode, encode, round_trip
-from weftline.llm.pii import Tagger, base_spans, personal_data, plausible, reconciled, tags_of, train
+from weftline.llm.pii import Tagger, _classes as char_classes, _codes, added_spans, base_spans, examples, personal_data, plausible, reconciled, tags_of, train
 from weftline.llm.quality_model import FEATURES, fit, quality_scores
 from weftline.llm.quality_rules import kept_documents, plan, quality_rules
 from weftline.llm.secrets import all_spans, guess_cost, redact, secret_scan
@@ -241,6 +241,21 @@ def test_tagger_learns_and_windows_join():
     assert plausible(3, "555 123-4567") and not plausible(1, "1.2.3")
 
 
+def test_rewritten_addresses_need_no_digit():
+    draw = random.Random(11)
+    mails = [f"{draw.choice(WORDS)}.{draw.choice(WORDS)}@{draw.choice(WORDS)}.example.com" for _ in range(200)]
+    found = [xy for k, m in enumerate(mails) for xy in examples(f"{prose(12, k)} {m} {prose(12, 500 + k)}")]
+    x = np.zeros((len(found), 64), np.int64)
+    for k, (text, _) in enumerate(found):
+        codes = char_classes(_codes(text[:64]))
+        x[k, : len(codes)] = codes
+    tagger = train(x, np.stack([y for _, y in found]), epochs=20)
+    for form in ("[at]", "(AT)", " at "):
+        value = mails[3].replace("@", form)
+        text = f"{prose(30, 7)} {value} {prose(30, 8)}"
+        assert added_spans([text], [[]], tagger) == [[(0, text.index(value), text.index(value) + len(value))]]
+
+
 # Sharding and mixing -----------------------------------------------------------------
 
 

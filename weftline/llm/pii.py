@@ -12,8 +12,9 @@ span rewritten into a form that no base pattern takes (a phone number without
 by Viterbi; every character takes the tag of the window in which it is nearest
 the middle, and spans are read from that one sequence over the whole text, so
 they may be longer than a window. A span that touches a base span, or that could
-not be of its kind at all, is left out. Windows without a digit or an at sign
-cannot hold any of the kinds and are not scored.
+not be of its kind at all, is left out. Every kind has a digit, an at sign or a
+rewritten one (``[at]``, `` at ``, ``(at)``, in any case); windows in which none
+of these stands are not scored, nor those farther than two from a rewritten one.
 
 Null text: an empty one, without spans. Long texts are read whole. Repeated
 rows: one result each. Without any training span only base spans are found.
@@ -41,6 +42,9 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
+#: What may stand for an at sign.
+AT = re.compile(r"[\[(\x20]at(?=[\])\x20])", re.ASCII | re.IGNORECASE)
+
 WINDOW, STEP, HIDDEN = 64, 32, 16
 
 #: Bounds of the training sample: texts asked, windows from one text, windows in all; and the passes over them.
@@ -266,13 +270,15 @@ def train(x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, seed: int = 5) ->
 # Decoding whole texts -------------------------------------------------------------
 
 
-def _windows(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Numbers of the windows that hold a digit or an at sign, and their character classes."""
-    spots = np.flatnonzero(((codes >= 48) & (codes <= 57)) | (codes == 64))
-    if not len(spots):
+def _windows(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the windows that may hold a part of a span, and their character classes."""
+    codes = _codes(text)
+    spots = np.flatnonzero(((codes >= 48) & (codes <= 57)) | (codes == 64)) // STEP
+    near = np.array([m.start() for m in AT.finditer(text)], np.int64) // STEP
+    numbers = np.unique(np.concatenate([spots, spots - 1, *(near + k for k in (-2, -1, 0, 1))]))
+    numbers = numbers[(numbers >= 0) & (numbers * STEP < len(codes))]
+    if not len(numbers):
         return np.zeros(0, np.int64), np.zeros((0, WINDOW), np.int64)
-    at = spots // STEP
-    numbers = np.unique(np.concatenate([at, np.maximum(at - 1, 0)]))
     padded = np.full((int(numbers[-1]) * STEP + WINDOW), PAD)
     known = _classes(codes[: len(padded)])
     padded[: len(known)] = known
@@ -303,7 +309,7 @@ def plausible(kind: int, piece: str) -> bool:
     """What any value of the kind has."""
     n = len(_digits(piece))
     if kind == 0:
-        return "@" in piece[1:] and "." in piece.partition("@")[2] or bool(re.search(r".[\[(\x20]at[\])\x20].", piece))
+        return "@" in piece[1:] and "." in piece.partition("@")[2] or bool(re.search(r".[\[(\x20]at[\])\x20].", piece, re.ASCII | re.IGNORECASE))
     if kind == 1:
         parts = re.findall(r"[0-9]+", piece)
         return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
@@ -340,7 +346,7 @@ def added_spans(texts: list[str], base: list[list[Span]], tagger: Tagger | None)
         held = 0
 
     for k, text in enumerate(texts):
-        numbers, rows = _windows(_codes(text)) if re.search("[0-9@]", text) else (np.zeros(0, np.int64), None)
+        numbers, rows = _windows(text)
         if len(numbers):
             waiting.append((k, numbers, rows))
             held += len(rows)
