@@ -347,6 +347,17 @@ def test_groups_match_all_pairs(spark):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == _classes(docs)
 
 
+def test_one_row_stays_of_each_group(spark):
+    a, b, c, d = (prose(80, k) for k in (301, 302, 303, 304))
+    near = [t + " end" for t in (a, b, c, d)]
+    rows = [(3, a), (5, a), (5, b), (5, b), (7, near[1]), (8, c), (8, near[2]), (None, near[0]), (None, d), (None, near[3]), (None, ""), (9, None)]
+    out = [(r["doc_id"], r["text"]) for r in representatives(frame(spark, [(i, t, "s") for i, t in rows])).collect()]
+    one = lambda *texts: [x for x in out if x[1] in texts]
+    assert one(a, near[0]) == [(3, a)] and one(b, near[1]) == [(5, b)]
+    assert len(one(c, near[2])) == len(one(d, near[3])) == 1 and one(c, near[2])[0][0] == 8
+    assert len(out) == 6 and (None, "") in out and (9, None) in out
+
+
 def test_tree_join_is_exact():
     draw = np.random.default_rng(5)
     order = np.arange(400, dtype=np.uint64)

@@ -328,11 +328,10 @@ def _most_frequent(counted: DataFrame, most: int) -> bytes:
     return rows["token"].to_numpy(np.int64).tobytes()
 
 
-def near_duplicate_groups(
-    docs: DataFrame, text: str = "text", id_col: str = "doc_id", n: int = 5, percent: int = 80,
-    last_shingles: int = LAST_SHINGLES,
-) -> DataFrame:
-    """One row per row of ``docs``: the id, ``n_shingles`` and ``component_id``, the smallest id of its group."""
+def _grouped(
+    docs: DataFrame, text: str, id_col: str, n: int, percent: int, last_shingles: int = LAST_SHINGLES
+) -> tuple[DataFrame, DataFrame]:
+    """Each row's ``id``, text ``key``, set's ``name`` and ``size``; and ``node, comp`` of the sets that link with another."""
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     docs = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("key"))
@@ -377,6 +376,15 @@ def near_duplicate_groups(
         more = _verified(rest, docs, rows, trees)
         comps = components(tried.filter("links").union(more.filter("links")))
 
+    return rows, comps
+
+
+def near_duplicate_groups(
+    docs: DataFrame, text: str = "text", id_col: str = "doc_id", n: int = 5, percent: int = 80,
+    last_shingles: int = LAST_SHINGLES,
+) -> DataFrame:
+    """One row per row of ``docs``: the id, ``n_shingles`` and ``component_id``, the smallest id of its group."""
+    rows, comps = _grouped(docs, text, id_col, n, percent, last_shingles)
     groups = rows.groupBy("name").agg(F.min("id").alias("least")).join(comps.withColumnRenamed("node", "name"), "name", "left")
     groups = kept(groups.select("name", "least", F.coalesce("comp", "name").alias("comp")), "groups")
     numbers = groups.filter("name IS NOT NULL").groupBy("comp").agg(F.min("least").alias("component_id"))
@@ -387,15 +395,22 @@ def near_duplicate_groups(
 
 
 def representatives(docs: DataFrame, text: str = "text", id_col: str = "doc_id", n: int = 5, percent: int = 80) -> DataFrame:
-    """The row with the smallest id of every group, all columns kept.
+    """One row of every group, all columns kept: the one with the smallest id, then text key; null ids come last.
 
-    Rows that repeat id and text are one; rows without an id can't be named as a
-    copy and stay.
+    Rows are told apart by id and text, so an id may stand for several texts;
+    rows that repeat both are one.
     """
-    groups = kept(near_duplicate_groups(docs, text, id_col, n, percent), "classes")
-    copies = groups.filter(F.col(id_col) != F.col("component_id")).select(id_col).distinct()
-    left = docs.join(sized(copies, 24), id_col, "left_anti").select(*docs.columns)
-    if groups.groupBy(id_col).count().filter("count > 1").isEmpty():
-        return left
-    marked = left.withColumn("__key", F.xxhash64(text))
-    return marked.dropDuplicates([id_col, "__key"]).select(*docs.columns)
+    rows, comps = _grouped(docs, text, id_col, n, percent)
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first")
+    firsts = rows.filter("name IS NOT NULL").groupBy("name").agg(first).join(comps.withColumnRenamed("node", "name"), "name", "left")
+    firsts = kept(firsts.select("name", "first", F.coalesce("comp", "name").alias("comp")), "firsts")
+    stays = firsts.select("name", "comp").join(firsts.groupBy("comp").agg(F.min("first").alias("stay")), "comp").select("name", "stay")
+    goes = ~(F.col("id").eqNullSafe(F.col("stay.id")) & (F.col("key") == F.col("stay.key")))
+    copies = rows.join(stays, "name").filter(goes).select(F.col("id").alias("__copy_id"), F.col("key").alias("__copy_key")).distinct()
+    copies = kept(copies, "copies")
+    marked = docs.withColumn("__key", F.xxhash64(text))
+    same = F.col(id_col).eqNullSafe(F.col("__copy_id")) & (F.col("__key") == F.col("__copy_key"))
+    left = marked.join(sized(copies, 32), same, "left_anti")
+    if not rows.groupBy("id", "key").count().filter("count > 1").isEmpty():
+        left = left.dropDuplicates([id_col, "__key"])
+    return left.select(*docs.columns)
