@@ -19,7 +19,7 @@ from weftline.llm.pieces import decode, encode, round_trip
 from weftline.llm.pii import Tagger, _classes as char_classes, _codes, added_spans, base_spans, examples, personal_data, plausible, reconciled, tags_of, train
 from weftline.llm.quality_model import FEATURES, fit, quality_scores
 from weftline.llm.quality_rules import kept_documents, plan, quality_rules
-from weftline.llm.secrets import all_spans, guess_cost, redact, secret_scan
+from weftline.llm.secrets import all_spans, guess_cost, redact, redacted_text, secret_scan
 from weftline.llm.sharding import admitted, deal
 from weftline.llm.substring_dedup import FMIndex, WaveletMatrix, substring_dedup
 from weftline.llm.topk import top_k
@@ -196,6 +196,14 @@ def test_many_credential_words_take_one_pass():
     assert all_spans(text)[1][-1] == (text.index("x7K"), 3, len(text))
 
 
+def test_values_with_a_base_span_inside_are_whole():
+    text = 'password="hunter2xyz!Q#9$kk" pwd: x7K-' + "0123456789abcdef" * 2 + "-Zq9v secret=abcdefgh12X."
+    assert [(k, text[s:e]) for s, k, e in all_spans(text)[1] if k == 3] == [
+        (3, "hunter2xyz!Q#9$kk"), (3, "x7K-" + "0123456789abcdef" * 2 + "-Zq9v"),
+    ]
+    assert redacted_text(text) == '[assign]" pwd: [guess] [assign]'
+
+
 def test_redaction_leaves_no_secret(spark):
     docs = frame(spark, [(1, 'x token = "f33e61083db5dbdf4bd2369d2f80176e57f7fda2" y', "s"), (2, None, "s"), (3, "plain", "s")])
     out = {r["doc_id"]: r["text"] for r in redact(docs).collect()}

@@ -5,8 +5,8 @@ dropped. Beside them, a value that stands after a credential word is scored by
 the cost of guessing it: a dynamic program cuts it into words, dates, repeats,
 keyboard walks and brute-force characters so that the summed logarithms of the
 guesses are least. A value of ``MIN_CHARS`` or more whose cost reaches
-``min_cost`` is a ``guess`` span, whatever its characters, unless a base span
-already covers part of it. In a value of one kind of characters (letters of one
+``min_cost`` is a ``guess`` span, whatever its characters, unless base spans
+already cover all of it. In a value of one kind of characters (letters of one
 case or digits, joined by ``-_./:``), which may be prose, the words of
 ``common_words.txt`` can be guessed too; no value is left unscored. Spans are in
 code points, end exclusive, and cover the whole match for base kinds and the
@@ -203,13 +203,21 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def _covered(start: int, end: int, base: list[tuple[int, int, int]]) -> bool:
+    """Whether the base spans, in order, leave nothing of a value."""
+    for s, _, e in base:
+        if s <= start < e:
+            start = e
+    return start >= end
+
+
 def guessed_spans(text: str, base: list[tuple[int, int, int]], min_cost: float) -> list[tuple[int, int, int]]:
     found, at, done = [], 0, 0
     while m := CONTEXT.search(text, at):
         start, end = m.span(m.lastindex)
         value = text[start:end].rstrip(".")
         at, end = max(start, end - _TAIL), start + len(value)  # the end of a value may announce the next one
-        if end <= done or len(value) < MIN_CHARS or any(s < end and start < e for s, _, e in base):
+        if end <= done or len(value) < MIN_CHARS or _covered(start, end, base):
             continue
         if guess_cost(value, not _mixed(value)) >= min_cost:
             found.append((start, 3, end))
