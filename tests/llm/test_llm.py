@@ -249,6 +249,10 @@ def test_tagger_learns_and_windows_join():
     assert plausible(3, "555 123-4567") and not plausible(1, "1.2.3")
 
 
+def test_phones_have_eight_to_fifteen_digits():
+    assert [n for n in range(5, 20) if plausible(3, "1" * n)] == list(range(8, 16))
+
+
 def test_rewritten_addresses_need_no_digit():
     draw = random.Random(11)
     mails = [f"{draw.choice(WORDS)}.{draw.choice(WORDS)}@{draw.choice(WORDS)}.example.com" for _ in range(200)]

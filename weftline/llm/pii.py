@@ -313,7 +313,7 @@ def plausible(kind: int, piece: str) -> bool:
     if kind == 1:
         parts = re.findall(r"[0-9]+", piece)
         return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
-    return 13 <= n <= 19 and luhn(_digits(piece)) if kind == 2 else 9 <= n <= 15
+    return 13 <= n <= 19 and luhn(_digits(piece)) if kind == 2 else 8 <= n <= 15
 
 
 def added_spans(texts: list[str], base: list[list[Span]], tagger: Tagger | None) -> list[list[Span]]:
