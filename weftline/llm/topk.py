@@ -12,7 +12,8 @@ two row counts.
 Left out on both sides: a null id, a null vector, and a vector with a null or
 non-finite number. Vectors of different lengths are zero beyond their end. A row
 is never a candidate of a query with its own id. Repeated rows are candidates
-each. Ties go to the smaller id. Empty table: no rows.
+each. Repeated query rows share the ranks of their id, as in the query's SQL: a
+candidate stands there once for each of them. Ties go to the smaller id. Empty table: no rows.
 """
 
 from __future__ import annotations
