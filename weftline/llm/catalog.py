@@ -126,3 +126,64 @@ def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     from weftline.llm.substring_dedup import substring_dedup
 
     return substring_dedup(table(spark, folder, "documents"))
+
+
+@query(
+    """
+    WITH v AS (
+      SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+             list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS MATERIALIZED (
+      SELECT a.vec_id AS anchor_id, a.label AS anchor_label, a.v AS anchor_v, c.vec_id, a.label = c.label AS same,
+             CAST(list_sum(list_transform(list_zip(a.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 50 = 0
+    ), p AS (
+      SELECT * FROM (
+        SELECT anchor_id, anchor_label, anchor_v, vec_id AS positive_id, score AS positive_score,
+               row_number() OVER (PARTITION BY anchor_id, anchor_label, anchor_v ORDER BY score DESC, vec_id) AS place
+        FROM s WHERE same
+      ) WHERE place <= 5
+    ), n AS (
+      SELECT p.anchor_id, positive_id, s.vec_id AS negative_id, positive_score, s.score AS negative_score,
+             CAST(row_number() OVER (PARTITION BY p.anchor_id, p.anchor_label, p.anchor_v, positive_id, place
+                                     ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+      FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.anchor_label = p.anchor_label AND s.anchor_v = p.anchor_v
+      WHERE NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score
+    )
+    SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 3
+    """
+)
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    from weftline.llm.hard_negatives import hard_negatives
+
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, folder, "embeddings").withColumn("label", label)
+    return hard_negatives(rows, F.col("vec_id") % 50 == 0)
+
+
+@query(
+    """
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), s AS (
+      SELECT q.vec_id AS query_id, c.vec_id,
+             sqrt(list_sum(list_transform(list_zip(q.v, c.v), lambda p: (p[1] - p[2]) * (p[1] - p[2])))) AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+    ), r AS (
+      SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score
+      FROM s
+    )
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
+    """
+)
+def op13_rotated_codes(spark: SparkSession, folder: str) -> DataFrame:
+    from weftline.llm.rotated_codes import nearest
+
+    return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
