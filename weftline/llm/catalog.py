@@ -187,3 +187,49 @@ def op13_rotated_codes(spark: SparkSession, folder: str) -> DataFrame:
     from weftline.llm.rotated_codes import nearest
 
     return nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query(
+    r"""
+    WITH d AS (
+      SELECT coalesce(lang, 'und') AS lang,
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+      FROM documents
+    ), p AS (
+      SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM d
+    ), w AS MATERIALIZED (
+      SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p
+    ), g AS (
+      SELECT lang, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase, k
+      FROM w, range(1, 6) t(k) WHERE len(w) >= k
+    ), f AS MATERIALIZED (
+      SELECT lang, phrase, k, count(*) AS f FROM g GROUP BY lang, phrase, k HAVING count(*) >= 100
+    ), n AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+    c AS MATERIALIZED (SELECT lang, phrase, k AS size, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+    cut AS (
+      SELECT lang, phrase, size, a, w, k, array_to_string(w[1:k], ' ') AS lp, array_to_string(w[k + 1:], ' ') AS rp
+      FROM c, range(1, 5) t(k) WHERE k < size
+    ), s AS (
+      SELECT cut.lang, cut.phrase, cut.a, cut.k, x.f AS l, y.f AS r, n.n,
+             CAST((1000::HUGEINT * cut.a * n.n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+      FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = cut.lp JOIN f y ON y.lang = cut.lang AND y.phrase = cut.rp
+      JOIN n ON n.lang = cut.lang
+    ), low AS (
+      SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM s) WHERE place = 1
+    ), inner_part AS (
+      SELECT DISTINCT c.lang, array_to_string(c.w[i:i + k - 1], ' ') AS phrase, c.a AS longer
+      FROM c, range(2, 5) t(k), range(1, 5) u(i) WHERE k < c.size AND i + k - 1 <= c.size
+    ), kept AS (
+      SELECT low.* FROM low WHERE NOT EXISTS (
+        SELECT 1 FROM inner_part x WHERE x.lang = low.lang AND x.phrase = low.phrase AND 100 * x.longer >= 100 * low.a)
+    ), ranked AS (
+      SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score
+      FROM kept
+    )
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+    """
+)
+def op12_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    from weftline.llm.phrases import collocations
+
+    return collocations(table(spark, folder, "documents"))
