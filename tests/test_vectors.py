@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from weftline.operators import embed, neardup, search, topics
+from weftline.operators import cells, embed, neardup, search, topics
 from weftline.sources.files import random_vectors
 
 
@@ -199,3 +199,72 @@ def test_vectors_that_are_not_finite_take_no_part(spark):
     assert [r["id"] for r in found] == [29, 28, 27]
     with pytest.raises(ValueError, match="unique"):
         search.knn(queries.union(queries), corpus, 3)
+
+
+# Cells -----------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("metric", ["dot", "euclidean"])
+def test_cells_give_the_result_of_a_scan(spark, data, metric, monkeypatch):
+    queries, corpus = data
+    monkeypatch.setattr(cells, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(cells, "BLOCK_QUERIES", 3)
+    q, c = frame(spark, queries, "qid"), frame(spark, corpus)
+    layout = cells.build_layout(c, n_cells=12)
+    hits, visited = cells.cell_search(q, layout, 10, metric)
+    scan = search.knn(q, c, 10, metric)
+    assert sorted(map(tuple, hits.collect())) == sorted(map(tuple, scan.collect()))
+    assert all(r["visited"] + r["skipped"] == (layout.size > 0).sum() for r in visited.collect())
+
+
+def test_far_cells_are_skipped(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    centres = rng.standard_normal((10, 8)) * 50
+    corpus = np.repeat(centres, 40, axis=0) + rng.standard_normal((400, 8))
+    queries = centres[:6] + 0.5
+    q, c = frame(spark, queries, "qid"), frame(spark, corpus)
+    cells.build_layout(c, str(tmp_path / "layout"), n_cells=10)
+    layout = cells.open_layout(spark, str(tmp_path / "layout"))
+    hits, visited = cells.cell_search(q, layout, 5, "euclidean")
+    assert sorted(map(tuple, hits.collect())) == sorted(map(tuple, search.knn(q, c, 5, "euclidean").collect()))
+    assert min(r["skipped"] for r in visited.collect()) >= 5
+
+
+def test_cell_bounds_hold(spark, data):
+    queries, corpus = data
+    layout = cells.build_layout(frame(spark, corpus), n_cells=9)
+    rows = layout.rows.collect()
+    for metric in ("dot", "euclidean"):
+        top = cells.bounds(layout, queries, metric)
+        for r in rows:
+            v = np.array(r["v"])
+            score = queries @ v if metric == "dot" else -np.sqrt(((queries - v) ** 2).sum(1))
+            assert (score <= top[:, r["cell"]] + 1e-12).all()
+
+
+def test_cells_of_few_and_odd_rows(spark):
+    schema = "id long, embedding array<float>"
+    odd = spark.createDataFrame([(0, [1.0, 0.0]), (1, None), (2, [1.0]), (3, [float("nan"), 1.0]), (4, [0.0, 2.0])], schema)
+    layout = cells.build_layout(odd)
+    asked = spark.createDataFrame([(0, [1.0, 1.0]), (1, [1.0])], "qid long, embedding array<float>")
+    hits, _ = cells.cell_search(asked, layout, 5)
+    assert sorted((r["qid"], r["id"], r["rank"]) for r in hits.collect()) == [(0, 0, 2), (0, 4, 1)]
+    assert sorted(map(tuple, search.left_out(odd, 2).collect())) == [(1, "no vector"), (2, "another length"), (3, "a number that is not finite")]
+    none = cells.build_layout(odd.limit(0))
+    assert cells.cell_search(asked, none, 5)[0].collect() == []
+
+
+def test_many_queries_stay_distributed(spark, data, monkeypatch):
+    queries, corpus = data
+    monkeypatch.setattr(search, "BLOCK_QUERIES", 3)
+    monkeypatch.setattr(search, "BLOCK_ROWS", 40)
+    q, c = frame(spark, queries, "qid"), frame(spark, corpus)
+    for metric in ("dot", "euclidean"):
+        got = search.knn(q, c, 8, metric)
+        plan = got._jdf.queryExecution().optimizedPlan().toString()
+        assert "FlatMapCoGroupsInArrow" in plan
+        with monkeypatch.context() as patch:
+            patch.setattr(search, "BLOCK_QUERIES", 2048)
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, search.knn(q, c, 8, metric).collect()))
+    assert listed(search.knn(q, c, 290, dims=4)) == listed(search.knn(search.truncate(q, 4), search.truncate(c, 4), 290))
+    assert listed(search.knn_rerank(q, c, 4, k=10, expand=30)) == brute(queries, corpus, 10)
