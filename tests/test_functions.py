@@ -168,3 +168,21 @@ def test_links_and_text_step_over_scripts_comments_and_quotes(spark):
     assert list(row) == [["/y"], "x y"]
     long = "<b " + "k=v " * 20_000
     assert spark.createDataFrame([(long,)], "h string").select(visible_text(F.col("h"))).first()[0] == long.strip()
+
+
+def test_nested_and_open_elements(value):
+    page = "<ul><li>a <b>x</b><ul><li class='in k'>b</li><li>c</li></ul></li><LI id=last>d <list>e</list><p>f</ul>"
+    assert value(html.blocks(F.col("c"), "li"), c=page) == [
+        "a <b>x</b><ul><li class='in k'>b</li><li>c</li></ul>", "b", "c", "d <list>e</list><p>f</ul>",
+    ]
+    assert value(html.blocks_with_class(F.col("c"), "li", "k"), c=page) == ["b"]
+    assert value(html.block_with_id(F.col("c"), "li", "last"), c=page).startswith("d ")
+    assert value(html.blocks(F.col("c"), "li"), c="</li>no<!-- <li>c</li> -->") == []
+    strong = "<strong><a href=1></a><strong><a href='2'></a></strong></strong><a href=3></a><strong><a href=1></a></strong><strong><a href=1></a>"
+    assert value(html.strong_hrefs(F.col("c")), c=strong) == ["1", "2", "1", "1"]
+    labels = "<!-- <dt>Year:</dt><dd>0</dd> --><dl><dt>Year:</dt><dd>a<dl><dd>b</dd></dl>c</dd></dl>"
+    assert value(html.labelled_block(F.col("c"), "Year:"), c=labels) == "a<dl><dd>b</dd></dl>c"
+
+
+def test_all_named_references(value):
+    assert value(html.unescape(F.col("c")), c="&oacute;&AMP;&amp;lt;&NotEqualTilde;&nosuch;&alpha;") == "ó&&lt;≂̸&nosuch;α"

@@ -2,51 +2,16 @@
 
 from __future__ import annotations
 
+import json
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from weftline.functions.text import bound
 
-# Named character references that are common in pages and mail.
-NAMED = {
-    "nbsp": "\xa0",
-    "copy": "©",
-    "reg": "®",
-    "trade": "™",
-    "middot": "·",
-    "bull": "•",
-    "hellip": "…",
-    "ndash": "–",
-    "mdash": "—",
-    "lsquo": "‘",
-    "rsquo": "’",
-    "ldquo": "“",
-    "rdquo": "”",
-    "laquo": "«",
-    "raquo": "»",
-    "euro": "€",
-    "pound": "£",
-    "yen": "¥",
-    "sect": "§",
-    "deg": "°",
-    "times": "×",
-    "auml": "ä",
-    "ouml": "ö",
-    "uuml": "ü",
-    "Auml": "Ä",
-    "Ouml": "Ö",
-    "Uuml": "Ü",
-    "szlig": "ß",
-    "eacute": "é",
-    "egrave": "è",
-    "agrave": "à",
-    "ccedil": "ç",
-    "ntilde": "ñ",
-    "quot": '"',
-    "apos": "'",
-    "lt": "<",
-    "gt": ">",
-}
+#: The named character references of HTML, from Python's own table; ``amp`` comes last in ``unescape``.
+NAMED = {f"&{name}": letter for name, letter in html5.items() if name.endswith(";") and name.lower() != "amp;"}
 
 _HREF = r"""(?is)<a\b[^>]*?\shref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
@@ -65,11 +30,11 @@ def _numbered(ref: Column) -> Column:
 
 
 def unescape(c: Column) -> Column:
-    """Replace character references: numeric ones and the named ones above, ``&amp;`` last.
+    """Replace character references: numeric ones and all named ones, ``&amp;`` last.
 
     The text is searched once, then rewritten once per distinct reference in it.
     """
-    names = F.create_map(*[F.lit(x) for name, letter in NAMED.items() for x in (f"&{name};", letter)])
+    names = F.from_json(F.lit(json.dumps(NAMED)), "map<string,string>")  # a constant, so it is parsed once in the plan
 
     def letter(ref: Column) -> Column:
         numbered = F.startswith(ref, F.lit("&#"))
@@ -78,7 +43,7 @@ def unescape(c: Column) -> Column:
     def rewritten(text: Column) -> Column:
         found = F.array_distinct(F.regexp_extract_all(text, F.lit(_REFERENCE), F.lit(0)))
         done = F.aggregate(found, text, lambda acc, ref: F.replace(acc, ref, letter(ref)))
-        return F.when(F.contains(text, F.lit("&")), F.replace(done, F.lit("&amp;"), F.lit("&"))).otherwise(text)
+        return F.when(F.contains(text, F.lit("&")), F.regexp_replace(done, "&(?:amp|AMP);", "&")).otherwise(text)
 
     return bound(c, rewritten)
 
@@ -110,35 +75,76 @@ def hrefs(c: Column) -> Column:
     )
 
 
+_ELEMENT = "struct<no: int, depth: int, tag: string, html: string>"
+
+
+def elements(c: Column, tag: str) -> Column:
+    """``no, depth, tag, html`` of every ``tag`` element in page order: its opening tag and inner HTML.
+
+    Elements may stand in elements of the same name; each goes to its own closing
+    tag, or to the end of the page if it has none. The tags of this name are folded
+    over a stack of open elements.
+    """
+    mark = rf"(?is)</?{tag}(?=[\s/>])[^>]*>"
+
+    def fold(page: Column) -> Column:
+        tags, pieces = F.regexp_extract_all(page, F.lit(mark), F.lit(0)), F.split(page, mark, -1)
+        steps = F.zip_with(tags, F.slice(pieces, F.lit(2), F.size(pieces)), lambda t, p: F.struct(t.alias("t"), p.alias("p")))
+        none = F.array().cast(f"array<{_ELEMENT}>")
+        start = F.struct(none.alias("open"), none.alias("done"), F.lit(0).alias("n"))
+
+        def step(state: Column, s: Column) -> Column:
+            open_, done, n = state["open"], state["done"], state["n"]
+            longer = lambda e: F.struct(
+                e["no"].alias("no"), e["depth"].alias("depth"), e["tag"].alias("tag"), F.concat(e["html"], s["t"], s["p"]).alias("html")
+            )
+            own = F.struct(n.alias("no"), F.size(open_).alias("depth"), s["t"].alias("tag"), s["p"].alias("html"))
+            opened = F.struct(F.concat(F.transform(open_, longer), F.array(own)).alias("open"), done.alias("done"), (n + 1).alias("n"))
+            outer = F.transform(F.slice(open_, F.lit(1), F.greatest(F.size(open_) - 1, F.lit(0))), longer)
+            closed = F.struct(outer.alias("open"), F.concat(done, F.slice(open_, -1, 1)).alias("done"), n.alias("n"))
+            return F.when(~F.startswith(s["t"], F.lit("</")), opened).when(F.size(open_) > 0, closed).otherwise(state)
+
+        # An element that was never closed ends with the page.
+        return F.aggregate(steps, start, step, lambda state: F.array_sort(F.concat(state["done"], state["open"])))
+
+    return bound(_live(c), fold)
+
+
 def blocks(c: Column, tag: str) -> Column:
-    """The inner HTML of every ``tag`` element (not nested in itself), in page order."""
-    return F.regexp_extract_all(_live(c), F.lit(rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>"), F.lit(1))
+    """The inner HTML of every ``tag`` element, nested ones too, in page order."""
+    return F.transform(elements(c, tag), lambda e: e["html"])
+
+
+def _attribute(tag: Column, name: str) -> Column:
+    """The value of an attribute of an opening tag; empty without it."""
+    pattern = rf"""(?is)^<[^\s>]+\b[^>]*?\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+    return F.concat(*[F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)])
 
 
 def blocks_with_class(c: Column, tag: str, name: str) -> Column:
     """The inner HTML of every ``tag`` element that carries the class ``name``."""
-    pattern = (
-        rf"""(?is)<{tag}\b[^>]*?\sclass\s*=\s*["']?(?:[^"'>]*\s)?{name}(?=[\s"'>])[^>]*>(.*?)</{tag}\s*>"""
-    )
-    return F.regexp_extract_all(c, F.lit(pattern), F.lit(1))
+    own = F.filter(elements(c, tag), lambda e: F.array_contains(F.split(_attribute(e["tag"], "class"), r"\s+"), name))
+    return F.transform(own, lambda e: e["html"])
 
 
 def block_with_id(c: Column, tag: str, name: str) -> Column:
-    pattern = rf"""(?is)<{tag}\b[^>]*?\sid\s*=\s*["']?{name}["']?[^>]*>(.*?)</{tag}\s*>"""
-    return F.nullif(F.regexp_extract(c, pattern, 1), F.lit(""))
+    """The inner HTML of the first ``tag`` element with this id; null if there is none or it is empty."""
+    own = F.filter(elements(c, tag), lambda e: _attribute(e["tag"], "id") == name)
+    return F.nullif(F.try_element_at(own, F.lit(1))["html"], F.lit(""))
 
 
 def first_block_text(c: Column, tag: str) -> Column:
     """The visible text of the first ``tag`` element; null if there is none."""
-    return F.nullif(visible_text(F.regexp_extract(c, rf"(?is)<{tag}\b[^>]*>(.*?)</{tag}\s*>", 1)), F.lit(""))
+    return F.nullif(visible_text(F.try_element_at(blocks(c, tag), F.lit(1))), F.lit(""))
 
 
 def strong_hrefs(c: Column) -> Column:
-    """Links that stand inside ``strong`` elements only."""
-    return F.flatten(F.transform(blocks(c, "strong"), hrefs))
+    """Links that stand inside ``strong`` elements only, those of nested ones once."""
+    outer = F.filter(elements(c, "strong"), lambda e: e["depth"] == 0)
+    return F.flatten(F.transform(outer, lambda e: hrefs(e["html"])))
 
 
 def labelled_block(c: Column, label: str) -> Column:
     """The inner HTML of the ``dd`` that follows the ``dt`` with this label; null without it."""
-    pattern = rf"(?is)<dt\b[^>]*>\s*{label}\s*</dt\s*>.*?<dd\b[^>]*>(.*?)</dd\s*>"
-    return F.nullif(F.regexp_extract(c, pattern, 1), F.lit(""))
+    rest = F.regexp_extract(_live(c), rf"(?is)<dt\b[^>]*>\s*{label}\s*</dt\s*>(.*)", 1)
+    return F.nullif(F.try_element_at(blocks(rest, "dd"), F.lit(1)), F.lit(""))
