@@ -40,9 +40,15 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
+def hadoop_folder(spark: SparkSession, path: str):
+    """The path as Hadoop knows it, and its file system."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    hadoop_path, fs = hadoop_folder(spark, path)
+    return fs.exists(hadoop_path)
 
 
 def materialize(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> DataFrame:
