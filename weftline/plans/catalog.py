@@ -29,6 +29,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def load() -> tuple[dict[str, Job], dict[str, str]]:
-    from weftline.plans import catalog_links, catalog_records, catalog_sources, catalog_vectors  # noqa: F401
+    from weftline.plans import catalog_landed, catalog_links, catalog_records, catalog_sources, catalog_vectors  # noqa: F401
 
     return QUERIES, ORACLES

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weftline.functions.dates import from_epoch, iso_date
@@ -27,6 +27,8 @@ from weftline.operators.enrich import lookup
 from weftline.operators.graph import flatten_tree
 from weftline.operators.ids import sequential_id
 from weftline.operators.reshape import explode_records, spoken, wide_to_long
+from weftline.sources.files import read_csv, read_json_lines
+from weftline.sources.lines import SOURCE, source_ids
 
 # The columns of the ticket export and of a proceedings record.
 TICKET_COLUMNS = (
@@ -167,7 +169,8 @@ def ticket_table(tickets: DataFrame, users: DataFrame, organizations: DataFrame)
 def newsletter_posts(sheet: DataFrame) -> DataFrame:
     """Posts of a newsletter sheet: url in column 0, name in column 5, posts from 2 in steps of 4.
 
-    A newsletter listed twice keeps its last line; ``line`` holds the line order.
+    A newsletter listed twice keeps its last line, at the place of its first one;
+    ``line`` holds the line order. Posts are numbered in that order.
     """
     cols = [c for c in sheet.columns if c != "line"]
     posts = [[cols[i], cols[i + 1], cols[i + 2]] for i in range(2, 21, 4)]
@@ -178,10 +181,14 @@ def newsletter_posts(sheet: DataFrame) -> DataFrame:
             "name": strip(F.col(cols[5])),
         }
     ).filter(F.col("slug").isNotNull())
-    last = latest_by_key(named.drop(cols[0]), "slug", ["line"])
+    rest = [c for c in named.columns if c not in (cols[0], "slug", "line")]
+    last = named.groupBy("slug").agg(
+        F.max_by(F.struct(*[F.col(f"`{c}`") for c in rest]), "line").alias("_last"), F.min("line").alias("line")
+    )
+    last = last.select("slug", "line", "_last.*")
     long = wide_to_long(last, posts, ["url", "title", "subtitle"], "post_no")
     clean = long.select(
-        "slug",
+        "line",
         "name",
         "post_no",
         strip(F.col("url")).alias("url"),
@@ -189,12 +196,26 @@ def newsletter_posts(sheet: DataFrame) -> DataFrame:
         or_empty(strip(F.col("subtitle"))).alias("subtitle"),
     ).filter(F.coalesce(F.col("url"), F.lit("")) != "")
     texts = clean.withColumn("text", title_and_subtitle(F.col("title"), F.col("subtitle")))
-    return sequential_id(texts, ["slug", "post_no"]).drop("slug", "post_no")
+    return sequential_id(texts, ["line", "post_no"]).drop("line", "post_no")
+
+
+def read_newsletter(spark: SparkSession, path: str, columns: str) -> DataFrame:
+    """Posts of a landed sheet; ``columns`` declares its columns in their order."""
+    return newsletter_posts(source_ids(read_csv(spark, path, columns, source=True), "line").drop(*SOURCE))
+
 
+def read_proceedings(spark: SparkSession, path: str, fields: str) -> DataFrame:
+    """Papers of landed JSON lines, numbered by line; broken lines are left out and keep their number."""
+    return proceedings(read_json_lines(spark, path, fields, source=True))
 
-def proceedings(papers: DataFrame, order_by: list[str]) -> DataFrame:
-    """Papers with a numeric year, a text id, and ``N/A`` for what is missing."""
-    numbered = sequential_id(papers, order_by).withColumns(
+
+def proceedings(papers: DataFrame, order_by: list[str] | None = None) -> DataFrame:
+    """Papers with a numeric year, a text id, and ``N/A`` for what is missing.
+
+    Numbers go by ``order_by`` or, without it, by the place in the source (``file, block, row``).
+    """
+    numbered = sequential_id(papers, order_by) if order_by else source_ids(papers)
+    numbered = numbered.withColumns(
         {"year": F.col("year").try_cast("double"), "id": F.col("id").cast("string")}
     )
     columns = whitelist(numbered, PROCEEDINGS_COLUMNS)
@@ -264,9 +285,10 @@ def event_papers(pages: DataFrame, events: DataFrame) -> tuple[DataFrame, DataFr
 
 
 def document_chunks(documents: DataFrame, max_chars: int = 800) -> DataFrame:
-    """Chunks of titled documents under one dense id."""
+    """Chunks of titled documents under one dense id, in source order if documents know their place, else by file name."""
+    order = SOURCE if set(SOURCE) <= set(documents.columns) else ("filename",)
     rows = chunk(documents, "text", max_chars).withColumnRenamed("chunk_text", "text")
-    return sequential_id(rows, ["filename", "chunk_no"]).select(
+    return sequential_id(rows, [*order, "chunk_no"]).select(
         "id", "text", "title", "filename", "heading", "page_num"
     )
 

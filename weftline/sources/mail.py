@@ -21,6 +21,7 @@ from weftline.functions.dates import mail_instant, message_instant
 from weftline.functions.html import visible_text
 from weftline.functions.text import thread_id
 from weftline.operators.reshape import label_flags
+from weftline.sources.lines import SOURCE, numbered_lines, source_ids
 
 # The parser's output, as Arrow types and as DDL. A mailbox needs the body parts
 # of a message, an archive its payload as it stands; the other stays unread.
@@ -241,20 +242,25 @@ def read_mail_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def split_mailbox(spark: SparkSession, path: str) -> DataFrame:
-    """One row of raw bytes per message; the file is split in parallel at its ``From `` lines."""
-    raw = spark.read.option("lineSep", "\nFrom ").text(path)
+    """One row of raw bytes per message, with its place; the file is split in parallel at its ``From `` lines."""
+    raw = numbered_lines(spark, path, "\nFrom ")
     # The separator line ends at the first line end and is no part of the message.
     text = F.col("value").cast("binary")
     first_end = F.expr("instr(value, '\n')")
     return (
         raw.filter(first_end > 0)
-        .select(F.substring(text, F.octet_length(F.expr("substring(value, 1, instr(value, '\n'))")) + 1, F.octet_length(text)).alias("content"))
+        .select(*SOURCE, F.substring(text, F.octet_length(F.expr("substring(value, 1, instr(value, '\n'))")) + 1, F.octet_length(text)).alias("content"))
     )
 
 
 def mailbox_rows(messages: DataFrame) -> DataFrame:
-    """The mailbox table: ids, date, addresses, subject, body and one text flag per label."""
-    rows = messages.select(
+    """The mailbox table: ids, date, addresses, subject, body and one text flag per label.
+
+    Messages that know their place get a dense ``id`` in source order.
+    """
+    placed = set(SOURCE) <= set(messages.columns)
+    rows = (source_ids(messages) if placed else messages).select(
+        *(["id"] if placed else []),
         header("message-id").alias("message_id"),
         thread_id(
             header("x-gm-thrid"), header("references"), header("in-reply-to"), header("message-id")
