@@ -40,7 +40,8 @@ def test_spread_join_equals_plain_join(spark, rows):
         salted = skew.spread_join(many, one, "k", "id", how, hot_rows=100)
         assert "_salt" in salted._jdf.queryExecution().toString() and "_salt" not in salted.columns
         assert rows(salted, *sorted(salted.columns)) == rows(many.join(one, "k", how), *sorted(salted.columns))
-    assert skew.hot_keys_of(many, "k", 100) == ["hot"]
+    assert [r[0] for r in skew.hot_keys_of(many, "k", 100).collect()] == ["hot"]
+    assert skew.hot_keys_of(many, "k", 10**6) is None and skew.hot_keys_of(many, "k", 1, n_rows=0) is None
     assert skew.is_small(one, 4) and not skew.is_small(one, 3)
 
 
@@ -145,3 +146,14 @@ def test_union_and_overlap(spark, rows):
     assert rows(dedupe.union_all(a, b), "id", "a") == [(1, "x"), (1, None), (2, None)] or len(rows(dedupe.union_all(a, b))) == 3
     assert dedupe.overlap(a, b, "id").first()["shared"] == 1
     assert rows(dedupe.unvisited(b, a, "id")) == [(2,)]
+
+
+def test_salts_follow_the_size_of_a_key(spark):
+    """One key with half of the rows and 2,000 other hot keys: all are spread, each by its size."""
+    many = spark.range(80_000).selectExpr("id", "CASE WHEN id % 2 = 0 THEN 0 ELSE 1 + id % 4000 END AS k")
+    one = spark.range(5000).selectExpr("id AS k", "id * 2 AS v")
+    hot = skew.hot_keys_of(many, "k", 20)
+    salts = {r["k"]: r["_salts"] for r in hot.collect()}
+    assert len(salts) == 2001 and salts.pop(0) == 2000 and set(salts.values()) == {1}
+    joined = skew.spread_join(many, one, "k", "id", "inner", hot=skew.hot_keys_of(many, "k", 1000))
+    assert joined.count() == 80_000 and joined.filter("v <> 2 * k").count() == 0

@@ -67,7 +67,7 @@ def relative_position(
         F.max_by(end, order).alias("_last_end"), F.count(F.lit(1)).alias("_n")
     )
     hot = hot_keys(last, group, "_n", hot_rows)
-    joined = spread_join(df, last.select(group, "_last_end"), group, order, "left", hot=hot)
+    joined = spread_join(df, last.select(group, "_last_end"), group, order, "left", hot=hot, n_rows=0)
     whole = F.nullif(F.col("_last_end").cast("double"), F.lit(0.0))
     return joined.withColumns(
         {

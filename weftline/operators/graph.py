@@ -48,7 +48,7 @@ def flatten_tree(df: DataFrame, id_col: str, parent_col: str, hot_rows: int = HO
         )
         hot = hot_keys_of(climbing, "up", hot_rows, n)
         moved = cut(
-            spread_join(climbing, ahead, "up", "node", "inner", hot=hot).select(
+            spread_join(climbing, ahead, "up", "node", "inner", hot=hot, n_rows=0).select(
                 "node",
                 F.col("next").alias("up"),
                 (F.col("steps") + F.col("more")).alias("steps"),
@@ -79,7 +79,7 @@ def reach(edges: DataFrame, start: DataFrame, max_hops: int | None = None, hot_r
     levels, hops = [frontier], 0
     while max_hops is None or hops < max_hops:
         ahead = spread_join(
-            edges, frontier.select(F.col("node").alias("src")), "src", "dst", "inner", hot=hot
+            edges, frontier.select(F.col("node").alias("src")), "src", "dst", "inner", hot=hot, n_rows=0
         )
         seen = reduce(DataFrame.unionByName, levels).select("node")
         frontier = cut(
@@ -114,7 +114,7 @@ def connected_groups(edges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     ))
     while True:
         around = spread_join(
-            both, labels.select(F.col("node").alias("b"), "label"), "b", "a", "inner", hot=hot
+            both, labels.select(F.col("node").alias("b"), "label"), "b", "a", "inner", hot=hot, n_rows=0
         ).groupBy("a").agg(F.min("label").alias("m"))
         lower = labels.join(around, labels["node"] == around["a"]).select(
             "node", "label", F.least("label", "m").alias("near")
@@ -124,7 +124,7 @@ def connected_groups(edges: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
         far = labels.select(F.col("node").alias("near"), F.col("label").alias("far"))
         hot_labels = hot_keys_of(lower, "near", hot_rows, n)
         jumped = cut(
-            spread_join(lower, far, "near", "node", "inner", hot=hot_labels).select(
+            spread_join(lower, far, "near", "node", "inner", hot=hot_labels, n_rows=0).select(
                 "node", F.least("near", "far").alias("label"), (F.least("near", "far") < F.col("label")).alias("moved")
             )
         )

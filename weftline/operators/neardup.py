@@ -51,8 +51,9 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int, hot_rows: int) -> Da
     """The pairs ``a, b`` of which ``100 * shared >= percent * union`` holds, as ``src, dst``."""
     sides = [sets.select(F.col("key").alias(c), F.col("members").alias(f"{c}_members")) for c in "ab"]
     # a set that heads a group is asked for by many, as the other side of a pair also by many
-    one = spread_join(pairs, sides[0], "a", "b", "inner", hot_rows)
-    both = spread_join(one, sides[1], "b", "a", "inner", hot_rows)
+    n = pairs.count()
+    one = spread_join(pairs, sides[0], "a", "b", "inner", hot_rows, n_rows=n)
+    both = spread_join(one, sides[1], "b", "a", "inner", hot_rows, n_rows=n)
     shared = F.size(F.array_intersect("a_members", "b_members"))
     counted = both.select("a", "b", shared.alias("n"), (F.size("a_members") + F.size("b_members")).alias("total"))
     return counted.filter(F.col("n") * 100 >= (F.col("total") - F.col("n")) * percent).select(
@@ -92,18 +93,19 @@ def near_dups(
     live = _written(_heads(sets, percent), "heads")
     ends = live.groupBy("token").agg(F.min("key").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     sizes = sets.select(F.col("key").alias("a"), F.col("size").alias("a_size"))
-    stars = spread_join(live, ends, "token", "key", "inner", hot_rows).filter("a <> key")
+    n = live.count()
+    stars = spread_join(live, ends, "token", "key", "inner", hot_rows, n_rows=n).filter("a <> key")
     stars = stars.select("a", F.col("key").alias("b"), F.col("size").alias("b_size")).distinct()
-    stars = _written(spread_join(stars, sizes, "a", "b", "inner", hot_rows).filter(_sizes_fit(percent)).select("a", "b"), "stars")
+    stars = _written(spread_join(stars, sizes, "a", "b", "inner", hot_rows, n_rows=n).filter(_sizes_fit(percent)).select("a", "b"), "stars")
     links = _written(_links(stars, sets, percent, hot_rows), "links")
     groups = connected_groups(links, hot_rows)
 
     # What is left to ask: members of one head's group that are in different groups so far.
     labels = groups.select(F.col("node").alias("key"), "label")
-    placed = spread_join(live, labels, "key", "token", "left", hot_rows).withColumn("label", F.coalesce("label", "key"))
+    placed = spread_join(live, labels, "key", "token", "left", hot_rows, n_rows=n).withColumn("label", F.coalesce("label", "key"))
     placed = _written(placed, "placed")
     several = placed.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("token")
-    apart = _written(spread_join(placed, several, "token", "key", "left_semi", hot_rows), "apart")
+    apart = _written(spread_join(placed, several, "token", "key", "left_semi", hot_rows, n_rows=n), "apart")
     kinds = apart.select("token", "label").distinct()
     two = kinds.withColumnRenamed("label", "a_label").join(kinds.withColumnRenamed("label", "b_label"), "token").filter("a_label < b_label")
     a, b = (apart.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("label", "key", "size")]) for s in "ab")
@@ -117,5 +119,5 @@ def near_dups(
     named = firsts.join(groups.select(F.col("node").alias("key"), "label"), "key", "left")
     named = _written(named.select("key", "id", F.coalesce("label", "key").alias("label")), "named")
     smallest = named.groupBy("label").agg(F.min("id").alias("keep_id"))
-    kept = spread_join(named.select("key", "label"), smallest, "label", "key", "inner", hot_rows).select("key", "keep_id")
-    return spread_join(rows, kept, "key", "id", "left", hot_rows).select("id", F.coalesce("keep_id", "id").alias("keep_id"))
+    kept = spread_join(named.select("key", "label"), smallest, "label", "key", "inner", hot_rows, n_rows=named.count()).select("key", "keep_id")
+    return spread_join(rows, kept, "key", "id", "left", hot_rows, n_rows=every.count()).select("id", F.coalesce("keep_id", "id").alias("keep_id"))

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys are treated as hot. Any key beyond them holds less than
-# one row in HOT_KEYS, so it fits one task; the list has a fixed bound.
-HOT_KEYS = 1000
-# Keys below this many rows are never worth spreading.
+from weftline.storage import cut
+
+# Keys below this many rows are never worth spreading; the rows of a larger one go to tasks of about as many.
 HOT_ROWS = 1_000_000
-SALTS = 64
+# Null keys match nothing, so their rows go to so many places.
+NULL_SALTS = 64
 # A table of at most this many narrow rows may be sent to every task.
 SMALL_ROWS = 500_000
 
@@ -26,19 +26,24 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in plain])
 
 
-def hot_keys(counts: DataFrame, key: str, n_col: str, hot_rows: int = HOT_ROWS) -> list:
-    """The (at most HOT_KEYS) largest keys of a per-key count that reach ``hot_rows``."""
-    large = counts.filter(F.col(n_col) >= hot_rows)
-    return [r[0] for r in large.orderBy(F.desc(n_col), key).limit(HOT_KEYS).select(key).collect()]
+def hot_keys(counts: DataFrame, key: str, n_col: str, hot_rows: int = HOT_ROWS) -> DataFrame | None:
+    """``key, _salts`` for every key of a per-key count that reaches ``hot_rows``: one salt for each ``hot_rows`` rows of it.
+
+    No key is left out, and the table has at most one row for each ``hot_rows``
+    rows counted. None if no key is hot.
+    """
+    salts = F.ceil(F.col(n_col) / F.lit(hot_rows)).cast("int")
+    table = cut(counts.filter(F.col(n_col) >= hot_rows).select(key, salts.alias("_salts")))
+    return None if table.isEmpty() else table
 
 
-def hot_keys_of(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, n_rows: int | None = None) -> list:
+def hot_keys_of(df: DataFrame, key: str, hot_rows: int = HOT_ROWS, n_rows: int | None = None) -> DataFrame | None:
     """The hot keys of a table; rows are counted per key before any shuffle.
 
     ``n_rows``, the size of the table where it is known, saves the count for small tables.
     """
     if n_rows is not None and n_rows < hot_rows:
-        return []
+        return None
     return hot_keys(df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")), key, "_n", hot_rows)
 
 
@@ -49,25 +54,28 @@ def spread_join(
     spread_by: str | None = None,
     how: str = "left",
     hot_rows: int = HOT_ROWS,
-    hot: list | None = None,
+    hot: DataFrame | None = None,
+    n_rows: int | None = None,
 ) -> DataFrame:
     """Join rows to a table with one row per key when both sides may be large.
 
     Without hot keys (null counts as a key) this is a plain join. Otherwise the
-    rows of a hot key go to SALTS tasks by the hash of ``spread_by`` (of the row if not given), and only
-    the hot keys' rows on the ``one`` side are repeated. The salt is a function
-    of the row, so a re-run task repeats it. ``how`` is ``inner``, ``left``,
-    ``left_semi`` or ``left_anti``.
+    rows of a hot key are dealt by the hash of ``spread_by`` (of the row if not
+    given) to as many salts as the key's size asks for, and only the hot keys' rows
+    on the ``one`` side are repeated. The salt is a function of the row, so a re-run
+    task repeats it. ``hot`` is the table of ``hot_keys`` where it is at hand, or the
+    keys are counted, unless ``n_rows`` rows cannot hold a hot one. ``how`` is
+    ``inner``, ``left``, ``left_semi`` or ``left_anti``.
     """
     if hot is None:
-        hot = hot_keys_of(many, key, hot_rows)
-    if not hot:
+        hot = hot_keys_of(many, key, hot_rows, n_rows)
+    if hot is None:
         return many.join(one, key, how)
-    is_hot = F.col(key).isin([k for k in hot if k is not None])
+    # A row for each hot_rows rows of the large side at most.
+    salts = F.broadcast(hot.select(F.col(key).alias("_hot"), "_salts"))
     mark = F.xxhash64(spread_by) if spread_by else row_hash(many)
-    salt = F.pmod(mark, F.lit(SALTS)).cast("int")
-    # Null keys match nothing, so they may go anywhere.
-    salted = many.withColumn("_salt", F.when(F.col(key).isNull() | is_hot, salt).otherwise(F.lit(0)))
-    places = F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    repeated = one.withColumn("_salt", F.explode(places))
+    place = F.when(F.col(key).isNull(), F.pmod(mark, F.lit(NULL_SALTS))).otherwise(F.pmod(mark, F.coalesce("_salts", F.lit(1))))
+    salted = many.join(salts, F.col(key) == F.col("_hot"), "left").withColumn("_salt", place.cast("int")).drop("_hot", "_salts")
+    places = F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)
+    repeated = one.join(salts, F.col(key) == F.col("_hot"), "left").withColumn("_salt", F.explode(places)).drop("_hot", "_salts")
     return salted.join(repeated, [key, "_salt"], how).drop("_salt")

@@ -40,6 +40,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder as parquet and read back: lineage is cut, and readers can prune columns."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def hadoop_folder(spark: SparkSession, path: str):
     """The path as Hadoop knows it, and its file system."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
