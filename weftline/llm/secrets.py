@@ -25,6 +25,7 @@ import hashlib
 import math
 import pkgutil
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from functools import lru_cache, partial
 
@@ -203,21 +204,30 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def _covered(start: int, end: int, base: list[tuple[int, int, int]]) -> bool:
-    """Whether the base spans, in order, leave nothing of a value."""
+def _joint(base: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the runs that base spans, in order, cover without a gap."""
+    starts: list[int] = []
+    ends: list[int] = []
     for s, _, e in base:
-        if s <= start < e:
-            start = e
-    return start >= end
+        if ends and s <= ends[-1]:
+            ends[-1] = max(ends[-1], e)
+        else:
+            starts.append(s)
+            ends.append(e)
+    return starts, ends
 
 
 def guessed_spans(text: str, base: list[tuple[int, int, int]], min_cost: float) -> list[tuple[int, int, int]]:
     found, at, done = [], 0, 0
+    starts, ends = _joint(base)
     while m := CONTEXT.search(text, at):
         start, end = m.span(m.lastindex)
         value = text[start:end].rstrip(".")
         at, end = max(start, end - _TAIL), start + len(value)  # the end of a value may announce the next one
-        if end <= done or len(value) < MIN_CHARS or _covered(start, end, base):
+        if end <= done or len(value) < MIN_CHARS:
+            continue
+        run = bisect_right(starts, start) - 1
+        if run >= 0 and ends[run] >= end:  # base spans leave nothing of the value
             continue
         if guess_cost(value, not _mixed(value)) >= min_cost:
             found.append((start, 3, end))
