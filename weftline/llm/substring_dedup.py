@@ -260,7 +260,12 @@ _OUT_WITH_TEXT = "id {}, n_words long, n_removed long, kept_sha256 string, kept_
 
 
 def removable_spans(docs: DataFrame, window: int) -> DataFrame:
-    """``id, key, spans`` for the documents (``id, text, key``) that lose words; a span is ``n`` windows from word ``s``."""
+    """``id, key, spans`` for the documents (``id, text, key``) that lose words; a span is ``n`` windows from word ``s``.
+
+    Rows that repeat id and text are one document here, whatever their number.
+    """
+    if not docs.groupBy("id", "key").count().filter("count > 1").isEmpty():
+        docs = docs.dropDuplicates(["id", "key"])
     segments = kept(docs.filter("id IS NOT NULL").select("id", "text", "key").mapInArrow(partial(_segments, window), _SEGMENTS), "segments")
     shared = segments.groupBy("dealt").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("dealt")
     live = kept(segments.join(shared, "dealt"), "live")
