@@ -5,8 +5,10 @@ in numpy on histograms of binned numbers, level by level, for the logistic loss;
 then all trees are laid out in flat arrays of one complete binary shape, so that
 a batch of rows walks all trees at once with array look-ups.
 
-The model is fitted on about ``max_rows`` labelled rows at most, chosen by a hash
-of the id. Only their numbers, not their texts, reach the driver.
+The model is fitted on about ``max_rows`` labelled rows, twice as many at most,
+chosen by a hash of the id and, where ids have many rows, of their numbers. Rows
+that repeat id, numbers and label are one there. Only their numbers, not their
+texts, reach the driver.
 
 Null text: an empty one, with all numbers 0. Repeated rows: one score each.
 Rows with the same id and other labels all count. Null labels are left out.
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 
 from weftline.llm.quality_rules import _ASCII_LETTER, _CONTROL, _DIGIT, _UPPER, measure
 from weftline.llm.words import chunks
-from weftline.storage import scratch_path
+from weftline.storage import cut, scratch_path
 
 FEATURES = (
     "words", "word_chars", "symbols", "lines", "repeated_lines", "repeated_windows", "upper", "ascii_letters",
@@ -185,12 +187,17 @@ def quality_scores(
     stats = spark.read.parquet(kept)
     known = labels.filter(F.col(label).isNotNull() & F.col(id_col).isNotNull()).select(
         F.col(id_col).alias("id"), F.col(label).cast("int").alias("y")
-    )
+    ).distinct()
     total = known.count()
     spot = F.pmod(F.xxhash64(F.col("id").cast("string")), F.lit(1 << 40))
     if total > max_rows:  # a hash share of the rows, so that about max_rows are left
         known = known.filter(spot < int((1 << 40) * max_rows / total))
-    sample = stats.join(F.broadcast(known), "id").select("id", "stats", "y").toPandas()
+    # An id may have any number of rows: equal ones are one, and of different ones a hash share is taken too.
+    drawn = cut(stats.join(F.broadcast(known), "id").select("id", "stats", "y").distinct())
+    rows = drawn.count()
+    if rows > 2 * max_rows:
+        drawn = drawn.filter(F.pmod(F.xxhash64("id", "stats", "y"), F.lit(1 << 40)) < int((1 << 40) * max_rows / rows))
+    sample = drawn.toPandas()
     sample = sample.sort_values(["id", "y"], kind="stable")
     x = np.stack(sample["stats"]).astype(np.float32) if len(sample) else np.zeros((0, len(FEATURES)), np.float32)
     forest = fit(x, sample["y"].to_numpy(float))
