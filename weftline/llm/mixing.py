@@ -21,8 +21,9 @@
 Reruns agree: all draws are hashes of the row or the slot and ``seed``. Null or
 blank text: size 0, nothing taken. Null sources are one source. Repeated rows
 are packed each; ids may be null. Without words nothing is taken and targets
-are 0. Empty table: no rows. Further columns are kept by ``mixed_documents``
-and not looked at else.
+are 0. Texts are read whole, however long, and split once. Empty table: no rows.
+Further columns, whatever their names, are kept by ``mixed_documents`` and not
+looked at else.
 """
 
 from __future__ import annotations
@@ -30,6 +31,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from weftline.functions.text import bound
 from weftline.llm.tables import kept
 from weftline.llm.words import WORD
 from weftline.operators.ids import sequential_id
@@ -37,8 +39,8 @@ from weftline.operators.ids import sequential_id
 WEIGHTS, BUDGET, MOST = (3, 1, 2), 1.5, 2
 BLOCK_WORDS, SHARDS, SEED = 64, 64, 7
 
-#: Buckets of a source's documents, slots that one row is unfolded into, rounds of the permutation.
-BUCKETS, UNFOLDED, ROUNDS = 1024, 4096, 12
+#: Buckets of a source's documents, slots that one row is unfolded into, slots of a task, rounds of the permutation.
+BUCKETS, UNFOLDED, SLOTS_A_TASK, ROUNDS = 1024, 4096, 65_536, 12
 
 
 def targets(sizes: DataFrame, weights: tuple[int, ...], budget: float, most: int) -> DataFrame:
@@ -105,7 +107,9 @@ def slots(goals: DataFrame, block_words: int, most: int, shards: int, seed: int)
     passes = passes.withColumn("take", F.least(size, F.col("wanted") - F.col("epoch") * size)).filter("take > 0")
     passes = passes.withColumn("slots", F.ceil(F.col("take") / L))
     parts = passes.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("slots") - 1) / UNFOLDED))))
-    parts = parts.repartition("src", "epoch", "part")
+    # a number of partitions of one's own: adaptive execution would fold the few rows into one task, which unfolds them all
+    n_slots = passes.agg(F.sum("slots")).first()[0] or 0
+    parts = parts.repartition(max(1, -(-n_slots // SLOTS_A_TASK)), "src", "epoch", "part")
     first = F.col("part") * UNFOLDED
     each = parts.withColumn("slot", F.explode(F.sequence(first, F.least(first + UNFOLDED, F.col("slots")) - 1)))
     keys = F.col("src"), F.col("epoch"), F.lit(seed)
@@ -181,12 +185,17 @@ def mixed_documents(
         .groupBy("id", "key")
         .agg(F.sort_array(F.collect_list("s")).alias("spans"))
     )
-    own = docs.withColumn("__id", F.col(id_col)).withColumn("__key", F.xxhash64(F.col(text))).dropDuplicates(["__id", "__key"])
-    spans = spans.withColumnsRenamed({"id": "__span_id", "key": "__span_key", "spans": "__spans"})
-    joined = own.join(spans.hint("merge"), F.col("__id").eqNullSafe(F.col("__span_id")) & (F.col("__key") == F.col("__span_key")))
-    words = joined.withColumn("__words", F.regexp_extract_all(F.col(text), F.lit(WORD), F.lit(0)))
-    pieces = F.transform("__spans", lambda s: F.array_join(F.slice("__words", (s["at"] + 1).cast("int"), s["n"].cast("int")), " "))
-    out = words.withColumn(text, F.array_join(pieces, " "))
+    # The row travels as one column, so that its own names clash with none; texts cross one exchange, by `name`.
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    own = docs.select(F.struct(F.col(id_col).alias("id"), F.xxhash64(text).alias("key")).alias("name"), row).dropDuplicates(["name"])
+    joined = own.join(spans.select(F.struct("id", "key").alias("name"), "spans").hint("merge"), "name")
+    words = F.regexp_extract_all(F.col(f"row.`{text}`"), F.lit(WORD), F.lit(0))
+    # `bound`: the text is split once, not once for every span
+    taken = bound(
+        words, lambda w: F.transform("spans", lambda s: F.array_join(F.slice(w, (s["at"] + 1).cast("int"), s["n"].cast("int")), " "))
+    )
+    out = joined.select("row", F.array_join(taken, " ").alias("taken"))
+    new = {text: F.col("taken")}
     if n_chars is not None and n_chars in docs.columns:
-        out = out.withColumn(n_chars, F.length(text).cast(docs.schema[n_chars].dataType))
-    return out.select(*docs.columns)
+        new[n_chars] = F.length("taken").cast(docs.schema[n_chars].dataType)
+    return out.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
