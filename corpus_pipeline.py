@@ -26,7 +26,10 @@ def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced by the name of their kind."""
     from weftline.llm.secrets import redact
 
-    return redact(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    clean = redact(docs)
+    if "n_chars" in docs.columns:
+        clean = clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return clean
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
