@@ -43,7 +43,8 @@ from weftline.llm.words import Texts, chunks, combined, mixed
 #: Most frequent shingles that are put last; bounds what travels with the tasks (16 bytes each).
 LAST_SHINGLES = 1 << 17
 
-BITS = [f"b{k}" for k in range(8)]
+#: Least number of parity bits of a set; a larger set has about as many as members.
+LEAST_BITS = 512
 
 #: Partners of one probe in one prefix tree.
 TREE_SETS = 256
@@ -73,13 +74,16 @@ def _name(tokens: np.ndarray) -> int:
     return int(mixed(np.array([mixed(tokens).sum() + np.uint64(len(tokens))], np.uint64)).view(np.int64)[0])
 
 
-def _parity(sets: list[np.ndarray]) -> list[pa.Array]:
-    """512 parity bits of each set in 8 numbers: every member turns one bit over."""
-    out = np.zeros((len(sets), 512), np.uint8)
-    for k, found in enumerate(sets):
-        out[k] = np.bincount((found >> np.uint64(55)).astype(np.int64), minlength=512) & 1
-    numbers = np.packbits(out, axis=1, bitorder="little").view(np.int64).reshape(len(sets), 8)
-    return [pa.array(np.ascontiguousarray(numbers[:, k])) for k in range(8)]
+def _parity(sets: list[np.ndarray]) -> pa.Array:
+    """Parity bits of each set, 64 to a number: every member turns one over. Their number is a power of two, and the
+    halves of a longer row, turned over by each other, are the shorter row."""
+    rows = []
+    for found in sets:
+        size = max(LEAST_BITS, 1 << max(0, len(found) - 1).bit_length())
+        odd = (np.bincount((found & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1).astype(np.uint8)
+        rows.append(np.packbits(odd, bitorder="little").view(np.int64))
+    ends = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(rows) if rows else np.zeros(0, np.int64)))
 
 
 def _described(n: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,13 +106,13 @@ def _described(n: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
 def _counted(sets: list[np.ndarray], kind: pa.DataType) -> pa.RecordBatch:
     token, count = np.unique(np.concatenate(sets), return_counts=True)
     token, count = token[count > 1], count[count > 1]
-    return _rows(1, pa.nulls(len(token), kind), pa.array(token.view(np.int64)), count, pa.nulls(len(token), pa.int64()), [pa.nulls(len(token), pa.int64())] * 8)
+    return _rows(1, pa.nulls(len(token), kind), pa.array(token.view(np.int64)), count, pa.nulls(len(token), pa.int64()), pa.nulls(len(token), pa.list_(pa.int64())))
 
 
-def _rows(kind: int, ids: pa.Array, names: pa.Array, size, key: pa.Array, bits: list[pa.Array]) -> pa.RecordBatch:
+def _rows(kind: int, ids: pa.Array, names: pa.Array, size, key: pa.Array, bits: pa.Array) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.full(len(ids), kind, np.int32)), ids, names, pa.array(np.asarray(size, np.int64)), key, *bits],
-        ["kind", "id", "name", "size", "key", *BITS],
+        [pa.array(np.full(len(ids), kind, np.int32)), ids, names, pa.array(np.asarray(size, np.int64)), key, bits],
+        ["kind", "id", "name", "size", "key", "bits"],
     )
 
 
@@ -271,46 +275,64 @@ def _differences(percent: int, a: Column, b: Column) -> Column:
 
 def _may_link(percent: int, a: str, b: str) -> Column:
     """Sizes and parity bits allow it: no two sets differ in fewer members than in bits."""
-    x, y = F.col(f"{a}size"), F.col(f"{b}size")
-    bits = sum((F.bit_count(F.col(f"{a}{c}").bitwiseXOR(F.col(f"{b}{c}"))) for c in BITS), F.lit(0))
-    return (F.greatest(x, y) * percent <= F.least(x, y) * 100) & (bits <= _differences(percent, x, y))
+    x, y, xs, ys = (F.col(f"{side}{c}") for c in ("size", "bits") for side in (a, b))
+    turned = lambda p, q: F.zip_with(p, q, lambda m, n: m.bitwiseXOR(n))
+    # Sizes that fit are less than twice each other, so one row of bits is folded once at most.
+    half = lambda z: (F.size(z) / 2).cast("int")
+    folded = lambda z: turned(F.slice(z, F.lit(1), half(z)), F.slice(z, half(z) + 1, half(z)))
+    p = F.when(F.size(xs) > F.size(ys), folded(xs)).otherwise(xs)
+    q = F.when(F.size(ys) > F.size(xs), folded(ys)).otherwise(ys)
+    odd = F.aggregate(turned(p, q), F.lit(0), lambda acc, w: acc + F.bit_count(w))
+    fits = F.greatest(x, y) * percent <= F.least(x, y) * 100
+    return F.when(fits, odd <= _differences(percent, x, y)).otherwise(F.lit(False))
 
 
-def _stars(live: DataFrame, percent: int) -> DataFrame:
-    """``a, b``: every member of a group with the group's ends in two orders, if sizes and places allow a link.
+#: A group of up to so many members is settled by its ends in one order: they cover all its pairs.
+COVERED = 3
+
+_SEEN = ("name", "size", "place")
+
+
+def _ends() -> dict[str, Column]:
+    """The ends of a group in two orders, and its number of rows."""
+    plain, other = F.struct(*_SEEN), F.struct(F.xxhash64("name").alias("h"), *_SEEN)
+    return {"p0": F.min(plain), "p1": F.max(plain), "p2": F.min(other), "p3": F.max(other), "members": F.count(F.lit(1))}
+
+
+def _asking(live: DataFrame, percent: int) -> DataFrame:
+    """``asks``: the group's ends that a member could link with by sizes and places; ``open``: the ends leave pairs uncovered.
 
     At a shared shingle, two sets differ at least by how much more one holds
     before it and by how much more one holds behind it.
     """
-    seen = [F.col(c) for c in ("name", "size", "place")]
-    plain, other = F.struct(*seen), F.struct(F.xxhash64("name").alias("h"), *seen)
-    ends = live.groupBy("token").agg(
-        F.min(plain).alias("p0"), F.max(plain).alias("p1"), F.min(other).alias("p2"), F.max(other).alias("p3")
-    )
-    two = [F.struct(*[F.col(f"{p}.{c}") for c in ("name", "size", "place")]) for p in ("p2", "p3")]
-    ends = ends.select("token", F.array("p0", "p1", *two).alias("ends"))
-    pairs = live.join(ends, "token").select("name", "size", "place", F.explode(F.array_distinct("ends")).alias("e"))
-    behind = (F.col("size") - F.col("place")) - (F.col("e.size") - F.col("e.place"))
-    apart = F.abs(F.col("place") - F.col("e.place")) + F.abs(behind)
-    near = (F.col("e.name") != F.col("name")) & (apart <= _differences(percent, F.col("size"), F.col("e.size")))
-    return pairs.filter(near).select(F.col("e.name").alias("a"), F.col("name").alias("b")).distinct()
+    two = [F.struct(*[F.col(f"{p}.{c}") for c in _SEEN]) for p in ("p2", "p3")]
+
+    def near(e: Column) -> Column:
+        behind = (F.col("size") - F.col("place")) - (e["size"] - e["place"])
+        apart = F.abs(F.col("place") - e["place"]) + F.abs(behind)
+        return (e["name"] != F.col("name")) & (apart <= _differences(percent, F.col("size"), e["size"]))
+
+    asks = F.transform(F.filter(F.array_distinct(F.array("p0", "p1", *two)), near), lambda e: e["name"])
+    several = live.filter("p0.name < p1.name")
+    return several.select("token", *_SEEN, asks.alias("asks"), (F.col("members") > COVERED).alias("open"))
 
 
-def _shared(docs: DataFrame, prefixes) -> DataFrame:
-    """``token, name, size, place`` of the prefix shingles that two sets or more have.
+def _shared(docs: DataFrame, prefixes, percent: int) -> DataFrame:
+    """``token, name, size, place, asks, open`` of the prefix shingles that two sets or more have.
 
     Shingles outside the frequent ones have bounded groups: one exchange by
-    shingle and a window. Groups of frequent ones may hold any share of all rows:
-    their ends are merged before the shuffle and joined back, where Spark splits
-    hot keys.
+    shingle and a window that finds their ends too. Groups of frequent ones may
+    hold any share of all rows: their ends are merged before the shuffle and
+    joined back, where Spark splits hot keys.
     """
     rare, frequent = (
         docs.select("text").mapInArrow(partial(prefixes, often), "token long, name long, size int, place int") for often in (False, True)
     )
     group = Window.partitionBy("token")
-    rare = rare.withColumns({"lo": F.min("name").over(group), "hi": F.max("name").over(group)}).filter("lo < hi").drop("lo", "hi")
-    ends = frequent.groupBy("token").agg(F.min("name").alias("lo"), F.max("name").alias("hi")).filter("lo < hi").select("token")
-    return rare.dropDuplicates().union(frequent.join(ends, "token").dropDuplicates())
+    rare = rare.repartition("token")  # before the window makes the rows wider
+    rare = _asking(rare.withColumns({k: c.over(group) for k, c in _ends().items()}), percent).dropDuplicates(["token", "name"])
+    ends = frequent.groupBy("token").agg(*[c.alias(k) for k, c in _ends().items()]).filter("p0.name < p1.name")
+    return rare.union(_asking(frequent.join(ends.hint("merge"), "token"), percent).dropDuplicates(["token", "name"]))
 
 
 def _most_frequent(counted: DataFrame, most: int) -> bytes:
@@ -336,15 +358,16 @@ def _grouped(
     kind = docs.schema[id_col].dataType.simpleString()
     docs = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("key"))
     described = kept(
-        docs.mapInArrow(partial(_described, n), f"kind int, id {kind}, name long, size long, key long, " + ", ".join(f"{b} long" for b in BITS)), "described"
+        docs.mapInArrow(partial(_described, n), f"kind int, id {kind}, name long, size long, key long, bits array<long>"), "described"
     )
     rows = described.filter("kind = 0").drop("kind")
     counted = described.filter("kind = 1").groupBy(F.col("name").alias("token")).agg(F.sum("size").alias("n"))
     last = spark.sparkContext.broadcast(_most_frequent(kept(counted, "counted"), last_shingles))
 
-    live = kept(_shared(docs, partial(_prefixes, n, percent, last)), "live")
-    looks = kept(rows.filter("size > 0").select("name", "size", *BITS).dropDuplicates(["name"]), "looks")
-    stars = kept(_stars(live, percent).join(looks.select(*[F.col(c).alias(f"a_{c}") for c in looks.columns]), F.col("a") == F.col("a_name")), "stars")
+    live = kept(_shared(docs, partial(_prefixes, n, percent, last), percent), "live")
+    looks = kept(rows.filter("size > 0").select("name", "size", "bits").dropDuplicates(["name"]), "looks")
+    stars = live.select(F.explode("asks").alias("a"), F.col("name").alias("b")).distinct()
+    stars = kept(stars.join(looks.select(*[F.col(c).alias(f"a_{c}") for c in looks.columns]), F.col("a") == F.col("a_name")), "stars")
     stars = kept(
         stars.join(looks.withColumnRenamed("name", "b"), "b").filter(_may_link(percent, "a_", "")).select("a", "b"), "stars"
     )
@@ -358,7 +381,7 @@ def _grouped(
     tried = tried.union(_verified(_apart(stars, comps).join(tried, ["a", "b"], "left_anti"), docs, rows, trees))
     comps = components(tried.filter("links"))
 
-    members = live.join(comps.withColumnRenamed("node", "name"), "name", "left")
+    members = live.filter("open").join(comps.withColumnRenamed("node", "name"), "name", "left")
     members = kept(members.select("token", "name", "place", F.coalesce("comp", "name").alias("comp")), "members")
     mixed_groups = members.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("token")
     open_ = kept(members.join(mixed_groups, "token", "left_semi").join(looks, "name"), "open")
@@ -406,11 +429,13 @@ def representatives(docs: DataFrame, text: str = "text", id_col: str = "doc_id",
     firsts = kept(firsts.select("name", "first", F.coalesce("comp", "name").alias("comp")), "firsts")
     stays = firsts.select("name", "comp").join(firsts.groupBy("comp").agg(F.min("first").alias("stay")), "comp").select("name", "stay")
     goes = ~(F.col("id").eqNullSafe(F.col("stay.id")) & (F.col("key") == F.col("stay.key")))
-    copies = rows.join(stays, "name").filter(goes).select(F.col("id").alias("__copy_id"), F.col("key").alias("__copy_key")).distinct()
+    copies = rows.join(stays, "name").filter(goes).select(F.col("id").alias("copy_id"), F.col("key").alias("copy_key")).distinct()
     copies = kept(copies, "copies")
-    marked = docs.withColumn("__key", F.xxhash64(text))
-    same = F.col(id_col).eqNullSafe(F.col("__copy_id")) & (F.col("__key") == F.col("__copy_key"))
+    # the row travels as one column, so that its own names clash with none
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    marked = docs.select(row, F.col(id_col).alias("id"), F.xxhash64(text).alias("key"))
+    same = F.col("id").eqNullSafe(F.col("copy_id")) & (F.col("key") == F.col("copy_key"))
     left = marked.join(sized(copies, 32), same, "left_anti")
     if not rows.groupBy("id", "key").count().filter("count > 1").isEmpty():
-        left = left.dropDuplicates([id_col, "__key"])
-    return left.select(*docs.columns)
+        left = left.dropDuplicates(["id", "key"])
+    return left.select("row.*")
