@@ -14,12 +14,14 @@ candidate is one of 2 to ``longest`` words that occurs ``min_count`` times or mo
   ``c - (t - 1)`` and of ``t - 1`` over all shards stays below ``min_count`` go.
 * **Exact counts.** The fingerprints of the others are marked in a bit table of
   fixed size, the one thing that is broadcast. A second reading counts every
-  occurrence of a marked phrase, by its words; a chance mark costs a row and
-  changes no count. Sums are made per shard before the shuffle.
+  occurrence of a marked phrase; a chance mark costs a row and changes no count.
+  Sums are made per task, over a bounded number of phrases at a time, before the
+  shuffle.
 * **Two rounds.** Words and pairs first; longer phrases are then mined only where
   all their pairs are frequent in the whole table.
 
-Scores are exact: products are made in decimals of 38 places.
+Phrases are told apart by 64-bit fingerprints within a task and by their words
+between tasks. Scores are exact: products are made in decimals of 38 places.
 
 Null text: an empty one. Null language: ``und``. Words are compared as bytes after
 A-Z are lower-cased; whole texts are read, however long. Repeated rows count each.
@@ -30,6 +32,7 @@ frequent: no rows. Further columns are not looked at.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterable, Iterator
 from functools import partial
 
@@ -43,8 +46,11 @@ from weftline.llm.words import Texts, chunks, mixed
 
 MIN_COUNT, TOP, LONGEST, COVERED = 100, 2000, 5, 100
 
-#: Text of a shard, the greatest local support, and the size of the bit table (32 MB).
-SHARD_BYTES, MOST_LOCAL, TABLE_BITS = 32 << 20, 4, 28
+#: Text of a shard, the greatest local support, and the size of the bit table (8 MB).
+SHARD_BYTES, MOST_LOCAL, TABLE_BITS = 16 << 20, 2, 26
+
+#: Phrases that a task holds while it counts (few more, by the shard), and the most text that it reads then.
+MOST_HELD, TASK_BYTES = 400_000, 1 << 30
 
 #: What ends a piece, and what stands between words.
 ENDS, BLANKS = b".,;:!?\n\v\f\r", b" \t"
@@ -53,13 +59,15 @@ _END, _SEPARATOR = np.zeros(256, bool), np.zeros(256, bool)
 _END[list(ENDS)] = True
 _SEPARATOR[list(ENDS + BLANKS)] = True
 _STEP = np.uint64(0x9E3779B97F4A7C15)
+_WORDS = re.compile(rb"[^ \t.,;:!?\n\v\f\r]+")
+_SLICE, _RANGES = 1 << 18, 8
 
 
 class Shard:
     """Words of some rows: fingerprints, languages and whether the next word stands in the same piece."""
 
     def __init__(self, with_text: bool):
-        self.with_text, self.size, self.names, self.parts = with_text, 0, {}, []
+        self.with_text, self.size, self.names, self.parts, self.pieces = with_text, 0, {}, [], []
 
     def add(self, rows: pa.RecordBatch) -> None:
         texts = Texts(rows.column(1), lower=True)
@@ -67,31 +75,47 @@ class Shard:
         ends = np.concatenate([[0], np.cumsum(_END[texts.bytes], dtype=np.uint32)])
         follows = np.zeros(len(start), bool)
         follows[:-1] = (row[1:] == row[:-1]) & (ends[start[1:]] == ends[end[:-1]])
-        codes = np.array([self.names.setdefault(x, len(self.names)) for x in rows.column(0).to_pylist()], np.int32)
-        place = [(start + self.size).astype(np.uint32), (end - start).astype(np.uint32), texts.bytes.copy()] if self.with_text else []
+        codes = np.array([self.names.setdefault(x, len(self.names)) for x in rows.column(0).to_pylist()])
+        codes = codes.astype(np.uint16 if len(self.names) < 1 << 16 else np.uint32)
+        place = [(start + self.size).astype(np.uint32)] if self.with_text else []
         self.parts.append([texts.fingerprints(start, end), codes[row], follows, *place])
+        if self.with_text:
+            self.pieces.append(texts.bytes.tobytes())
         self.size += len(texts.bytes)
 
     def close(self) -> Shard:
-        self.words, self.lang, self.follows, *text = (np.concatenate(x) for x in zip(*self.parts, strict=True))
-        if text:
-            self.start, self.length, self.text = text[0], text[1], text[2].tobytes()
-        self.parts = []
+        columns, self.parts = list(zip(*self.parts, strict=True)), []
+        self.words, self.lang, self.follows, *place = (np.concatenate(columns.pop(0)) for _ in range(len(columns)))
+        if place:
+            self.start = np.append(place[0], np.uint32(self.size))
+            self.text, self.pieces = b"".join(self.pieces), []
         seeds = [int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest()) for x in self.names]
-        self.first = mixed(self.words ^ np.array(seeds, np.uint64)[self.lang]) if len(self.words) else self.words
+        self.seeds = np.array(seeds, np.uint64)
         return self
 
+    def keys(self, at: np.ndarray, n: int, old: np.ndarray, shorter: np.ndarray) -> np.ndarray:
+        """Keys of the runs of ``n`` words at ``at`` from those of the runs that are a word shorter, at ``old``."""
+        out = np.empty(len(at), np.uint64)
+        for k in range(0, len(at), _SLICE):  # by slices: no passing array is as long as the shard
+            part = slice(k, k + _SLICE)
+            word = self.words[at[part] + np.uint32(n - 1)]
+            if n == 1:
+                out[part] = mixed(word ^ self.seeds[self.lang[at[part]]])
+            else:
+                out[part] = mixed(shorter[np.searchsorted(old, at[part])] * _STEP + word)
+        return out
+
     def phrase(self, at: int, n: int) -> str:
-        return b" ".join(self.text[s : s + k] for s, k in zip(self.start[at : at + n].tolist(), self.length[at : at + n].tolist())).decode()
+        return b" ".join(_WORDS.findall(self.text, int(self.start[at]), int(self.start[at + n]))).decode()
 
 
 def shards(batches: Iterable[pa.RecordBatch], shard_bytes: int, with_text: bool) -> Iterator[Shard]:
     shard = Shard(with_text)
     for batch in batches:
-        for part in chunks(batch, batch.schema.names[1], min(2 << 20, shard_bytes)):
+        for part in chunks(batch, batch.schema.names[1], min(1 << 20, shard_bytes)):
             if shard.size and shard.size + part.column(1).nbytes > shard_bytes:
                 yield shard.close()
-                shard = Shard(with_text)
+                shard = Shard(with_text)  # the last one is let go before the next one grows
             shard.add(part)
     if shard.parts:
         yield shard.close()
@@ -99,8 +123,11 @@ def shards(batches: Iterable[pa.RecordBatch], shard_bytes: int, with_text: bool)
 
 def marked(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
     """Which keys' bits are set."""
-    bit = keys >> np.uint64(64 - 6 - int(np.log2(len(table))))
-    return (table[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
+    out = np.empty(len(keys), bool)
+    for k in range(0, len(keys), _SLICE):
+        bit = keys[k : k + _SLICE] >> np.uint64(64 - 6 - int(np.log2(len(table))))
+        out[k : k + _SLICE] = table[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)
+    return out
 
 
 def runs(shard: Shard, lengths: tuple[int, ...], pairs: np.ndarray | None, chosen) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -109,42 +136,56 @@ def runs(shard: Shard, lengths: tuple[int, ...], pairs: np.ndarray | None, chose
     Of a longer phrase both parts that are a word shorter must have been kept; ``pairs`` is the bit
     table that decides on those before the first length.
     """
-    keys, inside = shard.first, np.ones(len(shard.words), bool)
+    size = len(shard.words)
+    at, keys, inside = np.empty(0, np.uint32), np.empty(0, np.uint64), np.ones(size, bool)
     for n in range(1, max(lengths) + 1):
+        old = at
         if n > 1:  # a run goes on where the run at the next word was kept too
-            both = inside[:-1] & inside[1:] & (shard.follows[:-1] if n == 2 else True)
-            old, at = at, np.flatnonzero(both)
-            keys = mixed(keys[np.searchsorted(old, at)] * _STEP + shard.words[at + n - 1])
+            both = inside[:-1] & inside[1:]
+            at = np.flatnonzero(both & shard.follows[:-1] if n == 2 else both).astype(np.uint32)
         else:
-            at = np.arange(len(keys))
+            at = np.arange(size, dtype=np.uint32)
+        keys = shard.keys(at, n, old, keys)
         if n in lengths:
             keep = chosen(at, keys)
         else:
             keep = marked(pairs, keys) if n == 2 else np.ones(len(at), bool)
         at, keys = at[keep], keys[keep]
-        inside = np.zeros(len(shard.words), bool)
+        inside = np.zeros(size, bool)
         inside[at] = True
         if n in lengths:
             yield n, at, keys
 
 
+def _groups(keys: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Equal keys side by side: their places, where in these each key begins, and its count; one range of keys at a time."""
+    shift = np.uint64(64 - int(np.log2(_RANGES)))
+    part = np.empty(len(keys), np.uint8)
+    for k in range(0, len(keys), _SLICE):
+        part[k : k + _SLICE] = keys[k : k + _SLICE] >> shift
+    for r in range(_RANGES):
+        order = np.flatnonzero(part == r).astype(np.uint32)
+        own = keys[order]
+        turn = np.argsort(own, kind="stable")
+        order, own = order[turn], own[turn]
+        fresh = np.ones(len(own), bool)
+        fresh[1:] = own[1:] != own[:-1]
+        heads = np.flatnonzero(fresh)
+        yield order, heads, np.diff(np.append(heads, len(own)))
+
+
 def frequent(shard: Shard, least: int, lengths: tuple[int, ...], pairs: np.ndarray | None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """``n``, first places, keys and counts of all phrases with ``least`` occurrences in the shard."""
     found: list[np.ndarray] = []
 
     def chosen(at: np.ndarray, keys: np.ndarray) -> np.ndarray:
-        # Keys in buckets first: a bucket below the support holds no frequent key.
-        bucket = (keys >> np.uint64(42)).astype(np.int64)
-        keep = np.bincount(bucket, minlength=1 << 22)[bucket] >= least if least > 1 else np.ones(len(keys), bool)
-        some = np.flatnonzero(keep)
-        order = some[np.argsort(keys[some], kind="stable")]
-        line = keys[order]
-        heads = np.flatnonzero(np.concatenate([[True], line[1:] != line[:-1]])) if len(line) else np.empty(0, np.int64)
-        count = np.diff(np.append(heads, len(line)))
-        enough = count >= least
-        found[:] = [at[order[heads[enough]]], line[heads[enough]], count[enough]]
-        keep[:] = False
-        keep[order[np.repeat(enough, count)]] = True
+        keep, parts = np.zeros(len(keys), bool), []
+        for order, heads, count in _groups(keys):
+            enough = count >= least
+            first = order[heads[enough]]
+            parts.append((at[first], keys[first], count[enough]))
+            keep[order[np.repeat(enough, count)]] = True
+        found[:] = [np.concatenate(x) for x in zip(*parts, strict=True)]
         return keep
 
     for n, _, _ in runs(shard, lengths, pairs, chosen):
@@ -157,28 +198,65 @@ def _mine(total: int, min_count: int, most_local: int, shard_bytes: int, lengths
         least = max(1, min(most_local, -(-min_count * shard.size // total)))
         yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([least - 1], pa.int64())], ["key", "excess"])
         for _, _, keys, count in frequent(shard, least, lengths, pairs and pairs.value):
-            yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(count - (least - 1))], ["key", "excess"])
+            for k in range(0, len(keys), 1 << 16):
+                part = slice(k, k + (1 << 16))
+                yield pa.RecordBatch.from_arrays([pa.array(keys[part].view(np.int64)), pa.array(count[part] - (least - 1))], ["key", "excess"])
+        shard = keys = count = None
+
+
+class Held:
+    """Counts of the phrases that a task has met, each with its words."""
+
+    def __init__(self):
+        self.slots: dict[int, int] = {}
+        self.counts = np.zeros(0, np.int64)
+        self.langs, self.phrases, self.lengths = [], [], []
 
+    def add(self, shard: Shard, n: int, keys: np.ndarray, at: np.ndarray, count: np.ndarray) -> None:
+        """``keys`` are different from each other; the words of a new one are read at its place."""
+        slots, names, size = self.slots, list(shard.names), len(self.slots)
+        spot = np.array([slots.setdefault(k, len(slots)) for k in keys.tolist()], np.int64)
+        for i in at[spot >= size].tolist():
+            self.phrases.append(shard.phrase(i, n))
+            self.langs.append(names[shard.lang[i]])
+        self.lengths += [n] * (len(slots) - size)
+        if len(slots) > len(self.counts):
+            self.counts = np.append(self.counts, np.zeros(len(slots), np.int64))
+        self.counts[spot] += count
 
-def _count(shard_bytes: int, lengths: tuple[int, ...], wanted, pairs, batches) -> Iterator[pa.RecordBatch]:
-    """``lang, phrase, n, key, count`` of the marked phrases of each shard; null phrases have the words of a language."""
-    names = ["lang", "phrase", "n", "key", "count"]
+    def batch(self) -> pa.RecordBatch:
+        keys = np.fromiter(self.slots, np.uint64, len(self.slots))
+        columns = [
+            pa.array(self.langs, pa.string()), pa.array(self.phrases, pa.string()), pa.array(self.lengths, pa.int32()),
+            pa.array(keys.view(np.int64)), pa.array(self.counts[: len(keys)]),
+        ]
+        return pa.RecordBatch.from_arrays(columns, _COUNTED)
+
+
+_COUNTED = ["lang", "phrase", "n", "key", "count"]
+
+
+def _count(shard_bytes: int, most_held: int, lengths: tuple[int, ...], wanted, pairs, batches) -> Iterator[pa.RecordBatch]:
+    """``lang, phrase, n, key, count`` of the marked phrases of a task; null phrases have the words of a language.
+
+    Counts are summed up over the shards of the task, and passed on when ``most_held`` phrases are held.
+    """
+    held = Held()
     for shard in shards(batches, shard_bytes, True):
-        langs = pa.array(list(shard.names), pa.string())
         if 1 in lengths:
+            langs = pa.array(list(shard.names), pa.string())
             words = np.bincount(shard.lang, minlength=len(langs))
             none = [pa.nulls(len(langs), t) for t in (pa.string(), pa.int32(), pa.int64())]
-            yield pa.RecordBatch.from_arrays([langs, *none, pa.array(words)], names)
+            yield pa.RecordBatch.from_arrays([langs, *none, pa.array(words)], _COUNTED)
         for n, at, keys in runs(shard, lengths, pairs and pairs.value, lambda _, keys: marked(wanted.value, keys)):
-            once, first, count = np.unique(keys, return_index=True, return_counts=True)
-            place = at[first]
-            for k in range(0, len(once), 1 << 16):
-                part = slice(k, k + (1 << 16))
-                phrases = [shard.phrase(i, n) for i in place[part].tolist()]
-                yield pa.RecordBatch.from_arrays(
-                    [langs.take(pa.array(shard.lang[place[part]])), pa.array(phrases, pa.string()), pa.array(np.full(len(phrases), n, np.int32)),
-                     pa.array(once[part].view(np.int64)), pa.array(count[part])], names,
-                )
+            for order, heads, count in _groups(keys):
+                first = order[heads]
+                held.add(shard, n, keys[first], at[first], count)
+                if len(held.slots) >= most_held:
+                    yield held.batch()
+                    held = Held()
+        shard = at = keys = order = heads = count = first = None
+    yield held.batch()
 
 
 def bit_table(keys: DataFrame, bits: int = TABLE_BITS):
@@ -200,7 +278,9 @@ def counted(
     sums = kept(reports.groupBy("key").agg(F.sum("excess").alias("excess")), "reported")
     slack = sums.filter("key is null").agg(F.sum("excess")).first()[0] or 0
     wanted = bit_table(sums.filter(F.col("key").isNotNull() & (F.col("excess") + slack >= min_count)), table_bits)
-    found = rows.mapInArrow(partial(_count, shard_bytes, lengths, wanted, pairs), "lang string, phrase string, n int, key long, count long")
+    # Two tasks for each core: the more text a task reads, the fewer of its counts meet others of the same phrase.
+    few = rows.coalesce(max(2 * rows.sparkSession.sparkContext.defaultParallelism, -(-total // TASK_BYTES)))
+    found = few.mapInArrow(partial(_count, shard_bytes, MOST_HELD, lengths, wanted, pairs), "lang string, phrase string, n int, key long, count long")
     exact = found.groupBy("lang", "phrase").agg(F.max("n").alias("n"), F.max("key").alias("key"), F.sum("count").alias("f"))
     return kept(exact.filter(F.col("phrase").isNull() | (F.col("f") >= min_count)), "counted")
 
