@@ -330,6 +330,8 @@ def _shared(docs: DataFrame, prefixes, percent: int) -> DataFrame:
     )
     group = Window.partitionBy("token")
     rare = rare.repartition("token")  # before the window makes the rows wider
+    # Most shingles end alone: they go before the ends are looked for, in the order that stands already.
+    rare = rare.withColumns({"lo": F.min("name").over(group), "hi": F.max("name").over(group)}).filter("lo < hi").drop("lo", "hi")
     rare = _asking(rare.withColumns({k: c.over(group) for k, c in _ends().items()}), percent).dropDuplicates(["token", "name"])
     ends = frequent.groupBy("token").agg(*[c.alias(k) for k, c in _ends().items()]).filter("p0.name < p1.name")
     return rare.union(_asking(frequent.join(ends.hint("merge"), "token"), percent).dropDuplicates(["token", "name"]))
