@@ -44,8 +44,10 @@ def test_parquet_and_classes(spark, tmp_path):
     sinks.write_per_class(df, str(tmp_path / "k"), "class")
     assert {p.name for p in (tmp_path / "k").iterdir() if p.is_dir()} == {"class=a", "class=b"}
     assert sinks.to_driver(df.limit(5)).num_rows == 5
-    with pytest.raises(ValueError):
+    with pytest.raises(ValueError, match="rows"):
         sinks.to_driver(df, max_rows=100)
+    with pytest.raises(ValueError, match="bytes"):
+        sinks.to_driver(df, max_bytes=1000)
 
 
 def test_scans(spark, rows):

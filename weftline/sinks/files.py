@@ -37,8 +37,14 @@ def write_per_class(df: DataFrame, path: str, class_col: str) -> None:
     df.write.mode("overwrite").partitionBy(class_col).parquet(path)
 
 
-def to_driver(df: DataFrame, max_rows: int = 100_000) -> pa.Table:
-    """A small result as an Arrow table; a larger one is refused, not cut."""
-    if df.count() > max_rows:
+def to_driver(df: DataFrame, max_rows: int = 100_000, max_bytes: int = 256 << 20) -> pa.Table:
+    """A small result as an Arrow table; a larger one, by rows or bytes, is refused, not cut.
+
+    It is computed once: a row more than allowed is asked for and tells.
+    """
+    found = df.limit(max_rows + 1).toArrow()
+    if found.num_rows > max_rows:
         raise ValueError(f"result has more than {max_rows} rows: write it instead")
-    return df.toArrow()
+    if found.nbytes > max_bytes:
+        raise ValueError(f"result has {found.nbytes} bytes: write it instead")
+    return found
