@@ -268,3 +268,20 @@ def test_many_queries_stay_distributed(spark, data, monkeypatch):
             assert sorted(map(tuple, got.collect())) == sorted(map(tuple, search.knn(q, c, 8, metric).collect()))
     assert listed(search.knn(q, c, 290, dims=4)) == listed(search.knn(search.truncate(q, 4), search.truncate(c, 4), 290))
     assert listed(search.knn_rerank(q, c, 4, k=10, expand=30)) == brute(queries, corpus, 10)
+
+
+def test_near_dups_write_less_than_their_sets(spark, tmp_path):
+    """No list of a text's shingles is written: eight bytes for each word would be more than the texts."""
+    import random
+    from pathlib import Path
+
+    draw = random.Random(5)
+    texts = [" ".join(f"{draw.randrange(10**4)}" for _ in range(2000)) for _ in range(100)]
+    spark.createDataFrame(list(enumerate(texts)), "id long, text string").write.parquet(str(tmp_path / "in"))
+    shared = spark.sparkContext.getCheckpointDir() or ""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or shared
+    size = lambda: sum(p.stat().st_size for p in Path(folder.removeprefix("file:")).rglob("*") if p.is_file())
+    before = size()
+    found = neardup.near_dups(spark.read.parquet(str(tmp_path / "in"))).collect()
+    assert all(r["id"] == r["keep_id"] for r in found) and len(found) == 100
+    assert size() - before < 100 * 2000 * 8

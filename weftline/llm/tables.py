@@ -1,53 +1,5 @@
-"""Small helpers shared by the operators: kept intermediate tables, checked broadcasts, components."""
+"""Small helpers shared by the operators, see ``weftline.operators.tables``."""
 
-from __future__ import annotations
+from weftline.operators.tables import BROADCAST_BYTES, components, kept, sized
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from weftline.storage import scratch_path
-
-#: A side is broadcast only if its counted rows times its row width stay below this.
-BROADCAST_BYTES = 32 << 20
-
-
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """Write to the shared folder and read back: lineage is cut, columns can be pruned, lost executors cost a re-read."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def sized(df: DataFrame, row_bytes: int, rows: int | None = None) -> DataFrame:
-    """``df`` marked for broadcast if its counted size allows; else it is joined by a shuffle."""
-    n = df.count() if rows is None else rows
-    return F.broadcast(df) if n * row_bytes <= BROADCAST_BYTES else df
-
-
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
-    """``node, comp`` for every node of the edges: the smallest node that can be reached.
-
-    Rounds of smallest neighbouring label followed by the label of that label;
-    minima are taken before the shuffle, and Spark splits skewed joins.
-    """
-    both = kept(
-        edges.select(F.col(a).alias("x"), F.col(b).alias("y")).union(edges.select(F.col(b), F.col(a))).distinct(), "edges"
-    )
-    labels = kept(both.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("node"), F.least("x", "m").alias("comp")), "labels")
-    while True:
-        near = (
-            both.join(labels.withColumnRenamed("node", "y"), "y").groupBy(F.col("x").alias("node")).agg(F.min("comp").alias("near"))
-        )
-        lower = labels.join(near, "node").select("node", "comp", F.least("comp", "near").alias("near"))
-        far = labels.select(F.col("node").alias("near"), F.col("comp").alias("far"))
-        following = kept(
-            lower.join(far, "near", "left").select(
-                "node",
-                F.least("near", F.coalesce("far", "near")).alias("comp"),
-                (F.least("near", F.coalesce("far", "near")) < F.col("comp")).alias("moved"),
-            ),
-            "labels",
-        )
-        labels = following.select("node", "comp")
-        if following.filter("moved").isEmpty():
-            return labels
+__all__ = ["BROADCAST_BYTES", "components", "kept", "sized"]

@@ -2,63 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.operators.graph import connected_groups
+from weftline.operators.shingle_join import grouped
 from weftline.operators.skew import HOT_ROWS, spread_join
-from weftline.storage import scratch_path
-
-# The most frequent shingles stand last in the common order. The sketch that
-# finds them tracks a fixed number, so neither grows with the table. It steers
-# the work only: any order gives the same links.
-LAST_SHINGLES = 1024
-TRACKED = 100_000
-
-
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
-def _shingles(n_words: int) -> Column:
-    """The different runs of ``n_words`` words of the list ``w``, as hashes; a shorter list is one run."""
-    runs = F.arrays_zip(*[F.slice("w", k + 1, F.size("w")) for k in range(n_words)])
-    hashes = F.transform(runs, lambda run: F.xxhash64(run))
-    return F.array_distinct(F.slice(hashes, 1, F.greatest(F.size("w") - (n_words - 1), F.lit(1))))
-
-
-def _least(percent: int, total: Column) -> Column:
-    return F.ceil(total * percent / F.lit(100)).cast("int")
-
-
-def _heads(sets: DataFrame, percent: int) -> DataFrame:
-    """``token, key, size``: the beginning of each set; two linked sets share a token of theirs."""
-    found = sets.select(F.explode("members").alias("t")).agg(F.expr(f"approx_top_k(t, {LAST_SHINGLES}, {TRACKED})")).first()[0]
-    last = [r["item"] for r in sorted(found or [], key=lambda r: (r["count"], r["item"])) if r["count"] > 1]
-    late = F.lit(last).cast("array<bigint>") if last else F.array().cast("array<bigint>")
-    ordered = F.concat(F.array_sort(F.array_except("members", late)), F.array_intersect(late, F.col("members")))
-    head = F.slice(ordered, 1, F.col("size") - _least(percent, F.col("size")) + 1)
-    return sets.filter("size > 0").select(F.explode(head).alias("token"), "key", "size")
-
-
-def _sizes_fit(percent: int) -> Column:
-    return F.greatest("a_size", "b_size") * percent <= F.least("a_size", "b_size") * 100
-
-
-def _links(pairs: DataFrame, sets: DataFrame, percent: int, hot_rows: int) -> DataFrame:
-    """The pairs ``a, b`` of which ``100 * shared >= percent * union`` holds, as ``src, dst``."""
-    sides = [sets.select(F.col("key").alias(c), F.col("members").alias(f"{c}_members")) for c in "ab"]
-    # a set that heads a group is asked for by many, as the other side of a pair also by many
-    n = pairs.count()
-    one = spread_join(pairs, sides[0], "a", "b", "inner", hot_rows, n_rows=n)
-    both = spread_join(one, sides[1], "b", "a", "inner", hot_rows, n_rows=n)
-    shared = F.size(F.array_intersect("a_members", "b_members"))
-    counted = both.select("a", "b", shared.alias("n"), (F.size("a_members") + F.size("b_members")).alias("total"))
-    return counted.filter(F.col("n") * 100 >= (F.col("total") - F.col("n")) * percent).select(
-        F.col("a").alias("src"), F.col("b").alias("dst")
-    )
+from weftline.storage import written
 
 
 def near_dups(
@@ -75,49 +24,18 @@ def near_dups(
     lower case, share ``percent`` of their union; linked texts form a group that
     keeps its smallest id. Nothing is left to chance, and the answer for two texts
     does not depend on the rest of the table. Equal sets are merged first. The
-    others meet at the shingles with which their sets begin in one common order:
-    first each with the smallest of its group, then only members that are still
-    in different groups with each other. A text without words links with nothing;
+    others meet at the shingles with which their sets begin in one common order
+    (``shingle_join``). Sets are never written: ``df`` is read several times, and
+    they are taken from its texts again. A text without words links with nothing;
     a row without an id gets its group's.
     """
-    words = F.filter(F.split(F.lower(F.coalesce(F.col(text_col), F.lit(""))), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    members = df.select(F.col(id_col).alias("id"), words.alias("w")).select("id", _shingles(n_words).alias("members"))
-    key = F.concat_ws("-", F.hex(F.xxhash64(F.array_sort("members"))), F.hex(F.xxhash64(F.lit(7), F.array_sort("members"))))
-    every = _written(members.select("id", "members", F.size("members").alias("size"), key.alias("key")), "shingles")
-    rows = every.select("id", F.when(F.col("size") > 0, F.col("key")).alias("key"))
-    firsts = rows.filter("key IS NOT NULL").groupBy("key").agg(F.min("id").alias("id"))
-    one = firsts.select(F.col("key").alias("k"), F.col("id").alias("i"))
-    picked = every.join(one, (F.col("key") == F.col("k")) & F.col("id").eqNullSafe(F.col("i")), "left_semi")
-    sets = _written(picked.select("key", "size", "members").dropDuplicates(["key"]), "sets")
-
-    live = _written(_heads(sets, percent), "heads")
-    ends = live.groupBy("token").agg(F.min("key").alias("a"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    sizes = sets.select(F.col("key").alias("a"), F.col("size").alias("a_size"))
-    n = live.count()
-    stars = spread_join(live, ends, "token", "key", "inner", hot_rows, n_rows=n).filter("a <> key")
-    stars = stars.select("a", F.col("key").alias("b"), F.col("size").alias("b_size")).distinct()
-    stars = _written(spread_join(stars, sizes, "a", "b", "inner", hot_rows, n_rows=n).filter(_sizes_fit(percent)).select("a", "b"), "stars")
-    links = _written(_links(stars, sets, percent, hot_rows), "links")
-    groups = connected_groups(links, hot_rows)
-
-    # What is left to ask: members of one head's group that are in different groups so far.
-    labels = groups.select(F.col("node").alias("key"), "label")
-    placed = spread_join(live, labels, "key", "token", "left", hot_rows, n_rows=n).withColumn("label", F.coalesce("label", "key"))
-    placed = _written(placed, "placed")
-    several = placed.groupBy("token").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("token")
-    apart = _written(spread_join(placed, several, "token", "key", "left_semi", hot_rows, n_rows=n), "apart")
-    kinds = apart.select("token", "label").distinct()
-    two = kinds.withColumnRenamed("label", "a_label").join(kinds.withColumnRenamed("label", "b_label"), "token").filter("a_label < b_label")
-    a, b = (apart.select("token", *[F.col(c).alias(f"{s}_{c}") for c in ("label", "key", "size")]) for s in "ab")
-    asked = two.join(a, ["token", "a_label"]).join(b, ["token", "b_label"]).filter(_sizes_fit(percent))
-    low, high = F.least("a_key", "b_key").alias("a"), F.greatest("a_key", "b_key").alias("b")
-    rest = _written(asked.select(low, high).distinct().join(stars, ["a", "b"], "left_anti"), "rest")
-    if not rest.isEmpty():
-        more = _written(_links(rest, sets, percent, hot_rows), "links")
-        groups = connected_groups(links.unionByName(more), hot_rows)
-
-    named = firsts.join(groups.select(F.col("node").alias("key"), "label"), "key", "left")
-    named = _written(named.select("key", "id", F.coalesce("label", "key").alias("label")), "named")
-    smallest = named.groupBy("label").agg(F.min("id").alias("keep_id"))
-    kept = spread_join(named.select("key", "label"), smallest, "label", "key", "inner", hot_rows, n_rows=named.count()).select("key", "keep_id")
-    return spread_join(rows, kept, "key", "id", "left", hot_rows, n_rows=every.count()).select("id", F.coalesce("keep_id", "id").alias("keep_id"))
+    docs = df.select(F.col(id_col).alias("id"), F.lower(F.col(text_col)).alias("text"))
+    rows, groups = grouped(docs, "text", "id", n_words, percent)
+    rows = rows.select("id", "name")
+    firsts = rows.filter("name IS NOT NULL").groupBy("name").agg(F.min("id").alias("id"))
+    named = firsts.join(groups.select(F.col("node").alias("name"), "comp"), "name", "left")
+    named = written(named.select("name", "id", F.coalesce("comp", "name").alias("comp")), "named")
+    smallest = named.groupBy("comp").agg(F.min("id").alias("keep_id"))
+    kept = spread_join(named.select("name", "comp"), smallest, "comp", "name", "inner", hot_rows, n_rows=named.count())
+    kept = kept.select("name", "keep_id")
+    return spread_join(rows, kept, "name", "id", "left", hot_rows, n_rows=rows.count()).select("id", F.coalesce("keep_id", "id").alias("keep_id"))
