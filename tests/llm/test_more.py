@@ -188,3 +188,21 @@ def test_pipeline_on_awkward_tables(spark, tmp_path, rows):
 
     plain(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).count() >= 0
+
+
+def test_tokenizer_workers_hold_a_bounded_memory(spark):
+    """Parts and pairs that a worker remembers stay beside the workers of other stages."""
+    import random
+    import tracemalloc
+
+    from weftline.llm.catalog import piece_model
+    from weftline.llm.pieces import PieceTable, _read
+
+    draw = random.Random(2)
+    table = PieceTable(_read(piece_model()))
+    tracemalloc.start()
+    for _ in range(160):
+        table.encode(" ".join("".join(draw.choices("abcdefghij", k=7)) for _ in range(1000)))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert len(table.known) <= 100_000 and len(table.fits) <= 200_000 and held < 60_000_000

@@ -32,11 +32,12 @@ from pyspark.sql import functions as F
 
 MARK = "▁"
 
-#: Parts up to this many characters are remembered by a worker, and how many of them; speed only.
-PART_CHARS, MEMORY = 40, 400_000
+#: Parts up to this many characters are remembered by a worker, and how many of them; speed only. A worker outlives its
+#: tasks and stands beside the workers of other stages, so this and the next number bound what it holds all the time.
+PART_CHARS, MEMORY = 40, 100_000
 
 #: Pairs whose compatibility a worker remembers; speed only.
-PAIRS = 1_000_000
+PAIRS = 200_000
 
 NEVER = float("-inf")
 
@@ -215,7 +216,7 @@ def _table(model: bytes) -> PieceTable:
 def _encoded(model: bytes, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     table = _table(model)
     for batch in batches:
-        ids = [table.encode(text or "") for text in batch.column(1).to_pylist()]
+        ids = [table.encode(text.as_py() or "") for text in batch.column(1)]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["id", "ids"])
 
 
@@ -223,8 +224,8 @@ def _digests(model: bytes, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Rec
     table = _table(model)
     for batch in batches:
         sizes, hashes, decoded = [], [], []
-        for text in batch.column(1).to_pylist():
-            packed = table.encode(text or "")
+        for text in batch.column(1):  # one at a time: a batch may be large
+            packed = table.encode(text.as_py() or "")
             sizes.append(len(packed) // 4)
             hashes.append(hashlib.sha256(packed).hexdigest())
             decoded.append(hashlib.sha256(table.decode(memoryview(packed).cast("I").tolist()).encode()).hexdigest())
