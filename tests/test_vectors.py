@@ -285,3 +285,44 @@ def test_near_dups_write_less_than_their_sets(spark, tmp_path):
     found = neardup.near_dups(spark.read.parquet(str(tmp_path / "in"))).collect()
     assert all(r["id"] == r["keep_id"] for r in found) and len(found) == 100
     assert size() - before < 100 * 2000 * 8
+
+
+def test_pairs_of_blocks_hold_few_scores(spark):
+    """A full block of the corpus and a full block of queries meet without a score for every pair at once, ties or not."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    for equal in (False, True):
+        rows, queries = (np.ones((n, 8)) if equal else rng.normal(size=(n, 8)) for n in (8192, 2048))
+        left = pa.table({"id": pa.array(range(8192), pa.int64()), "v": pa.array(list(rows), pa.list_(pa.float64()))})
+        right = pa.table({"qid": pa.array(range(2048), pa.int64()), "v": pa.array(list(queries), pa.list_(pa.float64()))})
+        tracemalloc.start()
+        found = search._pair_of_blocks(3, "dot", None, 8, [pa.int64(), pa.int64()], left, right).to_pandas()
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        best = np.argsort(-np.round(rows @ queries[:50].T, 12), axis=0, kind="stable")[:3].T
+        assert found.groupby("qid")["id"].apply(list).tolist()[:50] == best.tolist()
+        assert len(found) == 3 * 2048 and peak < 8192 * 2048 * 8
+
+
+def test_layout_is_searched_in_small_runs(spark):
+    """Rows and queries are measured against the cells a few at a time, with the results of one run."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    rng = np.random.default_rng(4)
+    vectors, centres = rng.normal(size=(10_000, 4)), rng.normal(size=(1024, 4))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(10_000)), pa.array(list(vectors), pa.list_(pa.float64()))], ["id", "v"])
+    tracemalloc.start()
+    cell = [c for b in cells._nearest_cell(centres, iter([batch])) for c in b.column(2).to_pylist()]
+    n = sum(b.num_rows for b in cells._visits((centres, np.full(1024, 0.1), np.full(1024, 5)), "dot", 5, False, iter([batch])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 10_000 and peak < 10_000 * 1024 * 8
+    for k in (0, 511, 9_999):
+        assert cell[k] == ((centres - vectors[k]) ** 2).sum(axis=1).argmin()

@@ -26,7 +26,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weftline.operators.search import BLOCK_QUERIES, BLOCK_ROWS, _asked, _ranked, _vectors, meet, usable
+from weftline.operators.search import BLOCK_QUERIES, BLOCK_ROWS, _asked, _ranked, _vectors, meet, slices, usable
 from weftline.storage import scratch_path
 
 #: Cells, rows that k-means is fitted on, and its rounds.
@@ -51,7 +51,7 @@ class Layout:
 
 def _nearest_cell(centres: np.ndarray, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     far = (centres**2).sum(axis=1)
-    for batch in batches:
+    for batch in (whole.slice(part.start, part.stop - part.start) for whole in batches for part in slices(whole.num_rows, len(centres))):
         vectors, _ = _vectors(batch.column(1), centres.shape[1])
         cell = (far - 2 * (vectors @ centres.T)).argmin(axis=1) if len(vectors) else np.empty(0, np.int64)
         away = np.sqrt(((vectors - centres[cell]) ** 2).sum(axis=1))
@@ -126,7 +126,7 @@ def _first(order: np.ndarray, size: np.ndarray, k: int) -> np.ndarray:
 def _visits(layout: Layout, metric: str, k: int, again: bool, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``qid, v, cell`` for the first cells of each query or, ``again``, for the others that its ``least`` score does not rule out."""
     plain = Layout(None, *layout)
-    for batch in batches:
+    for batch in (whole.slice(part.start, part.stop - part.start) for whole in batches for part in slices(whole.num_rows, len(plain.size))):
         queries, rows = _vectors(batch.column(1), plain.width)
         if not len(rows):
             continue

@@ -27,6 +27,8 @@ from weftline.storage import cut
 BLOCK_QUERIES, BLOCK_BYTES = 2048, 32 << 20
 #: Rows of the corpus in a block when queries stay distributed.
 BLOCK_ROWS = 8192
+#: Scores that are held at once; a block of the corpus meets that many of its queries at a time, one at least.
+SCORES_AT_ONCE = 1 << 19
 # Result lists below this many bytes are sent to the tasks that hold the corpus.
 BROADCAST_BYTES = 32 << 20
 # Scores are rounded here, so equal vectors tie however a product was blocked.
@@ -78,6 +80,12 @@ def _vectors(column: pa.Array | pa.ChunkedArray, width: int) -> tuple[np.ndarray
     return matrix[finite], rows[finite]
 
 
+def slices(n: int, each: int) -> Iterator[slice]:
+    """``n`` items in runs for which ``SCORES_AT_ONCE`` suffices, if every item asks for ``each``."""
+    step = max(1, SCORES_AT_ONCE // max(1, each))
+    return (slice(at, at + step) for at in range(0, n, step))
+
+
 def best_rows(vectors: np.ndarray, queries: np.ndarray, k: int, metric: str, floor: np.ndarray | float = -np.inf) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rows, queries and scores of at least the ``k`` best rows of each query, none below ``floor``; larger is better.
 
@@ -86,6 +94,15 @@ def best_rows(vectors: np.ndarray, queries: np.ndarray, k: int, metric: str, flo
     """
     if not len(vectors) or not len(queries):
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    floor = np.broadcast_to(floor, len(queries))
+    found = []
+    for part in slices(len(queries), len(vectors)):
+        rows, cols, scores = _best_of_few(vectors, queries[part], k, metric, floor[part])
+        found.append((rows, cols + part.start, scores))
+    return tuple(np.concatenate(c) for c in zip(*found, strict=True))
+
+
+def _best_of_few(vectors: np.ndarray, queries: np.ndarray, k: int, metric: str, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if metric == "dot":
         scores = np.round(vectors @ queries.T, SCORE_DIGITS)
         low = scores
@@ -166,9 +183,12 @@ def _pair_of_blocks(k: int, metric: str, dims: int | None, width: int, kinds: li
         rows = rows[keep]
         queries, keep = _at_unit_length(queries[:, :dims])
         cols = cols[keep]
-    at, q, score = best_rows(vectors, queries, k, metric)
     ids = left["id"].to_pandas().to_numpy()
-    best = _k_best(pd.DataFrame({"q": q, "score": score, "id": ids[rows[at]]}), k)
+    kept = [pd.DataFrame({"q": np.empty(0, np.int64), "score": np.empty(0), "id": ids[:0]})]
+    for part in slices(len(queries), len(vectors)):  # equal vectors tie, so a query may find the whole block
+        at, q, score = best_rows(vectors, queries[part], k, metric)
+        kept.append(_k_best(pd.DataFrame({"q": q + part.start, "score": score, "id": ids[rows[at]]}), k))
+    best = pd.concat(kept[1:] or kept)
     sign = 1.0 if metric == "dot" else -1.0
     return pa.table(
         {
