@@ -337,3 +337,22 @@ def test_document_chunks(spark):
     df = spark.createDataFrame([("T", "f1", "# H\nbody\n"), ("U", "f2", "x")], "title string, filename string, text string")
     got = sorted(tuple(r) for r in recipes.document_chunks(df).collect())
     assert got == [(0, "# H\nbody\n", "T", "f1", "H", 1), (1, "x", "U", "f2", None, 1)]
+
+
+def test_messages_are_parsed_a_few_at_a_time():
+    import pyarrow as pa
+
+    raw = [b"Subject: x\n\n" + b"a" * n for n in (10, mail.PARSED_AT_ONCE + 5, 0, mail.PARSED_AT_ONCE // 2, mail.PARSED_AT_ONCE, 3)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(6)), pa.array(raw, pa.binary())], ["k", "content"])
+    parts = [b.column(0).to_pylist() for b in mail._few(batch, "content")]
+    assert parts == [[0], [1], [2, 3], [4], [5]] and [k for p in parts for k in p] == list(range(6))
+    assert [b.num_rows for b in mail._few(batch.slice(0, 0), "content")] == [0]
+
+
+def test_headers_alone_equal_those_of_whole_messages(spark, rows):
+    raw = [b"", b"A: 1\na: 2\nA: 3\n\nbody\nB: 4", b"no header", b"C: x\n y\nnot one\n\nz", b"D: \xe9\r\n\r\n--b", b"\n\nE: 1",
+           b'Content-Type: multipart/mixed; boundary="b"\nF: 1\n\n--b\nG: 2\n\nx\n--b--\n', b"From x\nH: 1\n\n"]
+    df = spark.createDataFrame([(k, bytearray(r)) for k, r in enumerate(raw)] + [(99, None)], "k int, content binary")
+    plain = [F.col("k"), F.array_sort(F.map_entries("headers")).alias("h")]
+    alone, whole = (rows(f(df, "content").select(*plain)) for f in (mail.parse_headers, mail.parse_archived))
+    assert alone == whole and len(alone) == len(raw)

@@ -129,7 +129,7 @@ def mail_archive(spark: SparkSession, d: str) -> DataFrame:
     """
 )
 def header_census(spark: SparkSession, d: str) -> DataFrame:
-    return census.common_keys(mail.parse_archived(_archive_mail(spark, d), "content"), "headers", 21)
+    return census.common_keys(mail.parse_headers(_archive_mail(spark, d), "content"), "headers", 21)
 
 
 def _mailbox_mail(spark: SparkSession, d: str) -> DataFrame:

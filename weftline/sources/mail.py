@@ -11,9 +11,11 @@ from collections.abc import Callable, Iterator
 from email import message_from_bytes, message_from_string
 from email.header import decode_header
 from email.message import Message
+from email.parser import HeaderParser
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,7 @@ _PART = pa.struct(
 )
 _AS_PARTS = {"headers": _HEADERS, "multipart": pa.bool_(), "parts": pa.list_(_PART)}
 _AS_PAYLOAD = {"headers": _HEADERS, "payload": _STRING}
+_AS_HEADERS = {"headers": _HEADERS}
 _DDL = {
     "headers": "MAP<STRING, STRING>",
     "multipart": "BOOLEAN",
@@ -39,6 +42,10 @@ _DDL = {
     "payload": "STRING",
 }
 
+# Bytes of messages that are parsed together, one message at least: an Arrow batch of
+# whole messages may be large, and its parsed form is several times as large.
+PARSED_AT_ONCE = 2 << 20
+
 # The labels that become columns, the headers the archive keeps.
 MAILBOX_LABELS = (
     "Inbox",
@@ -119,21 +126,37 @@ def _as_parts(raw: bytes) -> dict:
     }
 
 
+def _as_headers(raw: bytes) -> dict:
+    return {"headers": _headers(HeaderParser().parsestr(raw.decode("latin-1")))}
+
+
 def _as_payload(raw: bytes) -> dict:
     message = message_from_string(raw.decode("latin-1"))
     whole = message.get_payload()
     return {"headers": _headers(message), "payload": _text(whole) if isinstance(whole, str) else None}
 
 
+def _few(batch: pa.RecordBatch, content: str) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``PARSED_AT_ONCE`` bytes of messages."""
+    at, held = 0, 0
+    for k, size in enumerate(pc.binary_length(batch.column(content)).to_pylist()):
+        if k > at and held + size > PARSED_AT_ONCE:
+            yield batch.slice(at, k - at)
+            at, held = k, 0
+        held += size
+    yield batch.slice(at)
+
+
 def _parsed(df: DataFrame, content: str, types: dict, parse: Callable[[bytes], dict]) -> DataFrame:
     """The other columns of ``df`` and the parsed message of each row, by Arrow batches."""
     keep = [c for c in df.columns if c != content]
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in source:
-            messages = [parse(raw.as_py()) for raw in batch.column(content)]
-            made = [pa.array([m[name] for m in messages], kind) for name, kind in types.items()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *made], names=[*keep, *types])
+            for part in _few(batch, content):
+                messages = [parse(raw.as_py()) for raw in part.column(content)]
+                made = [pa.array([m[name] for m in messages], kind) for name, kind in types.items()]
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *made], names=[*keep, *types])
 
     ddl = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep]
     rows = df.filter(F.col(content).isNotNull()).select(*keep, content)
@@ -150,6 +173,11 @@ def parse_archived(df: DataFrame, content: str) -> DataFrame:
     return _parsed(df, content, _AS_PAYLOAD, _as_payload)
 
 
+def parse_headers(df: DataFrame, content: str) -> DataFrame:
+    """Headers alone of archived messages; what follows them is neither parsed nor passed on."""
+    return _parsed(df, content, _AS_HEADERS, _as_headers)
+
+
 def header(name: str, headers: str = "headers") -> Column:
     """A header by name, in any case."""
     found = F.filter(F.map_entries(headers), lambda e: F.lower(e["key"]) == name.lower())
