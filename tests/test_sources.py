@@ -356,3 +356,13 @@ def test_headers_alone_equal_those_of_whole_messages(spark, rows):
     plain = [F.col("k"), F.array_sort(F.map_entries("headers")).alias("h")]
     alone, whole = (rows(f(df, "content").select(*plain)) for f in (mail.parse_headers, mail.parse_archived))
     assert alone == whole and len(alone) == len(raw)
+
+
+def test_many_mail_files_are_few_tasks(spark, tmp_path):
+    for k in range(1500):
+        folder = tmp_path / "mail" / f"u{k % 3}" / "in"
+        folder.mkdir(parents=True, exist_ok=True)
+        (folder / f"{k}").write_bytes(b"From: a@b.example\n\nx%d" % k)
+    found = mail.read_mail_files(spark, str(tmp_path))
+    assert found.rdd.getNumPartitions() <= mail.TASKS_A_CORE * spark.sparkContext.defaultParallelism
+    assert sorted(r["_text"] for r in found.select("_text").collect()) == sorted(f"x{k}" for k in range(1500))

@@ -46,6 +46,9 @@ _DDL = {
 # whole messages may be large, and its parsed form is several times as large.
 PARSED_AT_ONCE = 2 << 20
 
+# Tasks for each core that read the files of an archive, at most.
+TASKS_A_CORE = 4
+
 # The labels that become columns, the headers the archive keeps.
 MAILBOX_LABELS = (
     "Inbox",
@@ -258,6 +261,8 @@ def read_mail_files(spark: SparkSession, path: str) -> DataFrame:
     root = spark._jvm.org.apache.hadoop.fs.Path(path)
     base = root.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(root).toUri().getPath()
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    # Spark counts a small file as 4 MB, which makes a task of every 32 files; rows pass one by one, so a task may read any number.
+    files = files.coalesce(TASKS_A_CORE * spark.sparkContext.defaultParallelism)
     local = F.regexp_replace("path", r"^[A-Za-z][A-Za-z0-9+.\-]*:(?://[^/]*)?", "")
     steps = F.split(F.substring(local, len(base.rstrip("/")) + 2, 2**31 - 1), "/")
     named = files.select(
