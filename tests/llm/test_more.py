@@ -7,13 +7,15 @@ import re
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from weftline.llm import mixing, pii, quality_model, secrets
+from weftline.llm import mixing, pii, quality_model, quality_rules, secrets
 from weftline.llm.mixing import mixed_documents
 from weftline.llm.ngram_join import representatives
 from weftline.llm.substring_dedup import removable_spans, substring_dedup
+from weftline.operators import tables
 
 PLAIN = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -206,3 +208,30 @@ def test_tokenizer_workers_hold_a_bounded_memory(spark):
     held = tracemalloc.get_traced_memory()[0]
     tracemalloc.stop()
     assert len(table.known) <= 100_000 and len(table.fits) <= 200_000 and held < 60_000_000
+
+
+def test_workers_get_few_bytes_at_once(spark):
+    docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 400).alias("text")).coalesce(1)
+
+    def largest(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"bytes": [batch.nbytes]})
+
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    for job in (quality_rules.kept_documents, secrets.redact):
+        try:
+            job(docs)
+            found = docs.mapInArrow(largest, "bytes long").agg(F.max("bytes"), F.count(F.lit(1))).first()
+        finally:
+            spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        assert found[0] < 2 * tables.BATCH_BYTES and found[1] >= 8
+
+
+def test_a_limit_of_the_session_stays(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.set(key, "123456")
+    try:
+        tables.in_batches(spark.range(1))
+        assert spark.conf.get(key) == "123456"
+    finally:
+        spark.conf.unset(key)

@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.llm.tables import in_batches
+
 MARK = "▁"
 
 #: Parts up to this many characters are remembered by a worker, and how many of them; speed only. A worker outlives its
@@ -251,7 +253,7 @@ def _read(path: str) -> bytes:
 def _over(docs: DataFrame, work, model_path: str, value: str, id_col: str, out: str) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
     return (
-        docs.select(F.col(id_col).alias("id"), F.col(value).alias("value"))
+        in_batches(docs).select(F.col(id_col).alias("id"), F.col(value).alias("value"))
         .mapInArrow(partial(work, _read(model_path)), f"id {kind}, {out}")
         .withColumnRenamed("id", id_col)
     )

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.llm.tables import in_batches
 from weftline.llm.words import Texts, chunks, combined
 
 #: Fixed values of the base measures.
@@ -199,7 +200,7 @@ def _trial(names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
 def planned_order(docs: DataFrame, text: str, id_col: str, names: list[str], one_in: int) -> list[int]:
     """The cascade's order, from a hash sample; a summary of at most 2^rules rows reaches the driver."""
     rows = (
-        docs.filter(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(one_in)) == 0)
+        in_batches(docs).filter(F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(one_in)) == 0)
         .select(F.col(text).alias("text"))
         .mapInArrow(partial(_trial, names), "bits long, n long, seconds array<double>")
         .groupBy("bits")
@@ -255,7 +256,7 @@ def quality_rules(
     order = [names[k] for k in planned_order(docs, text, id_col, names, sample_one_in)]
     kind = docs.schema[id_col].dataType.simpleString()
     return (
-        docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+        in_batches(docs).select(F.col(id_col).alias("id"), F.col(text).alias("text"))
         .mapInArrow(
             partial(_judge, order),
             f"id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -268,7 +269,7 @@ def quality_rules(
 def kept_documents(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that the rules keep, all columns unchanged; the verdict is computed beside each row."""
     order = planned_order(docs, text, id_col, list(RULES), SAMPLE_ONE_IN)
-    return docs.mapInArrow(partial(_filter, [list(RULES)[k] for k in order], docs.columns.index(text)), docs.schema)
+    return in_batches(docs).mapInArrow(partial(_filter, [list(RULES)[k] for k in order], docs.columns.index(text)), docs.schema)
 
 
 def _filter(order: list[str], place: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -33,6 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weftline.llm.tables import in_batches
+
 KINDS = ("assign", "access", "hex", "guess")
 
 #: The base patterns.
@@ -264,7 +266,7 @@ def secret_scan(docs: DataFrame, text: str = "text", id_col: str = "doc_id", min
     """Counts, digest of the base spans and all spans of every row."""
     kind = docs.schema[id_col].dataType.simpleString()
     return (
-        docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
+        in_batches(docs).select(F.col(id_col).alias("id"), F.col(text).alias("text"))
         .mapInArrow(
             partial(_scan, min_cost),
             f"id {kind}, n_assign long, n_access long, n_hex long, base_sha256 string, spans string",
@@ -291,4 +293,4 @@ def _redact(place: int, min_cost: float, batches: Iterator[pa.RecordBatch]) -> I
 
 def redact(docs: DataFrame, text: str = "text", min_cost: float = MIN_COST) -> DataFrame:
     """``docs`` with the secrets in ``text`` replaced; null texts stay null."""
-    return docs.mapInArrow(partial(_redact, docs.columns.index(text), min_cost), docs.schema)
+    return in_batches(docs).mapInArrow(partial(_redact, docs.columns.index(text), min_cost), docs.schema)

@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.words import Texts, chunks, combined, mixed
-from weftline.operators.tables import components, kept, sized
+from weftline.operators.tables import components, in_batches, kept, sized
 
 #: Most frequent shingles that are put last; bounds what travels with the tasks (16 bytes each).
 LAST_SHINGLES = 1 << 17
@@ -260,7 +260,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, described: DataFrame, trees) ->
     w = sized(held, 40, bulk).alias("w")
     texts = docs.alias("d").join(w, (F.col("d.key") == F.col("w.key")) & F.col("d.id").eqNullSafe(F.col("w.id")))
     shipped = texts.select("d.text", F.explode("w.asks").alias("ask")).select("ask.a", "ask.block", "ask.b", "ask.role", "text")
-    return kept(shipped.groupBy("a", "block").applyInArrow(trees, "a long, b long, links boolean").distinct(), "verified")
+    return kept(in_batches(shipped).groupBy("a", "block").applyInArrow(trees, "a long, b long, links boolean").distinct(), "verified")
 
 
 def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
@@ -328,7 +328,7 @@ def _shared(docs: DataFrame, prefixes, percent: int) -> DataFrame:
     joined back, where Spark splits hot keys.
     """
     rare, frequent = (
-        docs.select("text").mapInArrow(partial(prefixes, often), "token long, name long, size int, place int") for often in (False, True)
+        in_batches(docs.select("text")).mapInArrow(partial(prefixes, often), "token long, name long, size int, place int") for often in (False, True)
     )
     group = Window.partitionBy("token")
     rare = rare.repartition("token")  # before the window makes the rows wider
@@ -362,7 +362,7 @@ def grouped(
     kind = docs.schema[id_col].dataType.simpleString()
     docs = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("key"))
     described = kept(
-        docs.mapInArrow(partial(_described, n), f"kind int, id {kind}, name long, size long, key long, bits array<long>"), "described"
+        in_batches(docs).mapInArrow(partial(_described, n), f"kind int, id {kind}, name long, size long, key long, bits array<long>"), "described"
     )
     rows = described.filter("kind = 0").drop("kind")
     counted = described.filter("kind = 1").groupBy(F.col("name").alias("token")).agg(F.sum("size").alias("n"))

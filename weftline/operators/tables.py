@@ -1,4 +1,4 @@
-"""Small helpers shared by the operators: kept intermediate tables, checked broadcasts, components."""
+"""Small helpers shared by the operators: kept intermediate tables, bounded batches, checked broadcasts, components."""
 
 from __future__ import annotations
 
@@ -10,6 +10,11 @@ from weftline.storage import scratch_path
 #: A side is broadcast only if its counted rows times its row width stay below this.
 BROADCAST_BYTES = 32 << 20
 
+#: Bytes of rows that a Python worker gets at once. A batch stands in the executor's buffers several times over.
+BATCH_BYTES = 4 << 20
+
+_BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 
 def kept(df: DataFrame, name: str) -> DataFrame:
     """Write to the shared folder and read back: lineage is cut, columns can be pruned, lost executors cost a re-read."""
@@ -18,6 +23,18 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def in_batches(df: DataFrame) -> DataFrame:
+    """``df`` for Python workers: its session sends them rows some ``BATCH_BYTES`` at a time from now on.
+
+    Spark alone counts rows, 10,000 at a time, whatever their length. A session
+    that has a limit of its own keeps it.
+    """
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_LIMIT, None) is None:
+        conf.set(_BATCH_LIMIT, str(BATCH_BYTES))
+    return df
+
+
 def sized(df: DataFrame, row_bytes: int, rows: int | None = None) -> DataFrame:
     """``df`` marked for broadcast if its counted size allows; else it is joined by a shuffle."""
     n = df.count() if rows is None else rows
