@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from weftline.llm import mixing, pii, quality_model, quality_rules, secrets
 from weftline.llm.mixing import mixed_documents
 from weftline.llm.ngram_join import representatives
-from weftline.llm.substring_dedup import removable_spans, substring_dedup
+from weftline.llm.substring_dedup import PIECES_AT_ONCE, _pieces, removable_spans, substring_dedup
 from weftline.operators import tables
 
 PLAIN = "doc_id long, text string, lang string, source string, n_chars long"
@@ -218,7 +218,7 @@ def test_workers_get_few_bytes_at_once(spark):
             yield pa.RecordBatch.from_pydict({"bytes": [batch.nbytes]})
 
     spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
-    for job in (quality_rules.kept_documents, secrets.redact):
+    for job in (quality_rules.kept_documents, secrets.redact, substring_dedup):
         try:
             job(docs)
             found = docs.mapInArrow(largest, "bytes long").agg(F.max("bytes"), F.count(F.lit(1))).first()
@@ -235,3 +235,18 @@ def test_a_limit_of_the_session_stays(spark):
         assert spark.conf.get(key) == "123456"
     finally:
         spark.conf.unset(key)
+
+
+def test_windows_of_wide_segments_leave_in_parts():
+    words = [f"w{k}" for k in range(100_000)]
+    segments = [
+        {"start": k, "words": 177, "dealt": k, "print": k + 1, "least": 1, "most": 2, "wide": k % 256 == 0}
+        for k in range(0, len(words) - 177, 128)
+    ]
+    batch = pa.RecordBatch.from_pydict({"text": [" ".join(words)], "segments": [segments]})
+    found = list(_pieces(50, iter([batch])))
+    assert max(b.nbytes for b in found) < 2 * PIECES_AT_ONCE
+    wide = [s for s in segments if s["wide"]]
+    rows = pa.Table.from_batches(found).to_pylist()
+    assert len(rows) == len(segments) - len(wide) + 128 * len(wide)
+    assert {(r["dealt"], r["at"]) for r in rows} == {(s["dealt"], at) for s in segments for at in range(128 if s["wide"] else 1)}

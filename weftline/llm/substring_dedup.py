@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.tables import kept
+from weftline.llm.tables import in_batches, kept
 from weftline.llm.words import Texts, chunks, combined, mixed
 
 KEY_WORDS = 8
@@ -42,6 +42,9 @@ KEY_WORDS = 8
 #: Windows of one segment, words of one shard, and different segments of a key before it is dealt further.
 SEGMENT_WINDOWS, SHARD_WORDS, WIDE_KEY = 128, 300_000, 2_000
 
+#: Bytes of pieces that a worker holds and sends at once; the windows of a wide segment are many times its words.
+PIECES_AT_ONCE = 2 << 20
+
 _ODD = 0x9E3779B97F4A7C15
 _ODD_BACK = pow(_ODD, -1, 2**64)
 
@@ -110,20 +113,31 @@ def _pieces(window: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
             prints = texts.fingerprints(start, end)
             begin = np.searchsorted(row, np.arange(texts.n))
             rows: list[tuple] = []
-            for k, segments in enumerate(part.column(1).to_pylist()):
-                for s in segments:
+            held = 0
+            for k, segments in enumerate(part.column(1)):
+                for s in segments.as_py():
                     words = prints[begin[k] + s["start"] : begin[k] + s["start"] + s["words"]]
                     if not s["wide"]:
                         rows.append((s["dealt"], s["print"], 0, s["dealt"], s["print"], s["least"], s["most"], words.tobytes()))
-                        continue
-                    names = combined(words, window).view(np.int64)
-                    spots = mixed(mixed(words[: len(names)]) + words[window - 1 :]).view(np.int64)
-                    for at in range(len(names)):
-                        piece = words[at : at + window].tobytes()
-                        rows.append((s["dealt"], s["print"], at, int(spots[at]), int(names[at]), s["least"], s["most"], piece))
-            yield pa.RecordBatch.from_pandas(pd.DataFrame(rows, columns=[c.split()[0] for c in _PIECES.split(", ")]).astype(
-                {"dealt": "int64", "print": "int64", "at": "int32", "spot": "int64", "piece": "int64", "least": "int64", "most": "int64"}
-            ), preserve_index=False)
+                        held += words.nbytes
+                    else:
+                        names = combined(words, window).view(np.int64)
+                        spots = mixed(mixed(words[: len(names)]) + words[window - 1 :]).view(np.int64)
+                        for at in range(len(names)):
+                            piece = words[at : at + window].tobytes()
+                            rows.append((s["dealt"], s["print"], at, int(spots[at]), int(names[at]), s["least"], s["most"], piece))
+                        held += len(names) * window * words.itemsize
+                    if held >= PIECES_AT_ONCE:
+                        yield _batch_of(rows)
+                        rows, held = [], 0
+            if rows:
+                yield _batch_of(rows)
+
+
+def _batch_of(pieces: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pandas(pd.DataFrame(pieces, columns=[c.split()[0] for c in _PIECES.split(", ")]).astype(
+        {"dealt": "int64", "print": "int64", "at": "int32", "spot": "int64", "piece": "int64", "least": "int64", "most": "int64"}
+    ), preserve_index=False)
 
 
 class WaveletMatrix:
@@ -266,7 +280,7 @@ def removable_spans(docs: DataFrame, window: int) -> DataFrame:
     """
     if not docs.groupBy("id", "key").count().filter("count > 1").isEmpty():
         docs = docs.dropDuplicates(["id", "key"])
-    segments = kept(docs.filter("id IS NOT NULL").select("id", "text", "key").mapInArrow(partial(_segments, window), _SEGMENTS), "segments")
+    segments = kept(in_batches(docs).filter("id IS NOT NULL").select("id", "text", "key").mapInArrow(partial(_segments, window), _SEGMENTS), "segments")
     shared = segments.groupBy("dealt").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).filter("lo < hi").select("dealt")
     live = kept(segments.join(shared, "dealt"), "live")
     one_each = (
@@ -319,4 +333,4 @@ def substring_dedup(
     spans = kept(removable_spans(docs, window), "spans")
     work = docs.join(spans, ["id", "key"], "left").select("id", "text", "spans", *([F.lit(True).alias("t")] if with_text else []))
     out = _OUT_WITH_TEXT.format("long")
-    return work.mapInArrow(partial(_cut_out, window), out if with_text else out.rpartition(",")[0]).withColumnRenamed("id", id_col)
+    return in_batches(work).mapInArrow(partial(_cut_out, window), out if with_text else out.rpartition(",")[0]).withColumnRenamed("id", id_col)
