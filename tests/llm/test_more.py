@@ -5,6 +5,8 @@ from __future__ import annotations
 import random
 import re
 import time
+import tracemalloc
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +17,7 @@ from weftline.llm import mixing, pii, quality_model, quality_rules, secrets
 from weftline.llm.mixing import mixed_documents
 from weftline.llm.ngram_join import representatives
 from weftline.llm.substring_dedup import PIECES_AT_ONCE, _pieces, removable_spans, substring_dedup
-from weftline.operators import tables
+from weftline.operators import shingle_join, tables
 
 PLAIN = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -250,3 +252,61 @@ def test_windows_of_wide_segments_leave_in_parts():
     rows = pa.Table.from_batches(found).to_pylist()
     assert len(rows) == len(segments) - len(wide) + 128 * len(wide)
     assert {(r["dealt"], r["at"]) for r in rows} == {(s["dealt"], at) for s in segments for at in range(128 if s["wide"] else 1)}
+
+
+def word_batches(n_words, n_texts, different):
+    """Texts of random words in batches, as ``_described`` gets them."""
+    draw = np.random.default_rng(5)
+    for k in range(n_texts):
+        text = " ".join(draw.integers(0, different, n_words // n_texts).astype(str).tolist())
+        yield pa.RecordBatch.from_pydict({"id": pa.array([k], pa.int64()), "text": pa.array([text]), "key": pa.array([k], pa.int64())})
+
+
+def peak_mb(work):
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] / 2**20
+    finally:
+        tracemalloc.stop()
+
+
+def test_measures_of_a_batch_stay_small():
+    texts = [t for b in word_batches(600_000, 60, 100_000) for t in b.column(1).to_pylist()]
+    batch = pa.RecordBatch.from_pydict({"id": list(range(60)), "text": texts})
+    assert batch.nbytes > 3 << 20
+    found = []
+    assert peak_mb(lambda: found.extend(quality_rules._judge(list(quality_rules.RULES), iter([batch])))) < 40
+    assert sum(b.num_rows for b in found) == 60
+
+
+def test_counting_shingles_takes_little_beside_them():
+    batches = list(word_batches(4_000_000, 400, 100_000))
+
+    def described():
+        for _ in shingle_join._described(5, iter(batches)):
+            pass
+
+    assert peak_mb(described) < 70  # the shingles themselves are 32 MB
+
+
+@pytest.mark.parametrize("at_once", [1 << 22, 1000, 7])
+def test_counted_shingles(monkeypatch, at_once):
+    monkeypatch.setattr(shingle_join, "_COUNTED_AT_ONCE", at_once)
+    batches = list(word_batches(4000, 40, 4))
+    every = Counter(int(x) for b in batches for s in shingle_join._sets(b.column(1), 5) for x in s.view(np.int64))
+    got, n_chunks = Counter(), -(-sum(every.values()) // at_once)
+    for b in shingle_join._described(5, iter(batches)):
+        for row in b.to_pylist():
+            if row["kind"] == 1:
+                assert row["size"] > 1
+                got[row["name"]] += row["size"]
+    if n_chunks == 1:
+        assert got == {k: v for k, v in every.items() if v > 1}
+    assert all(every[k] - n_chunks <= got[k] <= every[k] for k in every)
+
+
+def test_a_worker_holds_one_order_of_shingles():
+    for seed in range(3):
+        shingle_join._order(np.arange(seed, 99, dtype=np.uint64).tobytes())
+    assert shingle_join._order.cache_info().currsize == 1

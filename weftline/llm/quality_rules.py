@@ -34,6 +34,9 @@ MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: One row of the planning sample in this many, by a hash of the id.
 SAMPLE_ONE_IN = 50
 
+#: Bytes of text measured at once; the measures of every byte and word take some forty times as much, and a worker keeps that room.
+TEXT_AT_ONCE = 1 << 19
+
 _SYMBOL = np.isin(np.arange(256), [ord(c) for c in SYMBOLS])
 _UPPER = (np.arange(256) >= 65) & (np.arange(256) <= 90)
 _ASCII_LETTER = _UPPER | ((np.arange(256) >= 97) & (np.arange(256) <= 122))
@@ -181,7 +184,7 @@ def plan(patterns: dict[int, int], seconds: list[float]) -> list[int]:
 
 def _trial(names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in chunks(batch, "text"):
+        for part in chunks(batch, "text", TEXT_AT_ONCE):
             m = measure(part.column(0))
             bits, took = np.zeros(m.texts.n, np.int64), []
             for k, name in enumerate(names):
@@ -213,7 +216,7 @@ def planned_order(docs: DataFrame, text: str, id_col: str, names: list[str], one
 
 def _judge(order: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in chunks(batch, "text"):
+        for part in chunks(batch, "text", TEXT_AT_ONCE):
             m = measure(part.column(1))
             failed = base_failed(m)
             alive, reason = np.flatnonzero(~failed), np.where(failed, "base", "").astype(object)

@@ -32,7 +32,7 @@ gets its component's. Empty table: no rows. Further columns are not looked at.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache, partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +53,9 @@ TREE_SETS = 256
 
 _COUNTED_AT_ONCE = 1 << 22
 
+#: Bytes of text in work at once; what stands beside them takes many times as much, and a worker keeps that room.
+_TEXT_AT_ONCE = 1 << 19
+
 
 def _sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
     """The ascending distinct shingles of each text."""
@@ -90,24 +93,32 @@ def _parity(sets: list[np.ndarray]) -> pa.Array:
 
 def _described(n: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per text (kind 0), and a row per shingle that a chunk holds twice or more (kind 1)."""
-    several: list[np.ndarray] = []
+    several, held = np.empty(_COUNTED_AT_ONCE, np.uint64), 0
     for batch in batches:
         kind = batch.schema.field(0).type
-        for part in chunks(batch, "text"):
+        for part in chunks(batch, "text", _TEXT_AT_ONCE):
             sets = list(_sets(part.column(1), n))
             names = pa.array([_name(s) if len(s) else None for s in sets], pa.int64())
             yield _rows(0, part.column(0), names, [len(s) for s in sets], part.column(2), _parity(sets))
-            several += sets
-            if sum(map(len, several)) >= _COUNTED_AT_ONCE:
-                yield _counted(several, kind)
-                several = []
-    if several:
-        yield _counted(several, kind)
-
-
-def _counted(sets: list[np.ndarray], kind: pa.DataType) -> pa.RecordBatch:
-    token, count = np.unique(np.concatenate(sets), return_counts=True)
-    token, count = token[count > 1], count[count > 1]
+            for found in sets:
+                while len(found):
+                    piece = found[: len(several) - held]
+                    several[held : held + len(piece)] = piece
+                    found, held = found[len(piece) :], held + len(piece)
+                    if held == len(several):
+                        yield _counted(several, kind)
+                        held = 0
+    if held:
+        yield _counted(several[:held], kind)
+
+
+def _counted(tokens: np.ndarray, kind: pa.DataType) -> pa.RecordBatch:
+    """Sorts ``tokens`` where they stand: there may be many, and few of them twice."""
+    tokens.sort()
+    again = np.zeros(len(tokens) + 1, bool)  # equal to the one before
+    np.equal(tokens[1:], tokens[:-1], out=again[1:-1])
+    first = np.flatnonzero(again[1:] & ~again[:-1])
+    token, count = tokens[first], np.flatnonzero(again[:-1] & ~again[1:]) - first + 1
     return _rows(1, pa.nulls(len(token), kind), pa.array(token.view(np.int64)), count, pa.nulls(len(token), pa.int64()), pa.nulls(len(token), pa.list_(pa.int64())))
 
 
@@ -146,7 +157,7 @@ class Order:
         return np.concatenate([tokens[~late], tokens[spots][np.argsort(self.rank[place])]])
 
 
-@cache
+@lru_cache(1)  # a worker outlives the run: the next one has an order of its own
 def _order(last: bytes) -> Order:
     return Order(np.frombuffer(last, np.uint64))
 
@@ -160,7 +171,7 @@ def _prefixes(n: int, percent: int, last, often: bool, batches: Iterator[pa.Reco
     """The frequent (``often``) or the other shingles of each set's prefix, with their place in the set."""
     order = _order(last.value)
     for batch in batches:
-        for part in chunks(batch, "text"):
+        for part in chunks(batch, "text", _TEXT_AT_ONCE):
             tokens, names, sizes, places = [], [], [], []
             for found in _sets(part.column(0), n):
                 size = len(found)
@@ -224,7 +235,7 @@ def _trees(n: int, percent: int, last, group: pa.Table) -> pa.Table:
     order = _order(last.value)
     probe, partners, names = None, [], []
     for batch in group.to_batches():
-        for part in chunks(batch, "text"):
+        for part in chunks(batch, "text", _TEXT_AT_ONCE):
             rows = zip(part.column("role").to_pylist(), part.column("b").to_pylist(), _sets(part.column("text"), n), strict=True)
             for role, name, found in rows:
                 if role == 0:

@@ -11,7 +11,7 @@ from weftline.storage import scratch_path
 BROADCAST_BYTES = 32 << 20
 
 #: Bytes of rows that a Python worker gets at once. A batch stands in the executor's buffers several times over.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 _BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
 
