@@ -212,6 +212,35 @@ def test_tokenizer_workers_hold_a_bounded_memory(spark):
     assert len(table.known) <= 100_000 and len(table.fits) <= 200_000 and held < 60_000_000
 
 
+def test_tokenizer_shares_words_and_their_beginnings(monkeypatch):
+    """Punctuation asks for no further pairs; whatever is remembered, the ids are the library's."""
+    import random
+
+    import sentencepiece
+    from weftline.llm import pieces
+    from weftline.llm.catalog import piece_model
+
+    draw = random.Random(3)
+    words = ["".join(draw.choices(["er", "tion", "an", "the", "é", "ou", "Sch", "n"], k=draw.randint(1, 5))) for _ in range(400)]
+    words += ["x" * 41, "the" * 30, "ab\ncd", "日本"]
+    reference = sentencepiece.SentencePieceProcessor(model_file=piece_model())
+    table = pieces.PieceTable(pieces._read(piece_model()))
+    table.encode(" ".join(words))
+    asked = len(table.fits)
+    for mark in (", ", ". ", "; ", "\n", " (", "\" ", "².", "", "  "):
+        text = mark.join(words)
+        assert list(memoryview(table.encode(text)).cast("I")) == reference.encode(text, add_bos=True, add_eos=True)
+        if mark in (", ", ". ", "; "):
+            assert len(table.fits) == asked
+    for name in ("MEMORY", "PREFIXES", "PAIRS"):
+        monkeypatch.setattr(pieces, name, 20)
+    table = pieces.PieceTable(pieces._read(piece_model()))
+    for k in range(0, 400, 10):
+        text = ", ".join(words[k : k + 10] * 3)
+        assert list(memoryview(table.encode(text)).cast("I")) == reference.encode(text, add_bos=True, add_eos=True)
+        assert max(len(table.known), len(table.older), len(table.begun), len(table.fits)) <= 20
+
+
 def test_workers_get_few_bytes_at_once(spark):
     docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 400).alias("text")).coalesce(1)
 

@@ -1,17 +1,20 @@
 """SentencePiece (BPE model with byte fallback) encoding by a table over prefixes, and decoding.
 
 The merge process leaves one token sequence for every prefix of a text, so every
-prefix has a single last token. The table holds that token for each place. It is
-filled from left to right: an Aho-Corasick automaton over the pieces lists the
-pieces that end at a place; a piece ``t`` is the last token there if the last
-token ``s`` of the prefix before it is compatible with it, that is, merging the
-characters of ``s + t`` alone gives ``s, t`` again. Ids are then read off
-backwards. Whether a pair is compatible is found once, by running the merges of
-both pieces side by side, and is remembered.
-
-Pieces of the model never go on past a word into the next run of word marks, so
-a text is cut before each run of marks and the parts are encoded one by one.
-Characters without a piece end a part too and become byte ids.
+prefix has a single last token. The table holds that token for each place: a piece ``t`` that
+ends there is the last token if the last token ``s`` of the prefix before it is
+compatible with it, that is, merging the characters of ``s + t`` alone gives
+``s, t`` again. Whether a pair is compatible is found once, by running the merges
+of both pieces side by side, and is remembered.
+
+Pieces of the model never go on past a word into the next run of word marks, and
+if none holds letters beside other characters either, they end there too: a text
+is cut at these places and the parts are encoded one by one. Characters without a
+piece end a part too and become byte ids. In a long part the table is filled from
+left to right, and an Aho-Corasick automaton lists the pieces that end at a place;
+ids are then read off backwards. In a short one only those places are filled that
+its end asks for, the longest piece first, and the ids of the part and of its
+short prefixes are remembered, as texts share words and words share beginnings.
 
 Null text: an empty one, which has the begin and end ids only. Texts of any
 length are encoded whole. Repeated rows: one result each. Empty table: no rows.
@@ -34,16 +37,21 @@ from weftline.llm.tables import in_batches
 
 MARK = "▁"
 
-#: Parts up to this many characters are remembered by a worker, and how many of them; speed only. A worker outlives its
-#: tasks and stands beside the workers of other stages, so this and the next number bound what it holds all the time.
-PART_CHARS, MEMORY = 40, 100_000
+#: Parts up to this many characters are short, and prefixes up to this many are remembered; speed only.
+PART_CHARS, PREFIX_CHARS = 40, 8
+
+#: Parts that a worker remembers once it met them twice, and as many again from before these; prefixes that it remembers;
+#: speed only. A worker outlives its tasks and stands beside the workers of other stages, so these and the next number
+#: bound what it holds all the time.
+MEMORY, PREFIXES = 70_000, 40_000
 
 #: Pairs whose compatibility a worker remembers; speed only.
 PAIRS = 200_000
 
 NEVER = float("-inf")
 
-_PART = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+#: Parts of a text that has blanks for marks.
+_WORDS = re.compile(" *[^ ]+| +")
 
 
 class PieceTable:
@@ -70,7 +78,21 @@ class PieceTable:
             automaton.add_word(piece, (len(piece), k))
         automaton.make_automaton()
         self.matches = automaton.iter
-        self.alone = {p for p in self.id_of if len(p) == 1}
+        self.alone = {p.replace(MARK, " ") for p in self.id_of if len(p) == 1}
+        self.blank = {p.replace(MARK, " "): k for p, k in self.id_of.items()}
+        self.sizes: dict[str, list[int]] = {}  # of the pieces that end in three characters, the largest first
+        for end in {p[-3:] for p in self.blank if len(p) > 2}:
+            self.sizes[end] = [2, 1]
+        for size in sorted({len(p) for p in self.blank if len(p) > 2}):
+            for end in {p[-3:] for p in self.blank if len(p) == size}:
+                self.sizes[end].insert(0, size)
+        self.letters = {c for c in self.alone if c.isalpha()} if " " in self.alone else set()
+        letters = re.escape("".join(self.letters) or "a")
+        apart = re.compile(f" *[{letters}]+| *[^ {letters}]+| +")
+        if any(len(apart.findall(p)) > 1 for p in self.blank):
+            self.letters, apart = set(), _WORDS
+        self.parts = apart.findall
+        self.code = [struct.pack("<I", k) for k in range(n)]
         self.size = [len(p) for p in self.text]
         # what an id shows by itself; bytes above 127 show nothing without their neighbours
         self.split = {k for k, b in self.byte_of.items() if b > 127}
@@ -83,6 +105,9 @@ class PieceTable:
         self.past: dict[int, tuple[bool, list[tuple[float, str, str]]]] = {}
         self.fits: dict[int, bool] = {}
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.met = bytearray(1 << 20)
+        self.begun: dict[str, bytes] = {}
 
     def history(self, token: int) -> tuple[bool, list[tuple[float, str, str]]]:
         """The merge process on a piece's own characters: best score first, then leftmost.
@@ -122,55 +147,92 @@ class PieceTable:
             else:
                 j += 1
 
-    def run(self, text: str) -> list[int]:
-        """Ids of a text whose characters all have a piece of their own."""
+    def joins(self, left: int, token: int) -> bool:
+        """Whether a token can follow the last token of the prefix before it."""
+        pair = left << 32 | token
+        good = self.fits.get(pair)
+        if good is None:
+            if len(self.fits) >= PAIRS:
+                self.fits.clear()
+            good = self.fits[pair] = self.compatible(left, token)
+        return good
+
+    def run(self, text: str) -> bytes:
+        """Packed ids of a text whose characters all have a piece of their own."""
         last = [-1] * len(text)  # the unique last token of the prefix that ends at each place
-        fits = self.fits
-        for place, (size, token) in self.matches(text):
+        for place, (size, token) in self.matches(text.replace(" ", MARK)):
             if last[place] >= 0:
                 continue
             before = place - size
             if before < 0:
                 if self.history(token)[0]:
                     last[place] = token
-            elif last[before] >= 0:
-                pair = last[before] << 32 | token
-                good = fits.get(pair)
-                if good is None:
-                    if len(fits) >= PAIRS:
-                        fits.clear()
-                    good = fits[pair] = self.compatible(last[before], token)
-                if good:
-                    last[place] = token
+            elif last[before] >= 0 and self.joins(last[before], token):
+                last[place] = token
         ids, place = [], len(text) - 1
         while place >= 0:
             if last[place] < 0:
                 raise ValueError("the pieces don't cover the text")
             ids.append(last[place])
             place -= self.size[last[place]]
-        return ids[::-1]
+        return struct.pack(f"<{len(ids)}I", *ids[::-1])
+
+    def short(self, text: str) -> bytes:
+        """As ``run``, for a short text: the ids of the prefix before its last token, and that token."""
+        for size in self.sizes.get(text[-3:], (2, 1)):
+            token = self.blank.get(text[-size:])
+            if token is None or size > len(text):
+                continue
+            if size == len(text):
+                if self.history(token)[0]:
+                    return self.code[token]
+                continue
+            prefix = text[:-size]
+            before = self.begun.get(prefix)
+            if before is None:
+                before = self.short(prefix)
+                if len(prefix) <= PREFIX_CHARS:
+                    if len(self.begun) >= PREFIXES:
+                        self.begun.clear()
+                    self.begun[prefix] = before
+            left = int.from_bytes(before[-4:], "little")
+            good = self.fits.get(left << 32 | token)
+            if good or good is None and self.joins(left, token):
+                return before + self.code[token]
+        raise ValueError("the pieces don't cover the text")
 
     def part(self, text: str) -> bytes:
-        """Ids of one part as little-endian 32-bit numbers."""
-        ids, at = [], 0
-        if not self.alone.issuperset(text):
+        """Packed ids of one part that isn't known."""
+        packed = self.older.get(text)
+        if packed is not None:
+            if len(self.known) < MEMORY:
+                self.known[text] = packed
+            return packed
+        run = self.short if len(text) <= PART_CHARS else self.run
+        if text[-1] in self.letters or self.alone.issuperset(text):
+            packed = run(text)
+        else:
+            found, at = [], 0
             for k, char in enumerate(text):
                 if char not in self.alone:
-                    ids += self.run(text[at:k]) if at < k else []
-                    ids += [self.byte_id[b] for b in char.encode()]
+                    found += [run(text[at:k])] if at < k else []
+                    found += [self.code[self.byte_id[b]] for b in char.replace(" ", MARK).encode()]
                     at = k + 1
-        ids += self.run(text[at:])
-        packed = struct.pack(f"<{len(ids)}I", *ids)
+            packed = b"".join([*found, run(text[at:])] if at < len(text) else found)
         if len(text) <= PART_CHARS:
-            if len(self.known) >= MEMORY:
-                self.known.clear()
-            self.known[text] = packed
+            spot = hash(text) % len(self.met)
+            if self.met[spot] and len(self.known) < MEMORY:  # a full one waits for the next text
+                self.known[text] = packed
+            self.met[spot] = 1
         return packed
 
     def encode(self, text: str) -> bytes:
-        """All ids of a text, begin and end included, as little-endian 32-bit numbers."""
-        body, known = MARK + text.replace(" ", MARK) if text else "", self.known
-        return struct.pack("<I", self.begin) + b"".join([known.get(p) or self.part(p) for p in _PART.findall(body)]) + struct.pack("<I", self.end)
+        """All ids of a text, begin and end included, as little-endian unsigned 32-bit numbers."""
+        if len(self.known) >= MEMORY:
+            self.known, self.older, self.met = {}, self.known, bytearray(len(self.met))
+        known, part = self.known.get, self.part
+        body = [known(p) or part(p) for p in self.parts(" " + text.replace(MARK, " "))] if text else []
+        return b"".join([self.code[self.begin], *body, self.code[self.end]])
 
     def decode(self, ids: list[int]) -> str:
         """The text of ids: marks become blanks, the one in front goes, byte ids are joined as UTF-8."""
