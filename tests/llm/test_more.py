@@ -241,6 +241,32 @@ def test_tokenizer_shares_words_and_their_beginnings(monkeypatch):
         assert max(len(table.known), len(table.older), len(table.begun), len(table.fits)) <= 20
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_components_of_a_small_graph_leave_few_files(spark, monkeypatch, broadcast):
+    """Many shuffle partitions cost a small graph neither files nor tasks; an earlier result and repeated edges change nothing."""
+    from weftline.operators.tables import components
+
+    if not broadcast:
+        monkeypatch.setattr(tables, "BROADCAST_BYTES", 0)
+    edges = [(k, k + 7) for k in range(300) if k % 50 > 10] + [(3, 900), (900, 3), (900, 3), (5, 5)]
+    least = {x: x for e in edges for x in e}
+    while any(least[a] != least[b] for a, b in edges):
+        for a, b in edges:
+            least[a] = least[b] = min(least[a], least[b])
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "40")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        first = components(spark.createDataFrame(edges[:150], "a long, b long"))
+        found = components(spark.createDataFrame(edges, "a long, b long"), start=first)
+        assert {r["node"]: r["comp"] for r in found.collect()} == least and found.count() == len(least)
+        assert len(found.inputFiles()) == 1 or not broadcast
+        assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
 def test_workers_get_few_bytes_at_once(spark):
     docs = spark.range(20_000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 400).alias("text")).coalesce(1)
 

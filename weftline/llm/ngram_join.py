@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from weftline.llm.tables import kept, sized
+from weftline.llm.tables import LABEL_BYTES, kept, sized
 from weftline.operators.shingle_join import LAST_SHINGLES, grouped, tree_join
 
 __all__ = ["near_duplicate_groups", "representatives", "tree_join"]
@@ -25,10 +25,10 @@ def near_duplicate_groups(
 ) -> DataFrame:
     """One row per row of ``docs``: the id, ``n_shingles`` and ``component_id``, the smallest id of its group."""
     rows, comps = grouped(docs, text, id_col, n, percent, last_shingles)
-    groups = rows.groupBy("name").agg(F.min("id").alias("least")).join(comps.withColumnRenamed("node", "name"), "name", "left")
-    groups = kept(groups.select("name", "least", F.coalesce("comp", "name").alias("comp")), "groups")
-    numbers = groups.filter("name IS NOT NULL").groupBy("comp").agg(F.min("least").alias("component_id"))
-    by_name = groups.filter("name IS NOT NULL").join(numbers, "comp").select("name", "component_id")
+    comps = sized(comps.withColumnRenamed("node", "name"), LABEL_BYTES)
+    groups = kept(rows.filter("name IS NOT NULL").groupBy("name").agg(F.min("id").alias("least")).join(comps, "name", "left"), "groups")
+    numbers = groups.filter("comp IS NOT NULL").groupBy("comp").agg(F.min("least").alias("number"))
+    by_name = groups.join(numbers, "comp", "left").select("name", F.coalesce("number", "least").alias("component_id"))
     return rows.join(by_name, "name", "left").select(
         F.col("id").alias(id_col), F.col("size").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")
     )

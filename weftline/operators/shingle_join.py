@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weftline.functions.words import Texts, chunks, combined, mixed
-from weftline.operators.tables import components, in_batches, kept, sized
+from weftline.operators.tables import LABEL_BYTES, components, in_batches, kept, sized
 
 #: Most frequent shingles that are put last; bounds what travels with the tasks (16 bytes each).
 LAST_SHINGLES = 1 << 17
@@ -231,16 +231,17 @@ def tree_join(probe: np.ndarray, sets: list[np.ndarray], percent: int) -> np.nda
 
 
 def _trees(n: int, percent: int, last, group: pa.Table) -> pa.Table:
-    """One probe and a block of its partners; the probe's row has no partner."""
+    """One probe and a block of its partners; the probe's row has no partner. Rows that repeat id and text come several times."""
     order = _order(last.value)
-    probe, partners, names = None, [], []
+    probe, partners, names, seen = None, [], [], set()
     for batch in group.to_batches():
         for part in chunks(batch, "text", _TEXT_AT_ONCE):
             rows = zip(part.column("role").to_pylist(), part.column("b").to_pylist(), _sets(part.column("text"), n), strict=True)
             for role, name, found in rows:
                 if role == 0:
                     probe = order.arrange(found)
-                else:
+                elif name not in seen:
+                    seen.add(name)
                     partners.append(order.arrange(found))
                     names.append(name)
     a = group.column("a")[0].as_py()
@@ -248,35 +249,33 @@ def _trees(n: int, percent: int, last, group: pa.Table) -> pa.Table:
     return pa.table({"a": pa.array([a] * len(names), pa.int64()), "b": pa.array(names, pa.int64()), "links": pa.array(good)})
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, described: DataFrame, trees) -> DataFrame:
-    """``a, b, links`` for every pair of set names.
+def _verified(pairs: DataFrame, docs: DataFrame, looks: DataFrame, trees) -> DataFrame:
+    """``a, b, links`` for every pair of set names; ``looks`` has the ``key`` and ``id`` of one text of each.
 
-    One text of each set travels to the trees that ask for it; compressed, it is
-    less than half as long as its fingerprints, which are taken again there.
+    That text travels to the trees that ask for it; compressed, it is less than
+    half as long as its fingerprints, which are taken again there.
     """
     pairs = kept(pairs, "pairs")
+    n = pairs.count()
     degree = pairs.groupBy("a").count().select("a", F.ceil(F.col("count") / TREE_SETS).alias("blocks"))
     block = F.pmod(F.xxhash64("b"), F.col("blocks")).alias("block")
-    partners = pairs.join(degree, "a").select(F.col("b").alias("name"), F.struct("a", block, "b", F.lit(1).alias("role")).alias("ask"))
+    partners = pairs.join(sized(degree, 32, n), "a").select(F.col("b").alias("name"), F.struct("a", block, "b", F.lit(1).alias("role")).alias("ask"))
     probes = degree.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")).select(
         F.col("a").alias("name"), F.struct("a", "block", F.lit(0).cast("long").alias("b"), F.lit(0).alias("role")).alias("ask")
     )
-    asks = partners.union(probes)
-    one_each = (
-        described.join(asks.select("name").distinct(), "name", "left_semi").groupBy("name").agg(F.min(F.struct("key", "id")).alias("t"))
-    )
-    held = asks.join(one_each, "name").groupBy("t.key", "t.id").agg(F.collect_list("ask").alias("asks"))
-    held = kept(held, "asks")
+    asks = partners.union(probes).groupBy("name").agg(F.collect_list("ask").alias("asks"))
+    held = kept(looks.select("name", "key", "id").join(sized(asks, 80, 2 * n), "name").select("key", "id", "asks"), "asks")
     bulk = held.agg(F.count(F.lit(1)) + F.coalesce(F.sum(F.size("asks")), F.lit(0))).first()[0]
     w = sized(held, 40, bulk).alias("w")
     texts = docs.alias("d").join(w, (F.col("d.key") == F.col("w.key")) & F.col("d.id").eqNullSafe(F.col("w.id")))
     shipped = texts.select("d.text", F.explode("w.asks").alias("ask")).select("ask.a", "ask.block", "ask.b", "ask.role", "text")
-    return kept(in_batches(shipped).groupBy("a", "block").applyInArrow(trees, "a long, b long, links boolean").distinct(), "verified")
+    return kept(in_batches(shipped).groupBy("a", "block").applyInArrow(trees, "a long, b long, links boolean"), "verified")
 
 
 def _apart(pairs: DataFrame, comps: DataFrame) -> DataFrame:
     """The pairs whose sides are not yet in one component."""
-    ca, cb = (comps.select(F.col("node").alias(c), F.col("comp").alias(f"c{c}")) for c in "ab")
+    n = comps.count()
+    ca, cb = (sized(comps.select(F.col("node").alias(c), F.col("comp").alias(f"c{c}")), LABEL_BYTES, n) for c in "ab")
     both = pairs.join(ca, "a", "left").join(cb, "b", "left")
     return both.filter(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
@@ -354,7 +353,8 @@ def _most_frequent(counted: DataFrame, most: int) -> bytes:
     """At most ``most`` shingles by count, rarest first; a count is taken with all its shingles or not at all."""
     step = F.floor(8 * F.log2("n"))
     left, floor = most, None
-    for row in counted.groupBy(step.alias("step")).count().orderBy(F.desc("step")).collect():  # some hundred rows
+    steps = counted.groupBy(step.alias("step")).count().collect()  # some hundred rows
+    for row in sorted(steps, key=lambda r: -r["step"]):
         left -= row["count"]
         if left < 0:
             break
@@ -380,7 +380,8 @@ def grouped(
     last = spark.sparkContext.broadcast(_most_frequent(kept(counted, "counted"), last_shingles))
 
     live = kept(_shared(docs, partial(_prefixes, n, percent, last), percent), "live")
-    looks = kept(rows.filter("size > 0").select("name", "size", "bits").dropDuplicates(["name"]), "looks")
+    one_each = kept(rows.filter("size > 0").dropDuplicates(["name"]), "looks")
+    looks = one_each.select("name", "size", "bits")
     stars = live.select(F.explode("asks").alias("a"), F.col("name").alias("b")).distinct()
     stars = kept(stars.join(looks.select(*[F.col(c).alias(f"a_{c}") for c in looks.columns]), F.col("a") == F.col("a_name")), "stars")
     stars = kept(
@@ -391,12 +392,12 @@ def grouped(
         return _trees(n, percent, last, group)
 
     # one end for each member first, the others only where that left two components
-    tried = _verified(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), docs, rows, trees)
-    comps = components(tried.filter("links"))
-    tried = tried.union(_verified(_apart(stars, comps).join(tried, ["a", "b"], "left_anti"), docs, rows, trees))
+    tried = _verified(stars.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"), docs, one_each, trees)
     comps = components(tried.filter("links"))
+    tried = tried.union(_verified(_apart(stars, comps).join(tried, ["a", "b"], "left_anti"), docs, one_each, trees))
+    comps = components(tried.filter("links"), start=comps)
 
-    members = live.filter("open").join(comps.withColumnRenamed("node", "name"), "name", "left")
+    members = live.filter("open").join(sized(comps.withColumnRenamed("node", "name"), LABEL_BYTES), "name", "left")
     members = kept(members.select("token", "name", "place", F.coalesce("comp", "name").alias("comp")), "members")
     mixed_groups = members.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("token")
     open_ = kept(members.join(mixed_groups, "token", "left_semi").join(looks, "name"), "open")
@@ -409,9 +410,9 @@ def grouped(
         .select(F.col("x_name").alias("a"), F.col("y_name").alias("b")).distinct()
     )
     done = tried.select("a", "b").union(tried.select("b", "a"))
-    rest = kept(rest.join(done, ["a", "b"], "left_anti"), "rest")
+    rest = kept(rest.join(sized(done, LABEL_BYTES), ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
-        more = _verified(rest, docs, rows, trees)
-        comps = components(tried.filter("links").union(more.filter("links")))
+        more = _verified(rest, docs, one_each, trees)
+        comps = components(tried.filter("links").union(more.filter("links")), start=comps)
 
     return rows, comps

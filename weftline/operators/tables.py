@@ -10,6 +10,9 @@ from weftline.storage import scratch_path
 #: A side is broadcast only if its counted rows times its row width stay below this.
 BROADCAST_BYTES = 32 << 20
 
+#: A node with its label as a broadcast holds it; nodes in a file of a small graph's labels.
+LABEL_BYTES, LABELS_A_FILE = 32, 100_000
+
 #: Bytes of rows that a Python worker gets at once. A batch stands in the executor's buffers several times over.
 BATCH_BYTES = 1 << 20
 
@@ -41,29 +44,39 @@ def sized(df: DataFrame, row_bytes: int, rows: int | None = None) -> DataFrame:
     return F.broadcast(df) if n * row_bytes <= BROADCAST_BYTES else df
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", start: DataFrame | None = None) -> DataFrame:
     """``node, comp`` for every node of the edges: the smallest node that can be reached.
 
     Rounds of smallest neighbouring label followed by the label of that label;
-    minima are taken before the shuffle, and Spark splits skewed joins.
+    minima are taken before the shuffle, so repeated edges cost little, and Spark
+    splits skewed joins. Labels of
+    a counted small graph are broadcast, and its rounds leave few files.
+    ``start``: what this gave for some of the edges, to begin with.
     """
-    both = kept(
-        edges.select(F.col(a).alias("x"), F.col(b).alias("y")).union(edges.select(F.col(b), F.col(a))).distinct(), "edges"
-    )
-    labels = kept(both.groupBy("x").agg(F.min("y").alias("m")).select(F.col("x").alias("node"), F.least("x", "m").alias("comp")), "labels")
+    both = kept(edges.select(F.col(a).alias("x"), F.col(b).alias("y")).union(edges.select(F.col(b), F.col(a))), "edges")
+    n = both.count()
+    small = n * LABEL_BYTES <= BROADCAST_BYTES
+
+    def round_kept(df: DataFrame) -> DataFrame:
+        return kept(df.coalesce(1 + n // LABELS_A_FILE) if small else df, "labels")
+
+    least = both.groupBy(F.col("x").alias("node")).agg(F.min("y").alias("m"))
+    if start is not None:
+        least = least.join(sized(start, LABEL_BYTES), "node", "left")
+    labels = round_kept(least.select("node", F.least("node", "m", *([] if start is None else ["comp"])).alias("comp")))
     while True:
         near = (
-            both.join(labels.withColumnRenamed("node", "y"), "y").groupBy(F.col("x").alias("node")).agg(F.min("comp").alias("near"))
-        )
-        lower = labels.join(near, "node").select("node", "comp", F.least("comp", "near").alias("near"))
-        far = labels.select(F.col("node").alias("near"), F.col("comp").alias("far"))
-        following = kept(
+            both.join(sized(labels.withColumnRenamed("node", "y"), LABEL_BYTES, n), "y")
+            .groupBy(F.col("x").alias("node")).agg(F.min("comp").alias("near"))
+        )
+        lower = near.join(sized(labels, LABEL_BYTES, n), "node").select("node", "comp", F.least("comp", "near").alias("near"))
+        far = sized(labels.select(F.col("node").alias("near"), F.col("comp").alias("far")), LABEL_BYTES, n)
+        following = round_kept(
             lower.join(far, "near", "left").select(
                 "node",
                 F.least("near", F.coalesce("far", "near")).alias("comp"),
                 (F.least("near", F.coalesce("far", "near")) < F.col("comp")).alias("moved"),
-            ),
-            "labels",
+            )
         )
         labels = following.select("node", "comp")
         if following.filter("moved").isEmpty():
