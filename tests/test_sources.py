@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -366,3 +367,38 @@ def test_many_mail_files_are_few_tasks(spark, tmp_path):
     found = mail.read_mail_files(spark, str(tmp_path))
     assert found.rdd.getNumPartitions() <= mail.TASKS_A_CORE * spark.sparkContext.defaultParallelism
     assert sorted(r["_text"] for r in found.select("_text").collect()) == sorted(f"x{k}" for k in range(1500))
+
+
+def test_a_file_per_row_stands_where_spark_puts_it(spark, tmp_path):
+    """The folders and texts of Spark's writer, also for odd values, without a second file or a process for each row."""
+    odd = ["a", "", None, "a/b", "x=1", "50%", "é ü", "#'\"[]{}^*:?\\", "\t\x7f", ".", "A"]
+    data = [(u, f, t) for u in odd[:4] for f in odd for t in ("x\ny", "", None, "x\ny")]
+    df = spark.createDataFrame(data, "user string, folder string, value string").repartition(3)
+    df.write.partitionBy("user", "folder").option("maxRecordsPerFile", 1).text(str(tmp_path / "spark"))
+    sinks.write_text_per_row(df, str(tmp_path / "own"), "value", ["user", "folder"])
+
+    def found(top):
+        return sorted((str(p.parent.relative_to(top)), p.read_text()) for p in top.rglob("part-*"))
+
+    assert found(tmp_path / "own") == found(tmp_path / "spark") and len(found(tmp_path / "own")) == len(data)
+    assert sum(p.is_file() for p in (tmp_path / "own").rglob("*")) == len(data)
+    sinks.write_text_per_row(df.limit(0), str(tmp_path / "none"), "value", ["user", "folder"])
+    assert mail.read_mail_files(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_mail_archive_is_one_file_a_message(spark, tmp_path):
+    """No checksum file, and so no two processes, for each message; equal messages are files of their own."""
+    import __spark_entry__ as entry
+
+    folder = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(folder.glob("archive-*"))
+    data = [(k, f"s{k % 3}", f"l{k % 2}") for k in range(60)] + [(60, None, "l0"), (61, "s0", None), (62, "s/=%", "l0")]
+    spark.createDataFrame(data, "doc_id long, source string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {tuple(r) for r in entry.queries()["mail_files"](spark, str(tmp_path)).collect()}
+    assert {r for r in got if r[0] != "user=__HIVE_DEFAULT_PARTITION__" and "_DEFAULT_" not in r[1]} == {
+        *((f"user=l{u}", f"folder=s{s}", f"l{u}@mail.example", f"s{s}\n", 10) for u in (0, 1) for s in (0, 1, 2)),
+        ("user=l0", "folder=s%2F%3D%25", "l0@mail.example", "s/=%\n", 1),
+    }
+    assert sum(r[-1] for r in got) == 63
+    (archive,) = set(folder.glob("archive-*")) - before
+    assert sum(p.is_file() for p in archive.rglob("*")) == 63

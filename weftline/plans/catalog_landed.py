@@ -296,9 +296,7 @@ def mail_files(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "archive")  # its folder `mail` is the root of the archive
     message = F.concat(F.lit("From: "), "lang", F.lit("@mail.example\nDate: Tue, 1 May 2001 08:30:59 -0700\n\n"), "source")
     rows = table(spark, d, "documents").select(F.col("lang").alias("user"), F.col("source").alias("folder"), message.alias("value"))
-    # tasks put their files into place, not the driver one after another; the folder is new and read only if all is written
-    placed = rows.write.option("mapreduce.fileoutputcommitter.algorithm.version", 2)
-    placed.partitionBy("user", "folder").option("maxRecordsPerFile", 1).text(f"{path}/mail")
+    sinks.write_text_per_row(rows, f"{path}/mail", "value", ["user", "folder"])
     found = mail.read_mail_files(spark, path).select(
         F.col("_user").alias("user"), F.col("_folder").alias("folder"), F.col("From").alias("sender"), F.col("_text").alias("text")
     )
