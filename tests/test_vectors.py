@@ -254,6 +254,46 @@ def test_cells_of_few_and_odd_rows(spark):
     assert cells.cell_search(asked, none, 5)[0].collect() == []
 
 
+def test_cells_write_each_vector_a_few_times(spark, monkeypatch):
+    """Disk and shuffle follow the vectors, not the pairs of blocks that meet: 60 blocks of rows and 60 of queries here."""
+    from pathlib import Path
+
+    monkeypatch.setattr(cells, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(cells, "BLOCK_QUERIES", 50)
+    corpus = np.random.default_rng(6).standard_normal((3000, 32))
+    c = frame(spark, corpus).localCheckpoint()
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def size():
+        shuffled = blocks.getAllFiles()
+        return sum(shuffled.apply(k).length() for k in range(shuffled.size())) + sum(p.stat().st_size for p in shared.rglob("*.parquet"))
+
+    before = size()
+    hits, _ = cells.cell_search(c.withColumnRenamed("id", "qid"), cells.build_layout(c, n_cells=2), 5)
+    assert listed(hits) == brute(corpus, corpus, 5)
+    assert size() - before < 16 * corpus.size * 4
+
+
+def test_cells_keep_types_and_ties(spark, monkeypatch):
+    """Doubles stay doubles, ids of any type, queries of another type; equal vectors of several blocks rank by id."""
+    monkeypatch.setattr(cells, "BLOCK_ROWS", 7)
+    rng = np.random.default_rng(8)
+    corpus = np.concatenate([rng.standard_normal((40, 3)) * (1 + 1e-9), np.tile([1 / 3, 2.0, 0.1], (30, 1))])
+    c = spark.createDataFrame([(f"r{k:02}", v.tolist()) for k, v in enumerate(corpus)], "id string, embedding array<double>").repartition(4)
+    asked = [(("a", 1), [1.0, 2.0, 0.5]), (("b", None), [0.1, 0.2, -3.0]), (None, [1.0, 1.0, 1.0])]
+    q = spark.createDataFrame(asked, "qid struct<x: string, y: int>, embedding array<float>")
+    layout = cells.build_layout(c, n_cells=5)
+    for metric in ("dot", "euclidean"):
+        hits, visited = cells.cell_search(q, layout, 12, metric)
+        scan = search.knn(q, c, 12, metric)
+        key = lambda r: (repr(r["qid"]), r["rank"])
+        assert sorted(hits.collect(), key=key) == sorted(scan.select(hits.columns).collect(), key=key)
+        assert hits.schema == scan.schema and visited.count() == 3
+    with pytest.raises(ValueError, match="unique"):
+        cells.cell_search(q.union(q), layout, 3)
+
+
 def test_many_queries_stay_distributed(spark, data, monkeypatch):
     queries, corpus = data
     monkeypatch.setattr(search, "BLOCK_QUERIES", 3)
