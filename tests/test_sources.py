@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 from datetime import datetime
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -369,7 +370,7 @@ def test_many_mail_files_are_few_tasks(spark, tmp_path):
     assert sorted(r["_text"] for r in found.select("_text").collect()) == sorted(f"x{k}" for k in range(1500))
 
 
-def test_a_file_per_row_stands_where_spark_puts_it(spark, tmp_path):
+def test_a_file_per_row_stands_where_spark_puts_it(spark, tmp_path, monkeypatch):
     """The folders and texts of Spark's writer, also for odd values, without a second file or a process for each row."""
     odd = ["a", "", None, "a/b", "x=1", "50%", "é ü", "#'\"[]{}^*:?\\", "\t\x7f", ".", "A"]
     data = [(u, f, t) for u in odd[:4] for f in odd for t in ("x\ny", "", None, "x\ny")]
@@ -382,6 +383,10 @@ def test_a_file_per_row_stands_where_spark_puts_it(spark, tmp_path):
 
     assert found(tmp_path / "own") == found(tmp_path / "spark") and len(found(tmp_path / "own")) == len(data)
     assert sum(p.is_file() for p in (tmp_path / "own").rglob("*")) == len(data)
+    with monkeypatch.context() as patch:  # a store of another scheme is left to Spark
+        patch.setattr(sinks, "hadoop_folder", lambda spark, path: (None, SimpleNamespace(getUri=lambda: SimpleNamespace(getScheme=lambda: "hdfs"))))
+        sinks.write_text_per_row(df, str(tmp_path / "other"), "value", ["user", "folder"])
+    assert found(tmp_path / "other") == found(tmp_path / "own")
     sinks.write_text_per_row(df.limit(0), str(tmp_path / "none"), "value", ["user", "folder"])
     assert mail.read_mail_files(spark, str(tmp_path / "none")).count() == 0
 

@@ -45,8 +45,9 @@ BLOCK_QUERIES, BLOCK_BYTES, PACKED_BYTES = 8192, 4 << 20, 64 << 20
 #: Files of a layout that tasks write straight from the scan; for more, rows are first brought together by cell.
 CELL_FILES = 4096
 
-#: Tasks for each core that search, at least, if there are blocks for them.
-TASKS_A_CORE = 4
+#: Tasks for each core that search first cells and then other cells, at least, if there are blocks for them. First cells
+#: give ``k`` rows a query and share of the corpus; the others few, but they are most of the work, and tasks differ.
+FIRST_TASKS, OTHER_TASKS = 4, 8
 
 _SLACK = 1e-9
 
@@ -365,9 +366,9 @@ def cell_search(
     first = held(named.mapInArrow(partial(_visits, plain, metric, k, False), f"qid {kind}, v {numbers}, cell int, wanted binary, visits int, least double"), "visits")
     block = f"block long, home int, qids array<{kind}>, asked binary, least binary, wanted array<binary>, visits array<int>"
 
-    def best(blocks: DataFrame, parts: int) -> DataFrame:
+    def best(blocks: DataFrame, parts: int, tasks: int) -> DataFrame:
         """Every block of queries (in ``parts`` partitions) with all blocks of the cells that one of them visits, read in place."""
-        shares = corpus.coalesce(max(1, -(-TASKS_A_CORE * cores // max(1, parts))))
+        shares = corpus.coalesce(max(1, -(-tasks * cores // max(1, parts))))
         bits = F.get("wanted", F.col("cell"))
         pairs = shares.join(blocks.drop("visits").hint("shuffle_replicate_nl"), bits.isNotNull()).select("block", "home", "qids", "asked", "least", bits.alias("bits"), "ids", "v")
         found = in_batches(pairs).mapInArrow(partial(_met, k, metric, width, stored, types), f"home int, qid {kind}, id {id_kind}, score double")
@@ -375,7 +376,7 @@ def cell_search(
 
     descending = metric == "dot"
     asked = first.mapInArrow(partial(_first_blocks, most_queries, n_cells, width, stored[1]), block)
-    found = held(best(asked, first.rdd.getNumPartitions()), "found")
+    found = held(best(asked, first.rdd.getNumPartitions(), FIRST_TASKS), "found")
 
     pieces = np.ones(n_cells, np.int64)
     for row in first.groupBy("cell").count().collect():  # one row for each cell
@@ -385,7 +386,7 @@ def cell_search(
     least = found.filter(F.col("rank") == k).select(F.col("home").alias("cell"), "qid", (F.col("score") if descending else -F.col("score")).alias("least"))
     schema = pa.schema(zip(_QUERY_BLOCK, [pa.int64(), pa.int32(), pa.list_(types[0]), pa.binary(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int32())], strict=True))
     others = dealt(first.select("qid", "v", "cell")).cogroup(dealt(least)).applyInArrow(partial(_other_blocks, plain, metric, k, stored[1], schema), block)
-    every = found.select("qid", "id", "score").unionByName(best(others, parts).select("qid", "id", "score"))
+    every = found.select("qid", "id", "score").unionByName(best(others, parts, OTHER_TASKS).select("qid", "id", "score"))
     hits = _ranked(every, k, ascending=not descending).select("qid", "id", "score", "rank")
     again = others.select(F.explode(F.arrays_zip("qids", "visits")).alias("x")).select(F.col("x.qids").alias("qid"), F.col("x.visits").alias("visits"))
     counted = first.select("qid", "visits").unionByName(again).groupBy("qid").agg(F.sum("visits").alias("visited")).filter("visited > 0")
